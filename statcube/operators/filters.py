@@ -92,7 +92,8 @@ def _oldest(df: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
 
 
 def _young_keys(ages: DataFrame, keys: Sequence[str], ttl_seconds: int, now: str, strict: bool) -> DataFrame:
-    age = F.lit(now).cast("timestamp").cast("double") - F.col("_oldest").cast("double")
+    oldest = F.col("_oldest").cast("timestamp").cast("double")
+    age = F.lit(now).cast("timestamp").cast("double") - oldest
     return ages.where(age < ttl_seconds if strict else age <= ttl_seconds).select(*keys)
 
 

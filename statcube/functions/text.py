@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Separator of composed titles; territorial code forms, coarse to fine.
 TITLE_SEPARATOR = " › "
@@ -61,10 +61,15 @@ def link_id(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, r"[?&]id=(\w+)", 1), F.lit(""))
 
 
-@F.pandas_udf("string")
-def unescape_entities(text: pd.Series) -> pd.Series:
-    """HTML character references as characters (no built-in does the full list)."""
-    return text.map(html.unescape, na_action="ignore")
+def unescape_entities(text: Column) -> Column:
+    """HTML character references as characters (no built-in knows the full list)."""
+
+    # Defined here so that it travels by value: executors need not have this package.
+    @F.pandas_udf(T.StringType())
+    def unescape(batch: pd.Series) -> pd.Series:
+        return batch.map(html.unescape, na_action="ignore")
+
+    return unescape(text)
 
 
 def clean_prose(raw: Column) -> Column:

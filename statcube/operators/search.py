@@ -195,21 +195,19 @@ def _facts(docs: DataFrame, doc_id: str, text: Column, tokens: Sequence[str], hi
 
 
 def _term_rows(facts: DataFrame, doc_id: str) -> DataFrame:
-    marked = F.concat(
-        *[
-            F.transform(
-                F.col(column),
-                lambda t, tf=tf, i=i, h=h: F.struct(
-                    t.alias("term"), F.lit(tf).alias("tf"), F.lit(i).alias("in_id"), F.lit(h).alias("in_head")
-                ),
-            )
-            for column, tf, i, h in (
-                ("_terms", 1, False, False), ("_id_terms", 0, True, False), ("_head_terms", 0, False, True),
-            )
-        ]
+    def marked(column: str, tf: int, in_id: bool, in_head: bool) -> Column:
+        return F.transform(
+            column,
+            lambda t: F.struct(
+                t.alias("term"), F.lit(tf).alias("tf"), F.lit(in_id).alias("in_id"), F.lit(in_head).alias("in_head")
+            ),
+        )
+
+    terms = F.concat(
+        marked("_terms", 1, False, False), marked("_id_terms", 0, True, False), marked("_head_terms", 0, False, True)
     )
     return (
-        facts.select(doc_id, "doc_length", F.inline(marked))
+        facts.select(doc_id, "doc_length", F.inline(terms))
         .groupBy(doc_id, "doc_length", "term")
         .agg(F.sum("tf").alias("tf"), F.max("in_id").alias("in_id"), F.max("in_head").alias("in_head"))
     )

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from statcube.sources.nested import MAX_DEPTH, nested_type, or_empty, preorder
+from statcube.sources.nested import MAX_DEPTH, nested_type, preorder
 
 _S = T.StringType()
 _TEXTS = T.ArrayType(T.StructType([T.StructField("_lang", _S), T.StructField("_VALUE", _S)]))
@@ -218,10 +218,8 @@ def _filled(values: Column) -> Column:
 
 
 def _key_values(e: Column) -> Column:
-    return F.flatten(F.transform(e["CubeRegion"], lambda r: or_empty(r["KeyValue"], _NO_KEYS)))
-
-
-_NO_KEYS = F.expr("cast(array() as array<struct<_id:string,Value:array<string>>>)")
+    regions = F.filter(e["CubeRegion"], lambda r: r["KeyValue"].isNotNull())
+    return F.flatten(F.transform(regions, lambda r: r["KeyValue"]))
 
 
 def _exploded_codes(rows: DataFrame, keys: Column, columns: Sequence[str]) -> DataFrame:
@@ -361,8 +359,12 @@ def flatten_annotations(elements: DataFrame, lang: str) -> DataFrame:
 def _any_language(texts: Column, lang: str) -> Column:
     """Text of the language, else English, else the first; blank texts do not count."""
     filled = F.filter(texts, lambda t: F.trim(t["_VALUE"]) != "")
-    choices = [F.get(F.filter(filled, lambda t, c=c: t["_lang"] == c), F.lit(0)) for c in (lang, "en")]
-    return F.trim(F.coalesce(*choices, F.get(filled, F.lit(0)))["_VALUE"])
+
+
+    def first_in(code: str) -> Column:
+        return F.get(F.filter(filled, lambda t: t["_lang"] == code), F.lit(0))
+
+    return F.trim(F.coalesce(first_in(lang), first_in("en"), F.get(filled, F.lit(0)))["_VALUE"])
 
 
 def annotation_columns(

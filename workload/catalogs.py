@@ -48,26 +48,26 @@ def _(d: Data) -> DataFrame:
 
 
 @query("values_in_dataflow", """
-    SELECT id, name, id IN (SELECT code_id FROM {avail} WHERE dimension_id = 'SUPP' AND df_id = 'DF_5') AS in_dataflow,
+    SELECT cast(c_custkey AS VARCHAR) AS id, c_name AS name,
+           cast(c_custkey AS VARCHAR) IN (SELECT code_id FROM {avail} WHERE dimension_id = 'SUPP') AS in_dataflow,
            cast(NULL AS BOOLEAN) AS in_other
-    FROM {codes} WHERE codelist_id = 'CL_SUPP'
+    FROM {customer}
 """)
 def _(d: Data) -> DataFrame:
-    one = d.avail.where("df_id = 'DF_5'")
-    names = labels.codelist_names(d.codelists, "CL_SUPP")
-    known = labels.values_in_dataflow(names, one, "supp")
-    unknown = labels.values_in_dataflow(names, one, "PORT")
+    names = d.customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
+    known = labels.values_in_dataflow(names, d.avail, "supp")
+    unknown = labels.values_in_dataflow(names, d.avail, "PORT")
     return known.join(unknown.select("id", F.col("in_dataflow").alias("in_other")), "id")
 
 
 @query("membership_counts", """
-    SELECT count(*) AS n_total, count(*) FILTER (id IN (SELECT code_id FROM {avail} WHERE dimension_id = 'SUPP'
-           AND df_id = 'DF_5')) AS n_present
-    FROM {codes} WHERE codelist_id = 'CL_SUPP'
+    SELECT count(*) AS n_total, count(*) FILTER (cast(c_custkey AS VARCHAR) IN (
+           SELECT code_id FROM {avail} WHERE dimension_id = 'SUPP')) AS n_present
+    FROM {customer}
 """)
 def _(d: Data) -> DataFrame:
-    names = labels.codelist_names(d.codelists, "CL_SUPP")
-    return labels.membership_counts(labels.values_in_dataflow(names, d.avail.where("df_id = 'DF_5'"), "SUPP"))
+    names = d.customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
+    return labels.membership_counts(labels.values_in_dataflow(names, d.avail, "SUPP"))
 
 
 @query("metadata_companion", """

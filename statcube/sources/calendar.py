@@ -20,5 +20,5 @@ def flatten_calendar(df: DataFrame, column: str, keep: Sequence[str] = ()) -> Da
         *keep, _field("UID").alias("uid"), _field("SUMMARY").alias("summary"),
         F.regexp_replace(_field("DTSTART"), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").alias("date"),
         _field("X-THEME").alias("theme"),
-        F.transform(F.split(_field("X-CATEGORY"), r"\\,"), F.trim).alias("categories"),
+        F.transform(F.split(_field("X-CATEGORY"), r"\\,"), lambda c: F.trim(c)).alias("categories"),
     )

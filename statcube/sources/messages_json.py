@@ -16,6 +16,7 @@ _DIMENSION = "array<struct<id:string,keyPosition:int,values:array<struct<id:stri
 _STRUCTURE = f"struct<dimensions:struct<series:{_DIMENSION},observation:{_DIMENSION}>>"
 _SETS = "array<struct<series:map<string,struct<observations:map<string,array<string>>>>>>"
 _DATA = f"structure:{_STRUCTURE},dataSets:{_SETS}"
+_MESSAGE = f"struct<data:struct<{_DATA}>,{_DATA}>"
 
 
 def flatten_sdmx_json(
@@ -27,7 +28,7 @@ def flatten_sdmx_json(
     first array element is written as null before parsing.
     """
     repaired = F.regexp_replace(F.col(column), r"\[,", "[null,")
-    parsed = df.select(*keep, F.from_json(repaired, f"data struct<{_DATA}>,{_DATA}").alias("_m"))
+    parsed = df.select(*keep, F.from_json(repaired, _MESSAGE).alias("_m"))
     body = parsed.select(
         *keep, F.coalesce("_m.data.structure", "_m.structure").alias("_structure"),
         F.explode(F.coalesce("_m.data.dataSets", "_m.dataSets")).alias("_set"),
@@ -35,7 +36,9 @@ def flatten_sdmx_json(
     by_position = F.array_sort(
         F.transform(
             F.col("_structure.dimensions.series"),
-            lambda d, i: F.struct((-F.coalesce(d["keyPosition"], F.lit(0))).alias("p"), i.alias("i"), d.alias("d")),
+            lambda d, i: F.named_struct(
+                F.lit("p"), -F.coalesce(d["keyPosition"], F.lit(0)), F.lit("i"), i, F.lit("d"), d
+            ),
         )
     )
     series = body.select(

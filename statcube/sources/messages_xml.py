@@ -1,9 +1,9 @@
 """Structure messages in XML as tables.
 
-Two ways in, one shape: ``read_elements`` splits XML files at an element, so one big
-file is read by many tasks; ``parse_elements`` takes messages in a text column.  Both
-give a column ``element`` that the ``flatten_*`` operators take.  Namespace prefixes
-are ignored.
+Two ways in, one shape: ``read_elements`` streams XML files element by element, so no
+message is ever one value in memory (a file is one task: land large catalogs as
+several files); ``parse_elements`` takes messages in a text column.  Both give a column
+``element`` that the ``flatten_*`` operators take.  Namespace prefixes are ignored.
 """
 
 from __future__ import annotations
@@ -96,7 +96,7 @@ _OPTIONS = {"ignoreNamespace": "true", "mode": "FAILFAST"}
 
 
 def read_elements(spark: SparkSession, path: str, tag: str) -> DataFrame:
-    """Elements of XML files, each file split at the element."""
+    """Elements of XML files, wherever they sit in the message."""
     kind, _ = ELEMENTS[tag]
     rows = spark.read.format("xml").options(rowTag=tag, **_OPTIONS).schema(kind).load(path)
     return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("element"))
@@ -214,7 +214,7 @@ def flatten_codelist(elements: DataFrame, lang: str) -> DataFrame:
 
 
 def _filled(values: Column) -> Column:
-    return F.filter(F.transform(values, F.trim), lambda v: v != "")
+    return F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v != "")
 
 
 def _key_values(e: Column) -> Column:

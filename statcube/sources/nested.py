@@ -42,8 +42,11 @@ def preorder(
         if level == depth:
             problem = F.raise_error(F.lit(f"tree deeper than {depth} levels: raise max_depth"))
             return F.when(F.coalesce(F.size(below), F.lit(0)) > 0, problem).otherwise(own)
-        passed = descend(node, state)
-        nested = F.flatten(F.transform(below, lambda child: rows(child, passed, level + 1)))
-        return F.concat(own, or_empty(nested, own))
+        # The state becomes a lambda variable; inlined it would double with every level.
+        handed = F.transform(
+            F.array(descend(node, state)),
+            lambda passed: F.transform(below, lambda child: rows(child, passed, level + 1)),
+        )
+        return F.concat(own, or_empty(F.flatten(F.flatten(handed)), own))
 
     return F.flatten(F.transform(nodes, lambda node: rows(node, start, 1)))

@@ -11,7 +11,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from statcube.functions.text import tokenize
 from statcube.session import cut_lineage
@@ -75,20 +75,45 @@ def literal_search(catalog: DataFrame, query: str, columns: Sequence[str] = TEXT
 
 
 def postings(docs: DataFrame, doc_id: str = "df_id", text: str = "text") -> DataFrame:
-    """(doc_id, term, tf, doc_length) of every term of every document."""
-    tokens = docs.select(doc_id, tokenize(F.col(text)).alias("_tokens"))
-    words = tokens.select(
-        doc_id, F.size("_tokens").alias("doc_length"), F.explode("_tokens").alias("term")
+    """Terms of every document: (doc_id, term, doc_length, tf, in_id, in_head).
+
+    Terms found only in the id or cut off at the end of the head have tf 0.
+    """
+    body = F.coalesce(text, F.lit(""))
+    tokens = docs.select(doc_id, body.alias("_text"), tokenize(F.col(text)).alias("_terms"))
+    return _term_rows(
+        tokens.select(
+            doc_id, F.size("_terms").alias("doc_length"), "_terms", tokenize(F.col(doc_id)).alias("_id_terms"),
+            tokenize(F.substring("_text", 1, HEAD_CHARS)).alias("_head_terms"),
+        ),
+        doc_id,
     )
-    return words.groupBy(doc_id, "term", "doc_length").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def corpus_size(docs: DataFrame, text: str = "text") -> DataFrame:
+def corpus_size(docs: DataFrame, index: DataFrame) -> DataFrame:
     """One row: number of documents and average length (1 for an empty corpus)."""
-    average = F.avg(F.size(tokenize(F.col(text))))
-    return docs.agg(
-        F.count(F.lit(1)).alias("n_docs"), F.when(average > 0, average).otherwise(1.0).alias("avg_length")
-    )
+    total = index.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total")).scalar()
+    counted = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    average = total / F.nullif(F.col("n_docs"), F.lit(0))
+    return counted.select("n_docs", F.when(average > 0, average).otherwise(1.0).alias("avg_length"))
+
+
+def write_index(docs: DataFrame, path: str, doc_id: str = "df_id", text: str = "text") -> None:
+    """Store the index sorted by term, so a query reads only the terms it can reach.
+
+    The document id is part of the range, so a term of every document is not one file.
+    """
+    terms = f"{path.rstrip('/')}/terms"
+    order = ["term", doc_id]
+    rows = postings(docs, doc_id, text).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.write.mode("overwrite").parquet(terms)
+    size = corpus_size(docs, docs.sparkSession.read.parquet(terms))
+    size.write.mode("overwrite").parquet(f"{path.rstrip('/')}/size")
+
+
+def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Index rows and corpus size as stored."""
+    return spark.read.parquet(f"{path.rstrip('/')}/terms"), spark.read.parquet(f"{path.rstrip('/')}/size")
 
 
 def idf(n_docs: Column, df: Column) -> Column:
@@ -98,7 +123,7 @@ def idf(n_docs: Column, df: Column) -> Column:
 def bm25_stats(index: DataFrame, size: DataFrame) -> DataFrame:
     """Document frequency and idf of every term of the corpus."""
     n_docs = size.select("n_docs").scalar()
-    return index.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", idf(n_docs, F.col("df")))
+    return index.where("tf > 0").groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", idf(n_docs, F.col("df")))
 
 
 def expand_prefix(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -127,17 +152,15 @@ def _reach(tokens: Sequence[str]) -> list[str]:
     return [t for t in dict.fromkeys(tokens) if not any(t != o and t.startswith(o) for o in tokens)]
 
 
-def _expansions(document_frequency: DataFrame, tokens: Sequence[str], n_docs: Column) -> DataFrame:
+def _expansions(terms: DataFrame, tokens: Sequence[str], n_docs: Column) -> DataFrame:
     """(position, term, weight, idf) of one query over the reachable vocabulary."""
-    terms = cut_lineage(document_frequency)
-    exact = terms.agg(
-        *[F.coalesce(F.max(F.col("term") == t), F.lit(False)).alias(f"_{i}") for i, t in enumerate(tokens)]
-    )
+    # One subquery for all tokens: which of them occur as a whole term.
+    flags = [F.coalesce(F.max(F.col("term") == t), F.lit(False)) for t in tokens]
+    whole = terms.agg(F.array(*flags).alias("whole")).scalar()
     ways = []
     for i, token in enumerate(tokens):
-        whole = exact.select(f"_{i}").scalar()
         weight = F.when(F.col("term") == token, 1.0).when(
-            F.col("term").startswith(token) & ~whole, PREFIX_WEIGHT
+            F.col("term").startswith(token) & ~F.get(whole, F.lit(i)), PREFIX_WEIGHT
         )
         ways.append(F.struct(F.lit(i).alias("position"), weight.alias("weight")))
     return (
@@ -195,31 +218,27 @@ def _facts(docs: DataFrame, doc_id: str, text: Column, tokens: Sequence[str], hi
 
 
 def _term_rows(facts: DataFrame, doc_id: str) -> DataFrame:
-    def marked(column: str, tf: int, in_id: bool, in_head: bool) -> Column:
-        return F.transform(
-            column,
-            lambda t: F.struct(
-                t.alias("term"), F.lit(tf).alias("tf"), F.lit(in_id).alias("in_id"), F.lit(in_head).alias("in_head")
-            ),
-        )
-
-    terms = F.concat(
-        marked("_terms", 1, False, False), marked("_id_terms", 0, True, False), marked("_head_terms", 0, False, True)
+    """Counted terms; a word's place in the joined arrays tells text, id and head apart."""
+    words = facts.select(
+        doc_id, "doc_length", F.size("_terms").alias("_id_from"),
+        (F.size("_terms") + F.size("_id_terms")).alias("_head_from"),
+        F.posexplode(F.concat("_terms", "_id_terms", "_head_terms")).alias("_place", "term"),
     )
-    return (
-        facts.select(doc_id, "doc_length", F.inline(terms))
-        .groupBy(doc_id, "doc_length", "term")
-        .agg(F.sum("tf").alias("tf"), F.max("in_id").alias("in_id"), F.max("in_head").alias("in_head"))
+    in_text, in_head = F.col("_place") < F.col("_id_from"), F.col("_place") >= F.col("_head_from")
+    return words.groupBy(doc_id, "doc_length", "term").agg(
+        F.count_if(in_text).alias("tf"), F.max(~in_text & ~in_head).alias("in_id"), F.max(in_head).alias("in_head")
     )
 
 
 def _size_of(facts: DataFrame) -> tuple[Column, Column, Column]:
     average = F.avg("doc_length")
     one = facts.agg(
-        F.count(F.lit(1)).alias("n"), F.when(average > 0, average).otherwise(1.0).alias("a"),
-        F.coalesce(F.max("hits"), F.lit(0)).alias("h"),
-    )
-    return one.select("n").scalar(), one.select("a").scalar(), one.select("h").scalar()
+        F.struct(
+            F.count(F.lit(1)).alias("n"), F.when(average > 0, average).otherwise(1.0).alias("a"),
+            F.coalesce(F.max("hits"), F.lit(0)).alias("h"),
+        ).alias("size")
+    ).scalar()
+    return one["n"], one["a"], one["h"]
 
 
 def bm25_search(docs: DataFrame, query: str, doc_id: str = "df_id", text: str = "text") -> DataFrame:
@@ -233,26 +252,15 @@ def bm25_search(docs: DataFrame, query: str, doc_id: str = "df_id", text: str =
     return _score(_term_rows(facts, doc_id), doc_id, tokens, n_docs, avg_length)
 
 
-def bm25_score(
-    index: DataFrame, stats: DataFrame, size: DataFrame, query: str, doc_id: str = "df_id"
-) -> DataFrame:
-    """Scores without boosts from stored index tables; no text is read.
+def bm25_score(index: DataFrame, size: DataFrame, query: str, doc_id: str = "df_id") -> DataFrame:
+    """As :func:`bm25_search`, from a stored index; no text is read.
 
     With the index stored sorted by term, the starts reach the file scan as filters.
     """
     tokens = query_tokens(query)
     reached = reduce(Column.__or__, [F.col("term").startswith(s) for s in _reach(tokens)], F.lit(False))
-    n_docs, avg_length = size.select("n_docs").scalar(), size.select("avg_length").scalar()
-    expansions = _expansions(stats.where(reached).select("term", "df"), tokens, n_docs)
-    tf = F.col("tf").cast("double")
-    part = (
-        F.col("weight") * F.col("idf") * tf * (K1 + 1)
-        / (tf + K1 * (1 - B + B * F.col("doc_length") / avg_length))
-    )
-    return (
-        index.where(reached).join(expansions, "term").groupBy(doc_id).agg(F.sum(part).alias("score"))
-        .where(F.col("score") > 0)
-    )
+    corpus = size.select(F.struct("n_docs", "avg_length").alias("size")).scalar()
+    return _score(index.where(reached), doc_id, tokens, corpus["n_docs"], corpus["avg_length"])
 
 
 def search(catalog: DataFrame, query: str, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:

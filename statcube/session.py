@@ -51,3 +51,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, for costly work per row on few or unsplittable files.
+
+    ``df`` is a plain file scan.  One with at least as many parts as there are cores
+    stays as it is, so a large table is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -94,18 +94,31 @@ def _(d: Data) -> DataFrame:
     return search.literal_search(d.catalog, "%%").select("df_id", "score")
 
 
+def _index(d: Data, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    path = d.scratch("index")
+    search.write_index(docs, path)
+    return search.read_index(d.spark, path)
+
+
 @query("bm25_stats", bm25_sql("the", """
     SELECT term, count(*) AS df, round(any_value(idf), 4) AS idf FROM tf JOIN vocab USING (term) GROUP BY term
 """))
 def _(d: Data) -> DataFrame:
-    texts = _texts(d)
-    stats = search.bm25_stats(search.postings(texts), search.corpus_size(texts))
-    return stats.withColumn("idf", F.round("idf", 4))
+    return search.bm25_stats(*_index(d, _texts(d))).withColumn("idf", F.round("idf", 4))
+
+
+@query("postings", bm25_sql("the", """
+    SELECT df_id, term, dl::INT AS doc_length, coalesce(tf, 0) AS tf, idt.term IS NOT NULL AS in_id,
+           headt.term IS NOT NULL AS in_head
+    FROM tf FULL JOIN idt USING (df_id, term) FULL JOIN headt USING (df_id, term) JOIN lens USING (df_id)
+"""))
+def _(d: Data) -> DataFrame:
+    return search.postings(_texts(d))
 
 
-@query("postings", bm25_sql("the", "SELECT df_id, term, dl AS doc_length, tf FROM tf JOIN lens USING (df_id)"))
+@query("corpus_size", bm25_sql("the", "SELECT n AS n_docs, round(a, 4) AS avg_length FROM size"))
 def _(d: Data) -> DataFrame:
-    return search.postings(_texts(d)).withColumn("doc_length", F.col("doc_length").cast("long"))
+    return _index(d, _texts(d))[1].withColumn("avg_length", F.round("avg_length", 4))
 
 
 @query("expand_prefix", f"""
@@ -123,14 +136,12 @@ def _(d: Data) -> DataFrame:
     return search.expand_prefix(tokens, words(d.documents, "text", "term"))
 
 
-@query("bm25_score", bm25_sql(QUERY, "SELECT df_id, round(bm25, 4) AS score FROM base WHERE bm25 > 0"))
+@query("bm25_score", bm25_sql(QUERY, """
+    SELECT df_id, round(bm25, 4) AS bm25, round(score, 4) AS score FROM scored
+"""))
 def _(d: Data) -> DataFrame:
-    texts = _texts(d)
-    size = search.corpus_size(texts)
-    index = search.postings(texts)
-    return search.bm25_score(index, search.bm25_stats(index, size), size, QUERY).withColumn(
-        "score", F.round("score", 4)
-    )
+    scored = search.bm25_score(*_index(d, _texts(d)), QUERY)
+    return scored.select("df_id", F.round("bm25", 4).alias("bm25"), F.round("score", 4).alias("score"))
 
 
 @query("field_boosts", bm25_sql(

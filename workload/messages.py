@@ -106,7 +106,7 @@ def _dataflow_messages(d: Data) -> DataFrame:
         '<s:Dataflow id="IT_<<p_partkey>>" version="2.0"><c:Name xml:lang="it">Solo <<p_name>></c:Name></s:Dataflow>'
         "</s:Dataflows>"
     ) + TAIL
-    return d.part.select(_message(template).alias("message"))
+    return d.spread("part").select(_message(template).alias("message"))
 
 
 @query("flatten_dataflows", """
@@ -129,7 +129,7 @@ def _(d: Data) -> DataFrame:
         F.struct(F.lit("en").alias("_lang"), F.col("p_name").alias("_VALUE")),
         F.struct(F.lit("it").alias("_lang"), F.concat(F.lit("Nome "), "p_name").alias("_VALUE")),
     )
-    flows = d.part.select(
+    flows = d.spread("part").select(
         F.concat(F.lit("DF_"), F.col("p_partkey").cast("string")).alias("_id"),
         F.concat(F.lit("1."), F.col("p_size").cast("string")).alias("_version"), name.alias("Name"),
         F.struct(F.struct(F.col("p_brand").alias("_id")).alias("Ref")).alias("Structure"),
@@ -182,7 +182,7 @@ def _structure_messages(d: Data) -> DataFrame:
         f'<s:Dimension id="LOST">{concept}</s:Dimension>'
         "</s:DimensionList></s:DataStructureComponents></s:DataStructure></s:DataStructures>"
     ) + TAIL
-    return d.part.select(_message(template).alias("message"))
+    return d.spread("part").select(_message(template).alias("message"))
 
 
 @query("flatten_dimensions", """
@@ -209,7 +209,7 @@ def _(d: Data) -> DataFrame:
         _message('<s:CoreRepresentation><s:Enumeration><Ref id="CL_<<p_brand>>_<<p_size>>"/></s:Enumeration>'
                  "</s:CoreRepresentation>"),
     )
-    messages = d.part.select(_message(template, inner=inner).alias("message"))
+    messages = d.spread("part").select(_message(template, inner=inner).alias("message"))
     concepts = xml.flatten_concepts(xml.parse_elements(messages, "message", "ConceptScheme"))
     dims = xml.flatten_dimensions(xml.parse_elements(_structure_messages(d), "message", "DataStructure"))
     return xml.resolve_concept_codelists(dims, concepts).select("structure_id", "dimension_id", "codelist_id")
@@ -229,7 +229,7 @@ def _(d: Data) -> DataFrame:
     ) + TAIL
     order = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_custkey").cast("string")).otherwise(F.lit("9.5x"))
     parent = F.when(F.col("c_acctbal") > 0, _message('<s:Parent><Ref id="N<<c_nationkey>>"/></s:Parent>'))
-    messages = d.customer.select(_message(template, order=order, parent=parent).alias("message"))
+    messages = d.spread("customer").select(_message(template, order=order, parent=parent).alias("message"))
     return xml.flatten_codelist(xml.parse_elements(messages, "message", "Codelist"), "it")
 
 
@@ -243,7 +243,7 @@ def _constraint_messages(d: Data) -> DataFrame:
         '<c:KeyValue id="STATUS"><c:Value><<l_linestatus>></c:Value><c:Value>T</c:Value></c:KeyValue>'
         '<c:KeyValue id="EMPTY"><c:Value/></c:KeyValue></s:CubeRegion></s:ContentConstraint></s:Constraints>'
     ) + TAIL
-    return d.lineitem.select("l_orderkey", "l_linenumber", _message(template).alias("message"))
+    return d.spread("lineitem").select("l_orderkey", "l_linenumber", _message(template).alias("message"))
 
 
 @query("flatten_constraints", """
@@ -282,7 +282,7 @@ def _(d: Data) -> DataFrame:
         '<g:Value id="FLAG" value="<<l_returnflag>>"/><g:Value id="SUPP" value="<<l_suppkey>>"/>'
         '<g:Value id="NONE" value=""/></g:SeriesKey></g:Series></g:DataSet></g:GenericData>'
     )
-    messages = d.lineitem.select(_message(template).alias("message"))
+    messages = d.spread("lineitem").select(_message(template).alias("message"))
     return xml.flatten_series_keys(xml.parse_elements(messages, "message", "Series"))
 
 
@@ -303,7 +303,7 @@ def _(d: Data) -> DataFrame:
         '<s:Category id="D"><c:Name xml:lang="it">Only</c:Name></s:Category>'
         '<s:Category><s:Category id="HIDDEN"/></s:Category></s:CategoryScheme></s:CategorySchemes>'
     ) + TAIL
-    messages = d.supplier.select(_message(template).alias("message"))
+    messages = d.spread("supplier").select(_message(template).alias("message"))
     return xml.flatten_category_scheme(xml.parse_elements(messages, "message", "CategoryScheme"), "en")
 
 
@@ -319,7 +319,7 @@ def _(d: Data) -> DataFrame:
     ) + TAIL
     kind = F.when(F.col("p_type") == "SMALL", "Codelist").otherwise("Dataflow")
     scheme = F.when(F.col("p_size") != 5, F.col("p_brand"))
-    messages = d.part.select(_message(template, kind=kind, scheme=scheme).alias("message"))
+    messages = d.spread("part").select(_message(template, kind=kind, scheme=scheme).alias("message"))
     return xml.flatten_categorisation(xml.parse_elements(messages, "message", "Categorisation"), prefix_agency=True)
 
 
@@ -344,7 +344,7 @@ def _(d: Data) -> DataFrame:
         return (F.instr(F.lit(codes), F.col(column)) - 1).cast("string")
 
     message = _message(template, status=index("FO", "l_linestatus"), flag=index("ANR", "l_returnflag"))
-    messages = d.lineitem.select(message.alias("message"))
+    messages = d.spread("lineitem").select(message.alias("message"))
     return js.flatten_sdmx_json(messages, "message", ["FLAG", "STATUS", "TIME_PERIOD"])
 
 
@@ -357,7 +357,7 @@ def _hub_messages(d: Data) -> DataFrame:
         '"datasetIdentifiers":["X,E<<s_suppkey>>"],"childrenCategories":[]}]}]}]}],'
         '"datasetMap":{"X,D<<s_suppkey>>,2.0":{"title":"Title <<s_name>>"},"X,SHARED,1.1":{"title":""}}}'
     )
-    return d.supplier.select("s_suppkey", _message(template).alias("message"))
+    return d.spread("supplier").select("s_suppkey", _message(template).alias("message"))
 
 
 @query("flatten_hub_catalog", """
@@ -398,7 +398,7 @@ def _(d: Data) -> DataFrame:
         '{"id":"TIME_PERIOD","label":"Time"},'
         '{"id":"<<p_type>>","label":"<<p_name>>","extra":{"DataStructureRef":"X+CL_<<p_type>>+1.0"}}]}'
     )
-    messages = d.part.select("p_partkey", _message(template).alias("message"))
+    messages = d.spread("part").select("p_partkey", _message(template).alias("message"))
     return js.flatten_hub_structure(messages, "message", ["p_partkey"])
 
 
@@ -410,7 +410,7 @@ def _(d: Data) -> DataFrame:
         '{"criteria":[{"id":"STATUS","values":[{"id":"<<o_orderstatus>>"},{"id":""},{"id":"<<o_orderpriority>>"}]},'
         '{"id":"time_period","values":[{"id":"2020"}]},{"id":"NONE","values":[]}]}'
     )
-    messages = d.orders.select("o_orderkey", _message(template).alias("message"))
+    messages = d.spread("orders").select("o_orderkey", _message(template).alias("message"))
     return js.flatten_hub_values(messages, "message", ["o_orderkey"])
 
 

@@ -9,9 +9,12 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statcube.session import scratch_path
+from statcube.session import scratch_path, spread
 from workload.views import TABLES, VIEWS
 
+# Tables whose rows are costly to work on: texts to tokenise or to parse.
+LONG_TEXTS = ("documents", "pages")
+
 _PLACE = re.compile(r"\{(%s)\}" % "|".join([*TABLES, *VIEWS]))
 
 
@@ -30,7 +33,8 @@ class Data:
                 needed = set(_PLACE.findall(VIEWS[name]))
                 self._built[name] = self.spark.sql(VIEWS[name], **{n: getattr(self, n) for n in needed})
             elif name in TABLES:
-                self._built[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                self._built[name] = spread(table) if name in LONG_TEXTS else table
             else:
                 raise AttributeError(name)
         return self._built[name]
@@ -39,6 +43,10 @@ class Data:
     def codelists(self) -> DataFrame:
         return self.codes.withColumnRenamed("ord", "order")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table about to be turned into messages and parsed."""
+        return spread(getattr(self, name))
+
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 

@@ -6,14 +6,11 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# The period forms and their patterns.
-YEAR = "^[0-9]{4}$"
-MONTH = "^[0-9]{4}-[0-9]{2}$"
-QUARTER = "^[0-9]{4}-Q[1-4]$"
-SEMESTER = "^[0-9]{4}-S[1-2]$"
-WEEK = "^[0-9]{4}-W[0-9]{2}$"
-DAY = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-ALL_FORMS = (YEAR, MONTH, QUARTER, SEMESTER, WEEK, DAY)
+# The period forms (year, month, quarter, semester, week, day) as one
+# pattern, and where quarters and semesters start.
+PERIOD = "^[0-9]{4}(-([0-9]{2}|Q[1-4]|S[1-2]|W[0-9]{2}|[0-9]{2}-[0-9]{2}))?$"
+QUARTER_STARTS = {"1": "01-01", "2": "04-01", "3": "07-01", "4": "10-01"}
+SEMESTER_STARTS = {"1": "01-01", "2": "07-01"}
 
 _BLANKS = " \t\n\r\f\x0b"
 
@@ -22,47 +19,57 @@ def _clean(period: Column) -> Column:
     return F.btrim(period.cast("string"), F.lit(_BLANKS))
 
 
-def _date(text: Column) -> Column:
-    return F.try_to_date(text, "yyyy-MM-dd")
+def _letter(p: Column) -> Column:
+    """Q, S or W of a period; a digit or nothing for the other forms."""
+    return F.substring(p, 6, 1)
 
 
-def _number(text: Column, start: int, length: int) -> Column:
-    return F.substring(text, start, length).cast("int")
+def _start_of(number: Column, starts: dict[str, str]) -> Column:
+    (first, day), *rest = starts.items()
+    chain = F.when(number == first, day)
+    for other, later in rest:
+        chain = chain.when(number == other, later)
+    return chain
 
 
 def parse_time_period(period: Column) -> Column:
     """First day of a period text; null when it is no period or no real date.
 
-    Week n starts 7*(n-1) days after 1 January; these are not ISO weeks.
+    Week n starts 7*(n-1) days after 1 January; these are not ISO weeks.  One pattern
+    decides, the rest is cutting and one cast.
     """
     p = _clean(period)
-    first_january = _date(F.concat(F.substring(p, 1, 4), F.lit("-01-01")))
-    return (
-        F.when(p.rlike(MONTH), _date(F.concat(p, F.lit("-01"))))
-        .when(p.rlike(YEAR), first_january)
-        .when(p.rlike(DAY), _date(p))
-        .when(p.rlike(QUARTER), F.add_months(first_january, (_number(p, 7, 1) - 1) * 3).cast("date"))
-        .when(p.rlike(SEMESTER), F.add_months(first_january, (_number(p, 7, 1) - 1) * 6).cast("date"))
-        .when(p.rlike(WEEK), F.date_add(first_january, (_number(p, 7, 2) - 1) * 7))
+    number = F.substring(p, 7, 1)
+    month_day = (
+        F.when(F.length(p) == 4, "01-01")
+        .when(F.length(p) == 10, F.substring(p, 6, 5))
+        .when(_letter(p) == "W", "01-01")
+        .when(_letter(p) == "Q", _start_of(number, QUARTER_STARTS))
+        .when(_letter(p) == "S", _start_of(number, SEMESTER_STARTS))
+        .otherwise(F.concat(F.substring(p, 6, 2), F.lit("-01")))
     )
+    first = F.when(p.rlike(PERIOD), F.concat(F.substring(p, 1, 4), F.lit("-"), month_day)).try_cast("date")
+    weeks = F.when(_letter(p) == "W", F.substring(p, 7, 2).try_cast("int") - 1).otherwise(0)
+    return F.date_add(first, weeks * 7)
 
 
 def period_end(period: Column) -> Column:
     """Last day of a period text."""
     p = _clean(period)
     first = parse_time_period(period)
-    months = F.when(p.rlike(MONTH), 1).when(p.rlike(QUARTER), 3).when(p.rlike(SEMESTER), 6)
+    months = (
+        F.when(F.length(p) == 4, 12).when(_letter(p) == "Q", 3).when(_letter(p) == "S", 6).otherwise(1)
+    )
     return (
-        F.when(p.rlike(DAY), first)
-        .when(p.rlike(WEEK), F.date_add(first, 6))
-        .when(p.rlike(YEAR), F.date_sub(F.add_months(first, 12), 1))
+        F.when(F.length(p) == 10, first)
+        .when(_letter(p) == "W", F.date_add(first, 6))
         .otherwise(F.date_sub(F.add_months(first, months), 1))
     )
 
 
 def is_period(text: str) -> bool:
     """True when a literal has one of the period forms."""
-    return any(re.match(form, text.strip()) for form in ALL_FORMS)
+    return re.match(PERIOD, text.strip()) is not None
 
 
 def year_text(when: Column) -> Column:

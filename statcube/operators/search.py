@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from statcube.functions.text import tokenize
-from statcube.session import cut_lineage
+from statcube.session import broadcast_within, cut_lineage
 
 # Fixed values of the ranking: Okapi constants, field boosts, weight of prefix hits.
 K1 = 1.5
@@ -181,7 +181,7 @@ def _score(rows: DataFrame, doc_id: str, tokens: Sequence[str], n_docs: Column,
         / (tf + K1 * (1 - B + B * F.col("doc_length") / avg_length))
     )
     per_position = (
-        rows.join(expansions, "term")
+        rows.join(broadcast_within(expansions), "term")
         .groupBy(doc_id, "position")
         .agg(
             F.sum(part).alias("_bm25"), F.max(F.col("in_id").cast("int")).alias("_id"),
@@ -276,7 +276,9 @@ def search(catalog: DataFrame, query: str, columns: Sequence[str] = TEXT_COLUMNS
     ranking = accepted.join(scores, "df_id", "left").select(
         "df_id", F.coalesce("score", F.lit(0.0)).alias("score")
     )
-    return catalog.join(ranking, "df_id").orderBy(F.desc("score"), "df_id")
+    # Measured, so that the texts of the catalog are not shuffled to meet a short list.
+    hits_only = broadcast_within(cut_lineage(ranking))
+    return catalog.join(hits_only, "df_id").orderBy(F.desc("score"), "df_id")
 
 
 def legacy_score(

@@ -95,12 +95,16 @@ def selectable_leaves(values: DataFrame) -> DataFrame:
         *keys, F.coalesce("name", F.lit("")).alias("name"), "parent",
         F.coalesce("is_selectable", F.lit(True)).alias("is_selectable"),
     ).where(F.coalesce("id", F.lit("")) != "")
-    level = nodes.where(F.col("parent").isNull()).dropDuplicates(keys)
-    seen = cut_lineage(level)
+    rest = ["name", "parent", "is_selectable"]
+
+    def one_each(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_n")).select(*keys, "_n.*")
+
+    seen = cut_lineage(one_each(nodes.where(F.col("parent").isNull())))
     frontier = seen
     while not frontier.where(~F.col("is_selectable")).isEmpty():
         inner = frontier.where(~F.col("is_selectable")).select("dimension_id", F.col("id").alias("parent"))
-        children = nodes.join(inner.distinct(), ["dimension_id", "parent"], "left_semi").dropDuplicates(keys)
+        children = one_each(nodes.join(inner.distinct(), ["dimension_id", "parent"], "left_semi"))
         frontier = cut_lineage(children.join(seen.select(*keys), keys, "left_anti").select(*nodes.columns))
         seen = seen.unionByName(frontier)
     return seen.where("is_selectable").select(*keys, "name")

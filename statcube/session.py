@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -61,3 +61,20 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+# Largest frame sent to every executor, in bytes of its values.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a checkpointed frame for broadcast when its measured size is within a limit.
+
+    Beyond the limit the frame is returned as it is and the join shuffles.
+    """
+    width = F.lit(0).cast("long")
+    for column in df.schema:
+        text = isinstance(column.dataType, T.StringType)
+        width = width + (F.coalesce(F.octet_length(column.name), F.lit(0)) + 16 if text else F.lit(16))
+    measured = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+    return F.broadcast(df) if measured <= limit else df

@@ -7,10 +7,9 @@ import re
 from pyspark.sql import Column, functions as F
 
 # The period forms (year, month, quarter, semester, week, day) as one
-# pattern, and where quarters and semesters start.
-PERIOD = "^[0-9]{4}(-([0-9]{2}|Q[1-4]|S[1-2]|W[0-9]{2}|[0-9]{2}-[0-9]{2}))?$"
-QUARTER_STARTS = {"1": "01-01", "2": "04-01", "3": "07-01", "4": "10-01"}
-SEMESTER_STARTS = {"1": "01-01", "2": "07-01"}
+# pattern, and the first month of quarters and semesters.
+PERIOD = r"^\s*[0-9]{4}(-([0-9]{2}|Q[1-4]|S[1-2]|W[0-9]{2}|[0-9]{2}-[0-9]{2}))?\s*$"
+FIRST_MONTH = {"-Q1": "-01", "-Q2": "-04", "-Q3": "-07", "-Q4": "-10", "-S1": "-01", "-S2": "-07"}
 
 _BLANKS = " \t\n\r\f\x0b"
 
@@ -24,33 +23,22 @@ def _letter(p: Column) -> Column:
     return F.substring(p, 6, 1)
 
 
-def _start_of(number: Column, starts: dict[str, str]) -> Column:
-    (first, day), *rest = starts.items()
-    chain = F.when(number == first, day)
-    for other, later in rest:
-        chain = chain.when(number == other, later)
-    return chain
-
-
 def parse_time_period(period: Column) -> Column:
     """First day of a period text; null when it is no period or no real date.
 
-    Week n starts 7*(n-1) days after 1 January; these are not ISO weeks.  One pattern
-    decides, the rest is cutting and one cast.
+    Week n starts 7*(n-1) days after 1 January; these are not ISO weeks.  The optimizer
+    copies this expression into filters, so it names its input as rarely as it can.
     """
-    p = _clean(period)
-    number = F.substring(p, 7, 1)
-    month_day = (
-        F.when(F.length(p) == 4, "01-01")
-        .when(F.length(p) == 10, F.substring(p, 6, 5))
-        .when(_letter(p) == "W", "01-01")
-        .when(_letter(p) == "Q", _start_of(number, QUARTER_STARTS))
-        .when(_letter(p) == "S", _start_of(number, SEMESTER_STARTS))
-        .otherwise(F.concat(F.substring(p, 6, 2), F.lit("-01")))
+    text, trimmed = period.cast("string"), _clean(period)
+    as_month = text
+    for form, month in FIRST_MONTH.items():
+        as_month = F.replace(as_month, F.lit(form), F.lit(month))
+    first_january = F.concat(F.substring(trimmed, 1, 4), F.lit("-01-01")).try_cast("date")
+    week = F.date_add(first_january, (F.substring(trimmed, 7, 2).try_cast("int") - 1) * 7)
+    # The cast to date ignores blanks around the text by itself.
+    return F.when(
+        text.rlike(PERIOD), F.when(text.contains("-W"), week).otherwise(as_month.try_cast("date"))
     )
-    first = F.when(p.rlike(PERIOD), F.concat(F.substring(p, 1, 4), F.lit("-"), month_day)).try_cast("date")
-    weeks = F.when(_letter(p) == "W", F.substring(p, 7, 2).try_cast("int") - 1).otherwise(0)
-    return F.date_add(first, weeks * 7)
 
 
 def period_end(period: Column) -> Column:

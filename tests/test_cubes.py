@@ -25,6 +25,10 @@ PERIODS = {
     "2023-02-30": (None, None),
     "2023-Q5": (None, None),
     "not-a-date": (None, None),
+    **{odd: (None, None) for odd in (
+        "2023-1", "2023-1-", "2023-1T", "12345-1", "12345-1-01", "2023-1-1T1", "2023-01-1T", "2023-W1", "2023-W+1",
+        "2023-S3", "2023Q1", "20a3", "+2023", "-2023-1", "2023-01-01T00", "2023-W001", "2023-QQ", "", "2023/01",
+    )},
     None: (None, None),
 }
 

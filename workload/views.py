@@ -18,9 +18,9 @@ VIEWS: dict[str, str] = {
         SELECT 'M' AS FREQ, cast(s.s_nationkey AS string) AS GEO, cast(a.l_suppkey AS string) AS SUPP,
                a.FLAG, a.STATUS, a.TIME_PERIOD, a.OBS_VALUE
         FROM (SELECT l_suppkey, l_returnflag AS FLAG, l_linestatus AS STATUS,
-                     substr(cast(l_shipdate AS string), 1, 7) AS TIME_PERIOD, sum(l_quantity) AS OBS_VALUE
+                     substr(cast(cast(l_shipdate AS date) AS string), 1, 7) AS TIME_PERIOD, sum(l_quantity) AS OBS_VALUE
               FROM {lineitem}
-              GROUP BY l_suppkey, l_returnflag, l_linestatus, substr(cast(l_shipdate AS string), 1, 7)) a
+              GROUP BY l_suppkey, l_returnflag, l_linestatus, substr(cast(cast(l_shipdate AS date) AS string), 1, 7)) a
         JOIN {supplier} s ON s.s_suppkey = a.l_suppkey
     """,
     "obs_dates": """
@@ -30,8 +30,8 @@ VIEWS: dict[str, str] = {
     # Daily cube of events.
     "obs_daily": """
         SELECT event_type AS EVENT, cast(user_id AS string) AS PERSON,
-               substr(cast(ts AS string), 1, 10) AS TIME_PERIOD, cast(count(*) AS double) AS OBS_VALUE
-        FROM {events} GROUP BY event_type, cast(user_id AS string), substr(cast(ts AS string), 1, 10)
+               cast(cast(ts AS date) AS string) AS TIME_PERIOD, cast(count(*) AS double) AS OBS_VALUE
+        FROM {events} GROUP BY event_type, cast(user_id AS string), cast(cast(ts AS date) AS string)
     """,
     # Period texts of every form, from order dates.
     "periods": """
@@ -46,7 +46,7 @@ VIEWS: dict[str, str] = {
                     WHEN 6 THEN concat(' ', substr(d, 1, 4), '-13')
                     WHEN 7 THEN concat(substr(d, 1, 4), '-02-30')
                     ELSE o_orderpriority END AS period
-        FROM (SELECT o_orderkey, o_orderpriority, cast(o_orderdate AS string) AS d FROM {orders}) x
+        FROM (SELECT o_orderkey, o_orderpriority, cast(cast(o_orderdate AS date) AS string) AS d FROM {orders}) x
     """,
     # Codelists (column ``ord`` is the order).  Flag R has no name on purpose.
     "codes": """
@@ -113,7 +113,7 @@ VIEWS: dict[str, str] = {
     "context": """
         SELECT concat('DF_', cast(l_partkey AS string)) AS df_id, max(l_shipmonth) AS cat_context,
                min(l_returnflag) AS cat_primary
-        FROM (SELECT l_partkey, substr(cast(l_shipdate AS string), 1, 7) AS l_shipmonth, l_returnflag
+        FROM (SELECT l_partkey, substr(cast(cast(l_shipdate AS date) AS string), 1, 7) AS l_shipmonth, l_returnflag
               FROM {lineitem}) x
         GROUP BY l_partkey
     """,
@@ -173,7 +173,7 @@ VIEWS: dict[str, str] = {
     # Calendar events, one per order.
     "releases": """
         SELECT concat('U', cast(o_orderkey AS string)) AS uid, o_orderpriority AS summary,
-               substr(cast(o_orderdate AS string), 1, 10) AS date,
+               cast(cast(o_orderdate AS date) AS string) AS date,
                CASE o_orderstatus WHEN 'F' THEN 'economy' WHEN 'O' THEN 'science' ELSE 'transport' END AS theme,
                CASE WHEN o_custkey % 2 = 0 THEN 'Data release' ELSE 'News' END AS category
         FROM {orders}

@@ -9,7 +9,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statcube.functions.text import blank_to_null
 from statcube.functions.vectors import NORM_FLOOR, cosine, literal_vector
 from statcube.model import EMBEDDINGS
 from statcube.operators.series import ranked
@@ -124,8 +123,3 @@ def semantic_batch(vectors: DataFrame, queries: DataFrame, catalog: DataFrame, n
 
 def min_score(hits: DataFrame, threshold: float | Column) -> DataFrame:
     return hits.where(F.col("score") >= threshold)
-
-
-def non_blank(column: str) -> Column:
-    """Trimmed text or null, for prose tables."""
-    return blank_to_null(F.col(column))

@@ -10,32 +10,26 @@ from statcube.model import VALUE
 from statcube.operators.archive import ARCHIVE_ORDER
 
 SUPPRESSED = "_"
-_CSV = {"header": "true", "inferSchema": "false", "escape": '"', "multiLine": "true"}
+_CSV = {"header": "true", "inferSchema": "false", "escape": '"'}
+
+
+def _csv_options(multi_line: bool, separator: str = ",") -> dict[str, str]:
+    return {**_CSV, "multiLine": str(multi_line).lower(), "sep": separator}
 
 
 def suffix_of(path: str) -> str:
     return PurePosixPath(path).suffix.lower()
 
 
-def read_observations(spark: SparkSession, path: str, null_marker: str | None = None) -> DataFrame:
+def read_observations(
+    spark: SparkSession, path: str, null_marker: str | None = None, multi_line: bool = False
+) -> DataFrame:
     """Observation CSV: every column text, the value a double (null when no number).
 
-    One file must fit one task only when it has quoted line breaks; without them set
-    ``multiLine`` off by reading with :func:`read_observation_lines`.
-    """
-    return _observations(spark, path, null_marker, multi_line=True)
-
-
-def read_observation_lines(spark: SparkSession, path: str, null_marker: str | None = None) -> DataFrame:
-    """As :func:`read_observations` for files without line breaks inside quotes.
-
-    Such files are split, so one huge file is read by many tasks.
+    Files are split over tasks.  ``multi_line`` is for line breaks inside quotes; a file
+    is then one task.
     """
-    return _observations(spark, path, null_marker, multi_line=False)
-
-
-def _observations(spark: SparkSession, path: str, null_marker: str | None, multi_line: bool) -> DataFrame:
-    options = dict(_CSV, multiLine=str(multi_line).lower())
+    options = _csv_options(multi_line)
     if null_marker is not None:
         options["nullValue"] = null_marker
     rows = spark.read.options(**options).csv(path)
@@ -46,7 +40,7 @@ def _observations(spark: SparkSession, path: str, null_marker: str | None, multi
 
 def read_suppressed_csv(spark: SparkSession, path: str) -> DataFrame:
     """Observation CSV in which ``_`` marks a suppressed cell, in any column."""
-    return read_observation_lines(spark, path, null_marker=SUPPRESSED)
+    return read_observations(spark, path, null_marker=SUPPRESSED)
 
 
 def value_failures(raw: DataFrame, value: str = VALUE) -> DataFrame:
@@ -55,13 +49,13 @@ def value_failures(raw: DataFrame, value: str = VALUE) -> DataFrame:
     return raw.agg(F.count_if(bad).alias("n_bad_values"))
 
 
-def read_local(spark: SparkSession, path: str) -> DataFrame:
+def read_local(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """csv, tsv or parquet by suffix; text columns stay text."""
     suffix = suffix_of(path)
     if suffix == ".parquet":
         return spark.read.parquet(path)
     if suffix in (".csv", ".tsv"):
-        return spark.read.options(**_CSV, sep="\t" if suffix == ".tsv" else ",").csv(path)
+        return spark.read.options(**_csv_options(multi_line, "\t" if suffix == ".tsv" else ",")).csv(path)
     raise ValueError(f"cannot read {suffix!r}: use .csv, .tsv or .parquet")
 
 

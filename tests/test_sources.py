@@ -29,7 +29,7 @@ def test_round_trip(spark, rows, tmp_path, suffix):
     df = spark.createDataFrame([("a,b", 'say "hi"'), ("line\nbreak", None)], "id string, text string")
     path = f"{tmp_path}/out.{suffix}"
     tabular.write_output(df, path)
-    back = spark.read.json(path) if suffix == "json" else tabular.read_local(spark, path)
+    back = spark.read.json(path) if suffix == "json" else tabular.read_local(spark, path, multi_line=True)
     assert rows(back, "id", "text") == rows(df)
 
 

@@ -28,7 +28,7 @@ def _csv_of_obs(d: Data, marker: str | None = None) -> str:
 
 @query("read_observations", f"SELECT {ALL} FROM {{obs}}")
 def _(d: Data) -> DataFrame:
-    return tabular.read_observation_lines(d.spark, _csv_of_obs(d))
+    return tabular.read_observations(d.spark, _csv_of_obs(d))
 
 
 @query("read_suppressed_csv", """
@@ -43,7 +43,7 @@ def _(d: Data) -> DataFrame:
 def _(d: Data) -> DataFrame:
     path = d.scratch("pages") + ".tsv"
     d.pages.write.options(header="true", sep="\t", escape='"').csv(path)
-    return tabular.read_local(d.spark, path)
+    return tabular.read_local(d.spark, path, multi_line=True)
 
 
 @query("write_output", "SELECT doc_id, text, lang, source, n_chars FROM {documents}")

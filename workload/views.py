@@ -119,11 +119,10 @@ VIEWS: dict[str, str] = {
     """,
     # Codes occurring per dataflow.
     "avail": """
-        SELECT DISTINCT concat('DF_', cast(l_partkey AS string)) AS df_id, 'FLAG' AS dimension_id,
-               l_returnflag AS code_id FROM {lineitem}
-        UNION ALL SELECT DISTINCT concat('DF_', cast(l_partkey AS string)), 'STATUS', l_linestatus FROM {lineitem}
-        UNION ALL SELECT DISTINCT concat('DF_', cast(l_partkey AS string)), 'SUPP', cast(l_suppkey AS string)
-               FROM {lineitem}
+        SELECT DISTINCT df_id, dimension_id, code_id
+        FROM (SELECT concat('DF_', cast(l_partkey AS string)) AS df_id, l_returnflag AS FLAG, l_linestatus AS STATUS,
+                     cast(l_suppkey AS string) AS SUPP FROM {lineitem})
+        UNPIVOT (code_id FOR dimension_id IN (FLAG, STATUS, SUPP))
     """,
     # Probe status: every second dataflow was probed before.
     "status": """

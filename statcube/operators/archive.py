@@ -104,7 +104,8 @@ def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str], stamp: str =
 
 def blacklist_upsert(blacklist: DataFrame, rows: DataFrame, marked_at: str) -> DataFrame:
     """Add or replace blacklisted ids, marked at the given time."""
-    marked = rows.select("df_id", F.lit(marked_at).cast("timestamp").alias("marked_at"), "description")
+    when = F.lit(marked_at).cast(blacklist.schema["marked_at"].dataType)
+    marked = rows.select("df_id", when.alias("marked_at"), "description")
     return upsert(blacklist.select("df_id", "marked_at", "description"), marked, ["df_id"], "marked_at")
 
 

@@ -16,12 +16,12 @@ from statcube.operators.timeaxis import with_dates
 def fetch(cube: DataFrame, query: CubeQuery, dims: Sequence[str], ordered: bool = True) -> DataFrame:
     """Observations of a query.
 
-    Code filters come first, so they reach the scan; the window then works on dates
-    (a cube stored with dates has it pushed down as well).  ``ordered=False`` spares
-    the global sort where the order does not matter.
+    Codes and the window are filtered first, so they reach the scan (the window of a
+    cube stored with dates does so too).  ``ordered=False`` spares the global sort where
+    the order does not matter.
     """
-    rows = with_dates(filter_dims(cube, query.filters, dims))
-    rows = filter_period(rows, query.start, query.end)
+    rows = filter_period(filter_dims(cube, query.filters, dims), query.start, query.end)
+    rows = with_dates(rows)
     if query.first_n and query.last_n:
         rows = first_and_last_n(rows, dims, query.first_n, query.last_n)
     elif query.first_n:

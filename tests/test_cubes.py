@@ -105,6 +105,9 @@ def test_filters(spark, rows):
 def test_period_window_is_exact(spark, rows):
     df = spark.createDataFrame([(p,) for p in ("2019-12", "2020-01", "2020-03", "2020-04", "bad")], "TIME_PERIOD string")
     assert rows(filters.filter_period(df, "2020", "2020-Q1")) == [("2020-01",), ("2020-03",)]
+    assert rows(filters.filter_period(df, "2020-04")) == [("2020-04",)]
+    assert rows(filters.filter_period(df, end="2019")) == [("2019-12",)]
+    assert filters.filter_period(df, "2021", "2020").count() == 0
     with pytest.raises(ValueError):
         filters.filter_period(df, "yesterday")
 

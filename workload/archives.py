@@ -31,8 +31,7 @@ def _(d: Data) -> DataFrame:
     rows = d.part.where("p_type = 'LARGE'").select(
         F.concat(F.lit("DF_"), F.col("p_partkey").cast("string")).alias("df_id"), F.col("p_name").alias("description")
     )
-    listed = d.blacklist.withColumn("marked_at", F.col("marked_at").cast("timestamp"))
-    return archive.blacklist_upsert(listed, rows, "2002-01-01")
+    return archive.blacklist_upsert(d.blacklist, rows, "2002-01-01")
 
 
 @query("blacklist_remove", """

@@ -11,7 +11,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from statcube.functions.text import tokenize
 from statcube.session import broadcast_within, cut_lineage
@@ -201,20 +201,34 @@ def _reached(tokens: Column, starts: Sequence[str]) -> Column:
     return F.filter(tokens, lambda t: reduce(Column.__or__, [t.startswith(s) for s in starts]))
 
 
-def _facts(docs: DataFrame, doc_id: str, text: Column, tokens: Sequence[str], hits: Column) -> DataFrame:
-    """The short row of each document, checkpointed: the only pass over the text."""
-    starts = _reach(tokens)
+def _facts(
+    docs: DataFrame, doc_id: str, text: Column, tokens: Sequence[str], hits: Column
+) -> tuple[DataFrame, Column, Column, Column]:
+    """Short rows of the documents the query touches, and what the whole corpus says.
+
+    This is the only pass over the text.  Number of documents, average length and the
+    best number of hits are observed on all rows of that same pass; rows the query does
+    not touch are then dropped, so the checkpoint is as long as the answer.
+    """
+    starts, corpus = _reach(tokens), Observation()
     all_tokens = docs.select(doc_id, hits.alias("hits"), text.alias("_text")).withColumn(
         "_tokens", tokenize(F.col("_text"))
     )
-    return cut_lineage(
-        all_tokens.select(
-            doc_id, "hits", F.size("_tokens").alias("doc_length"),
-            _reached(F.col("_tokens"), starts).alias("_terms"),
-            _reached(tokenize(F.col(doc_id)), starts).alias("_id_terms"),
-            _reached(tokenize(F.substring("_text", 1, HEAD_CHARS)), starts).alias("_head_terms"),
-        )
+    rows = all_tokens.select(
+        doc_id, "hits", F.size("_tokens").alias("doc_length"),
+        _reached(F.col("_tokens"), starts).alias("_terms"),
+        _reached(tokenize(F.col(doc_id)), starts).alias("_id_terms"),
+        _reached(tokenize(F.substring("_text", 1, HEAD_CHARS)), starts).alias("_head_terms"),
     )
+    seen = rows.observe(
+        corpus, F.count(F.lit(1)).alias("n"), F.sum("doc_length").alias("words"), F.max("hits").alias("hits")
+    )
+    facts = cut_lineage(seen.where((F.col("hits") > 0) | (F.size("_terms") > 0)))
+    # A corpus known to be empty is planned away together with its observation.
+    whole = corpus.get if not docs.isEmpty() else {}
+    n_docs, words = whole.get("n") or 0, whole.get("words") or 0
+    average = words / n_docs if words else 1.0
+    return facts, F.lit(n_docs), F.lit(float(average)), F.lit(whole.get("hits") or 0)
 
 
 def _term_rows(facts: DataFrame, doc_id: str) -> DataFrame:
@@ -230,25 +244,13 @@ def _term_rows(facts: DataFrame, doc_id: str) -> DataFrame:
     )
 
 
-def _size_of(facts: DataFrame) -> tuple[Column, Column, Column]:
-    average = F.avg("doc_length")
-    one = facts.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"), F.when(average > 0, average).otherwise(1.0).alias("a"),
-            F.coalesce(F.max("hits"), F.lit(0)).alias("h"),
-        ).alias("size")
-    ).scalar()
-    return one["n"], one["a"], one["h"]
-
-
 def bm25_search(docs: DataFrame, query: str, doc_id: str = "df_id", text: str = "text") -> DataFrame:
     """(doc_id, bm25, boost, score) of the documents scoring above zero."""
     tokens = query_tokens(query)
     if not tokens:
         return docs.select(doc_id, *[F.lit(0.0).alias(c) for c in ("bm25", "boost", "score")]).limit(0)
     body = F.coalesce(F.col(text), F.lit(""))
-    facts = _facts(docs, doc_id, body, tokens, F.lit(0))
-    n_docs, avg_length, _ = _size_of(facts)
+    facts, n_docs, avg_length, _ = _facts(docs, doc_id, body, tokens, F.lit(0))
     return _score(_term_rows(facts, doc_id), doc_id, tokens, n_docs, avg_length)
 
 
@@ -269,8 +271,8 @@ def search(catalog: DataFrame, query: str, columns: Sequence[str] = TEXT_COLUMNS
     if not tokens:
         return literal_search(catalog, query, columns).orderBy("df_id")
     hits, n_words = _token_hits(catalog, query, columns)
-    facts = _facts(catalog, "df_id", document_text(catalog, columns), tokens, hits)
-    n_docs, avg_length, best = _size_of(facts)
+    text = document_text(catalog, columns)
+    facts, n_docs, avg_length, best = _facts(catalog, "df_id", text, tokens, hits)
     scores = _score(_term_rows(facts, "df_id"), "df_id", tokens, n_docs, avg_length).select("df_id", "score")
     accepted = facts.where(_accepted(F.col("hits"), n_words, best)).select("df_id")
     ranking = accepted.join(scores, "df_id", "left").select(

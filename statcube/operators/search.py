@@ -224,8 +224,8 @@ def _facts(
         corpus, F.count(F.lit(1)).alias("n"), F.sum("doc_length").alias("words"), F.max("hits").alias("hits")
     )
     facts = cut_lineage(seen.where((F.col("hits") > 0) | (F.size("_terms") > 0)))
-    # A corpus known to be empty is planned away together with its observation.
-    whole = corpus.get if not docs.isEmpty() else {}
+    # Without touched rows nothing is needed (an empty corpus may not even be observed).
+    whole = {} if facts.isEmpty() else corpus.get
     n_docs, words = whole.get("n") or 0, whole.get("words") or 0
     average = words / n_docs if words else 1.0
     return facts, F.lit(n_docs), F.lit(float(average)), F.lit(whole.get("hits") or 0)

@@ -1,12 +1,15 @@
 """All queries of this subpackage, with their SQL forms where SQL can express them."""
 
-from statcube.llm import queries_native as native
+from statcube.llm import queries_native as native, queries_text as texts
 
 QUERIES = {
+    "op4_chat_formatting": texts.op4_chat_formatting,
     "op6_mixing": native.op6_mixing,
     "op7_quality_rules": native.op7_quality_rules,
+    "op10_html_extraction": texts.op10_html_extraction,
 }
 
 SQL = {
+    "op4_chat_formatting": texts.OP4_SQL,
     "op6_mixing": native.OP6_SQL,
 }

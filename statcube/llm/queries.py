@@ -1,11 +1,12 @@
 """All queries of this subpackage, with their SQL forms where SQL can express them."""
 
-from statcube.llm import queries_native as native, queries_text as texts
+from statcube.llm import queries_native as native, queries_pairs as pairs, queries_text as texts
 
 QUERIES = {
     "op4_chat_formatting": texts.op4_chat_formatting,
     "op6_mixing": native.op6_mixing,
     "op7_quality_rules": native.op7_quality_rules,
+    "op9_minhash_near_dedup": pairs.op9_minhash_near_dedup,
     "op10_html_extraction": texts.op10_html_extraction,
 }
 

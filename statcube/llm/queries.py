@@ -3,6 +3,7 @@
 from statcube.llm import queries_native as native, queries_pairs as pairs, queries_text as texts
 
 QUERIES = {
+    "op1_substring_dedup": pairs.op1_substring_dedup,
     "op4_chat_formatting": texts.op4_chat_formatting,
     "op6_mixing": native.op6_mixing,
     "op7_quality_rules": native.op7_quality_rules,

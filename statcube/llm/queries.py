@@ -5,6 +5,7 @@ from statcube.llm import queries_native as native, queries_pairs as pairs, queri
 QUERIES = {
     "op1_substring_dedup": pairs.op1_substring_dedup,
     "op4_chat_formatting": texts.op4_chat_formatting,
+    "op5_pii_pseudonyms": native.op5_pii_pseudonyms,
     "op6_mixing": native.op6_mixing,
     "op7_quality_rules": native.op7_quality_rules,
     "op9_minhash_near_dedup": pairs.op9_minhash_near_dedup,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from statcube.llm import mixing, quality_rules
+from statcube.llm import mixing, pseudonyms, quality_rules
 from statcube.llm.common import table
 
 
@@ -50,3 +50,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.learn(quality_rules.labelled_sample(docs, table(spark, sf_dir, "labels")))
     return quality_rules.judge(docs, rules).select("doc_id", *quality_rules.BASE, "base_failed", "rule", "kept")
+
+
+def _found(kind: str) -> Column:
+    return F.size(F.filter("found", lambda f: f["kind"] == kind)).cast("long")
+
+
+def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its pseudonymised text, and how many values of each kind were replaced."""
+    done = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
+    counts = [_found(k).alias(f"n_{k}") for k in pseudonyms.KINDS]
+    return done.select("doc_id", "text", *counts)

@@ -4,6 +4,7 @@ from statcube.llm import queries_native as native, queries_pairs as pairs, queri
 
 QUERIES = {
     "op1_substring_dedup": pairs.op1_substring_dedup,
+    "op3_decontamination": pairs.op3_decontamination,
     "op4_chat_formatting": texts.op4_chat_formatting,
     "op5_pii_pseudonyms": native.op5_pii_pseudonyms,
     "op6_mixing": native.op6_mixing,

@@ -16,6 +16,8 @@ empty mix.  Other columns pass through; columns called like the added ones are r
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from statcube.llm.common import fraction_of, text_of, word_count
@@ -84,14 +86,17 @@ def boundaries_crossed(rank: Column, rate: Column, offset: Column) -> Column:
     return F.floor(offset + rate * rank.cast("double")) - F.floor(offset + rate * (rank - 1).cast("double"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_COPIES, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_COPIES, chunk_rows: int = CHUNK_ROWS,
+    carry: Sequence[str] | None = None,
+) -> DataFrame:
     """The documents with size, source_size, target and ``copies``, how often the mix emits each.
 
-    Runs one job when called: the targets need the sizes of all sources.
+    ``carry`` names the columns that travel with the ranks; all of them if null.  Runs one job when called: the targets need the sizes of all sources.
     """
     own = ("size", "source_size", "target", "copies")
     sized = docs.select(
-        F.struct(*[c for c in docs.columns if c not in own]).alias("row"),
+        F.struct(*[c for c in (docs.columns if carry is None else carry) if c not in own]).alias("row"),
         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("key"),
         "source", "doc_id", word_count(text_of()).alias("size"))
     targets = cut_lineage(source_targets(sized, weights, cap))

@@ -7,8 +7,9 @@ candidate pair; what is not clearly below the threshold is confirmed on the full
 
 Documents with equal sets are one class and enter once.  In a bucket of a band every class is first
 compared with the bucket's smallest one.  Once these links are joined to components, only pairs of
-different components that share a bucket are left, and all of those are compared by their bits.  So no
-link between components is lost, and a bucket of many copies costs one pair per copy.
+different components that share a bucket are left.  Documents whose own shingles rule out any link are
+set aside, the others get signatures of more minima, and all their pairs are compared by these bits.  So no link between components is
+lost, and a bucket of many copies costs one pair per copy.
 
 With 20 bands of 4 minima a pair at the threshold is missed by all bands with probability 4e-7.
 
@@ -36,11 +37,13 @@ BANDS, ROWS = 20, 4
 MINIMA = BANDS * ROWS
 BITS = 4
 PER_LONG = 64 // BITS
-# Five standard errors of the estimate at the threshold: sqrt(0.85 * 0.15 / 80) = 0.04.
-MARGIN = 0.2
-SETS_AT_ONCE = 4096
+# Minima of the sharper signatures that open documents get.
+SHARP = 1024
+# Standard errors that an estimate may lie below the threshold.
+ERRORS = 5
+SHINGLES_AT_ONCE = 4096
 
-_SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, SHARP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FIELDS = "doc_id long, n_shingles long, set_key binary, bands array<long>, bits array<long>"
 
 
@@ -52,11 +55,11 @@ def shingle_hashes(text: str) -> np.ndarray:
     return np.unique(windows(words, SHINGLE))
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The smallest value of a set under each of the hash functions."""
-    least = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), SETS_AT_ONCE):
-        block = shingles[at:at + SETS_AT_ONCE, None] * _SEEDS
+def minima(shingles: np.ndarray, n: int = MINIMA) -> np.ndarray:
+    """The smallest value of a set under each of ``n`` hash functions."""
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), SHINGLES_AT_ONCE * MINIMA // n):
+        block = shingles[at:at + SHINGLES_AT_ONCE * MINIMA // n, None] * _SEEDS[:n]
         np.minimum(least, (block ^ (block >> np.uint64(31))).min(axis=0), out=least)
     return least
 
@@ -98,23 +101,50 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _FIELDS)
 
 
-def estimated(a: Column, b: Column) -> Column:
-    """Similarity by bit counts over packed groups, corrected for chance agreement."""
+def estimated(a: Column, b: Column, n: int) -> Column:
+    """Similarity by bit counts over ``n`` packed groups, corrected for chance agreement."""
     ones = int("1" * PER_LONG, 16)
     differing = F.lit(0)
-    for i in range(MINIMA // PER_LONG):
+    for i in range(n // PER_LONG):
         x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
         for shift in (2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
         differing = differing + F.bit_count(x.bitwiseAND(F.lit(ones)))
     chance = 2.0**-BITS
-    return (1 - differing / float(MINIMA) - chance) / (1 - chance)
+    return (1 - differing / float(n) - chance) / (1 - chance)
+
+
+def least_estimate(n: int) -> float:
+    """The threshold less some standard errors of an estimate from ``n`` groups of bits."""
+    agree = 2.0**-BITS + (1 - 2.0**-BITS) * PERCENT / 100
+    return PERCENT / 100 - ERRORS * (agree * (1 - agree) / n) ** 0.5 / (1 - 2.0**-BITS)
 
 
 def _possible(a: str, b: str) -> Column:
     """Sizes and bits allow the threshold."""
     sizes = 100 * F.least(f"{a}.n_shingles", f"{b}.n_shingles") >= PERCENT * F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
-    return sizes & (estimated(F.col(f"{a}.bits"), F.col(f"{b}.bits")) >= PERCENT / 100 - MARGIN)
+    return sizes & (estimated(F.col(f"{a}.bits"), F.col(f"{b}.bits"), MINIMA) >= least_estimate(MINIMA))
+
+
+def _first_shared(a: str, b: str) -> Column:
+    """The first band key that two members have in common."""
+    return F.coalesce(*[F.when(F.get(f"{a}.bands", F.lit(i)) == F.get(f"{b}.bands", F.lit(i)), F.get(f"{a}.bands", F.lit(i))) for i in range(BANDS)])
+
+
+def _sharp(named: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc and packed bits of ``SHARP`` minima for the named documents."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [packed_bits(minima(shingle_hashes(t.as_py() or ""), SHARP)).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["doc", "sharp"])
+
+    return _texts_of(named, docs).mapInArrow(run, "doc long, sharp array<long>")
+
+
+def _texts_of(named: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc and text of the documents of a checkpointed list of ids: broadcast when measured small."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(broadcast_within(named), "doc").distinct()
 
 
 def _shingles(text: str) -> set[tuple[bytes, ...]]:
@@ -125,14 +155,13 @@ def _shingles(text: str) -> set[tuple[bytes, ...]]:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold.
+    """Pairs (a, b) of a checkpointed table whose full sets reach the threshold.
 
     Only texts named in a pair are carried: they are picked by a list of ids that is broadcast when
     measured small and joined by a shuffle otherwise.
     """
-    pairs = cut_lineage(pairs)
-    named = cut_lineage(pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id"))
-    texts = cut_lineage(docs.select(F.col("doc_id").cast("long"), "text").join(broadcast_within(named), "doc_id").distinct())
+    named = cut_lineage(pairs.select("a").union(pairs.select("b")).distinct().toDF("doc"))
+    texts = cut_lineage(_texts_of(named, docs))
     first, second = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
     joined = pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
 
@@ -152,6 +181,28 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long").distinct()
 
 
+def _with_shared_shingles(named: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents of ``named`` (doc, n_shingles) that can have a link among each other.
+
+    A shingle that only one of them has is in no intersection, so a document whose other shingles are
+    too few for the threshold has no link; this bound loses none.
+    """
+    texts = _texts_of(named.select("doc"), docs)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(t.as_py() or "") for t in batch.column(1)]
+            owners = np.repeat(np.array(batch.column(0).to_pylist(), np.int64), [len(s) for s in sets])
+            shingles, first, counts = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shingles.view(np.int64)), pa.array(owners[first]), pa.array(np.minimum(counts, 2))], names=["shingle", "doc", "n"])
+
+    held = texts.mapInArrow(run, "shingle long, doc long, n long").groupBy("shingle").agg(F.sum("n").alias("n"), F.min("doc").alias("doc"))
+    alone = held.where("n = 1").groupBy("doc").agg(F.count("*").alias("alone"))
+    left = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
+    return named.join(alone, "doc", "left").where(100 * left >= PERCENT * F.col("n_shingles")).select("doc")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, for every row of ``docs``.
 
@@ -172,18 +223,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return both.where(_possible("x", "y")).select("a", "b")
 
     stars = members.where("doc > pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
-    links = cut_lineage(_confirmed(screened(stars), docs))
+    tested = cut_lineage(screened(stars))
+    links = cut_lineage(_confirmed(tested, docs))
     joined = components(links)
 
     grouped = members.join(joined, F.col("doc") == F.col("node"), "left").select(
         "bucket", "doc", F.coalesce("component", "doc").alias("group"))
     split = grouped.groupBy("bucket").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most")
-    open_members = grouped.join(split.select("bucket"), "bucket").join(traits, "doc")
+    open_members = cut_lineage(grouped.join(split.select("bucket"), "bucket"))
+    possible = cut_lineage(_with_shared_shingles(cut_lineage(open_members.select("doc").distinct().join(traits.drop("bits"), "doc")), docs))
+    described = classes.select("doc", "n_shingles", "bits", "bands").join(_sharp(possible, docs), "doc")
+    open_members = cut_lineage(open_members.join(described, "doc"))
     x, y = open_members.alias("x"), open_members.alias("y")
-    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.group") < F.col("y.group")) & _possible("x", "y"))
+    across = x.join(
+        y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.group") < F.col("y.group"))
+        & (_first_shared("x", "y") == F.col("x.bucket")) & _possible("x", "y")
+        & (estimated(F.col("x.sharp"), F.col("y.sharp"), SHARP) >= least_estimate(SHARP)))
     rest = across.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
-    tested = screened(stars).select("a", "b")
-    more = cut_lineage(_confirmed(rest.join(tested, ["a", "b"], "left_anti"), docs))
+    more = cut_lineage(_confirmed(cut_lineage(rest.join(tested, ["a", "b"], "left_anti")), docs))
     if not more.isEmpty():
         joined = components(links.union(more))
 

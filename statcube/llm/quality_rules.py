@@ -162,6 +162,8 @@ def _counts(sample: DataFrame, grid: dict[str, list[float]], covered: Column) ->
     binned = [
         F.struct(F.lit(f).alias("feature"), _cuts_below(F.col(f), grid[f]).alias("bin")) for f in FEATURES if grid[f]
     ]
+    if not binned:
+        return {}
     rows = sample.where(covered).select("bad", F.explode(F.array(*binned)).alias("b")).groupBy("b.feature", "b.bin").agg(
         F.sum(F.col("bad").cast("int")).alias("bad"), F.sum((~F.col("bad")).cast("int")).alias("good")).collect()
     return {(r["feature"], r["bin"]): (r["bad"], r["good"]) for r in rows}

@@ -34,7 +34,7 @@ BLOCK_BYTES = 4 << 20
 
 OCCURRENCES = "doc_id long, item_id long, start long, end long, edits long"
 _TABLE_BITS = 22
-_FAR = np.int64(1 << 40)
+_FAR = np.int64(1 << 40)  # above every position in a text
 
 
 def normalised(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +79,7 @@ class Items:
         grams = [qgrams(p) for p in self.points]
         keys = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
+        self.keys, self.first, self.n = np.unique(keys[order], return_index=True, return_counts=True)
         self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
         self.at = (np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64))[order]
         self.table = np.zeros(1 << _TABLE_BITS, bool)
@@ -88,25 +88,26 @@ class Items:
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Items and diagonals of all q-grams that a document shares with the block."""
         places = np.flatnonzero(self.table[grams >> np.uint64(64 - _TABLE_BITS)])
-        first = np.searchsorted(self.keys, grams[places], "left")
-        n = np.searchsorted(self.keys, grams[places], "right") - first
-        places, first, n = places[n > 0], first[n > 0], n[n > 0]
+        if not len(places):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        key = np.searchsorted(self.keys, grams[places]).clip(max=len(self.keys) - 1)
+        same = self.keys[key] == grams[places]
+        places, key = places[same], key[same]
+        first, n = self.first[key], self.n[key]
         entry = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
         return self.item[entry], np.repeat(places, n) - self.at[entry]
 
 
 def crowded_bands(items: Items, item: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int]]:
     """Items and first diagonals of the bands that meet the lemma's count."""
-    step = items.budget[item] + 1
-    band = np.floor_divide(diagonal, step)
-    # Each diagonal lies in the band that starts at its step and in the one before.
-    keys = np.concatenate([np.stack([item, band]), np.stack([item, band - 1])], axis=1)
-    order = np.lexsort(keys[::-1])
-    keys = keys[:, order]
-    new = np.flatnonzero(np.any(np.diff(keys, axis=1, prepend=-_FAR), axis=0))
-    count = np.diff(np.append(new, keys.shape[1]))
-    full = new[count >= items.needed[keys[0, new]]]
-    return [(int(i), int(b * (items.budget[i] + 1))) for i, b in keys[:, full].T]
+    enough = np.bincount(item, minlength=len(items.ids))[item] >= items.needed[item]
+    item, diagonal = item[enough], diagonal[enough]
+    # One number per item and band.  A diagonal lies in the band that starts at its step and in the one before.
+    band = np.floor_divide(diagonal, items.budget[item] + 1) + _FAR
+    keys = item * (2 * _FAR) + band
+    keys, n = np.unique(np.concatenate([keys, keys - 1]), return_counts=True)
+    full = keys[n >= items.needed[keys // (2 * _FAR)]]
+    return [(int(k // (2 * _FAR)), int((k % (2 * _FAR) - _FAR) * (items.budget[k // (2 * _FAR)] + 1))) for k in full]
 
 
 def aligned(item: np.ndarray, document: np.ndarray, low: int, budget: int) -> tuple[int, int, int]:

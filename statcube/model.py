@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, types as T
 
 TIME = "TIME_PERIOD"
 VALUE = "OBS_VALUE"
@@ -126,3 +126,8 @@ def filters_of_key(key: str, dims: Sequence[str]) -> dict[str, str]:
     if len(parts) > len(dims):
         raise ValueError(f"key {key!r} has {len(parts)} parts for {len(dims)} dimensions")
     return {dim: part for dim, part in zip(dims, parts) if part}
+
+
+def entity_keys(*frames: DataFrame) -> list[str]:
+    """What names a dataflow in these frames: (provider, df_id) where all have a provider, else df_id."""
+    return ["provider", "df_id"] if all("provider" in f.columns for f in frames) else ["df_id"]

@@ -11,11 +11,10 @@ from statcube.functions.text import (
 )
 from statcube.operators.series import ranked
 
-# Retry waits double from one day to at most 64; stored error length;
+# Retry waits double from one day to at most 64;
 # dimension names that are always territorial; category that marks a release.
 RETRY_DAYS = 1
 MAX_DOUBLINGS = 6
-ERROR_CHARS = 200
 TERRITORIAL_PREFIX = "ITTER"
 TERRITORIAL_DIM = "REF_AREA"
 RELEASE_CATEGORY = "Data release"
@@ -82,7 +81,7 @@ def probe_outcome(probes: DataFrame, codes: DataFrame, previous: DataFrame, toda
             F.when(failed, 0).otherwise(F.coalesce("_dims", F.lit(0))).cast("long").alias("n_dims"),
             F.when(failed, 0).otherwise(n_codes).cast("long").alias("n_codes"),
             F.when(failed, F.coalesce("_before", F.lit(0)) + 1).otherwise(0).cast("long").alias("error_count"),
-            F.when(failed, F.substring("error", 1, ERROR_CHARS)).otherwise("").alias("last_error"),
+            F.when(failed, F.col("error")).otherwise("").alias("last_error"),
             F.lit(today).cast("date").alias("checked_at"),
         )
     )

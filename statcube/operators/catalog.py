@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statcube.model import codes_of
+from statcube.model import codes_of, entity_keys
 from statcube.operators.labels import folded
 
 LEAF = ["scheme_id", "cat_path"]
@@ -14,7 +14,7 @@ LEAF = ["scheme_id", "cat_path"]
 
 def with_category_context(catalog: DataFrame, context: DataFrame) -> DataFrame:
     """Attach category names; a dataflow without category gets an empty context."""
-    return catalog.join(context, "df_id", "left").withColumn(
+    return catalog.join(context, entity_keys(catalog, context), "left").withColumn(
         "cat_context", F.coalesce("cat_context", F.lit(""))
     )
 
@@ -26,12 +26,13 @@ def category_token(token: str) -> Column:
 
 def filter_by_category(catalog: DataFrame, links: DataFrame, token: str) -> DataFrame:
     """Dataflows of a category, one row per membership."""
-    return catalog.join(links.where(category_token(token)), "df_id")
+    return catalog.join(links.where(category_token(token)), entity_keys(catalog, links))
 
 
 def restrict_to_category(results: DataFrame, links: DataFrame, token: str) -> DataFrame:
     """Results that belong to a category, never multiplied."""
-    return results.join(links.where(category_token(token)).select("df_id"), "df_id", "left_semi")
+    keys = entity_keys(results, links)
+    return results.join(links.where(category_token(token)).select(*keys), keys, "left_semi")
 
 
 def siblings(df_id: str, links: DataFrame, categories: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -64,15 +65,19 @@ def category_dataflows(links: DataFrame, rendered: DataFrame, catalog: DataFrame
     return described.orderBy(*LEAF, title, "df_id")
 
 
-def invalid_codes(spark, filters: Mapping[str, object], avail: DataFrame) -> DataFrame:
+def invalid_codes(
+    spark, filters: Mapping[str, object], avail: DataFrame, df_id: str | None = None
+) -> DataFrame:
     """Requested codes that do not occur; dimensions without availability are not judged.
 
-    The short request side is joined to the table first, so only matching keys move.
+    ``df_id`` picks one dataflow out of a table of many.  The short request side is joined to the table first, so only matching keys move.
     """
     wanted = spark.createDataFrame(
         [(dim, code) for dim, value in filters.items() for code in codes_of(value)],
         "dimension_id string, code_id string",
     ).withColumn("_dim", folded("dimension_id"))
+    if df_id is not None:
+        avail = avail.where(F.col("df_id") == df_id)
     codes = avail.select(folded("dimension_id").alias("_dim"), "code_id")
     known = codes.join(wanted.select("_dim").distinct(), "_dim", "left_semi").select("_dim").distinct()
     present = codes.join(wanted.select("_dim", "code_id"), ["_dim", "code_id"], "left_semi").distinct()
@@ -135,13 +140,15 @@ def resolve_dataflows(identifiers: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def stale_links(links: DataFrame, catalog: DataFrame) -> DataFrame:
     """Category links whose dataflow left the catalog."""
-    return links.join(catalog.select("df_id"), "df_id", "left_anti")
+    keys = entity_keys(links, catalog)
+    return links.join(catalog.select(*keys), keys, "left_anti").select(*links.columns)
 
 
 def stale_link_counts(links: DataFrame, catalog: DataFrame) -> DataFrame:
     """Number of stale links and of all links."""
-    known = catalog.select("df_id").distinct().withColumn("_known", F.lit(True))
-    return links.join(known, "df_id", "left").agg(
+    keys = entity_keys(links, catalog)
+    known = catalog.select(*keys).distinct().withColumn("_known", F.lit(True))
+    return links.join(known, keys, "left").agg(
         F.count_if(F.col("_known").isNull()).alias("n_stale"), F.count(F.lit(1)).alias("n_links")
     )
 

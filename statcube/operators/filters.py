@@ -26,7 +26,7 @@ def filter_dims(df: DataFrame, filters: Filters, dims: Sequence[str] | None = No
             df = df.where(F.col(column).isin(codes))
         else:
             chosen = df.sparkSession.createDataFrame([(c,) for c in codes], f"`{column}` string")
-            df = df.join(chosen, column, "left_semi")
+            df = df.join(chosen, column, "left_semi").select(*df.columns)
     return df
 
 
@@ -127,15 +127,15 @@ def exclude_aggregates(df: DataFrame, totals: Mapping[str, Sequence[str]] | Data
     """Drop rows carrying a total or sub-total code.
 
     ``totals`` is a mapping of short code lists, or a (dimension_id, code_id) table.
-    As in SQL ``NOT IN``, a row whose code is null is dropped by the mapping form.
+    A null code is no total: both forms keep such rows.
     """
     if isinstance(totals, Mapping):
         for dim, codes in totals.items():
-            df = df.where(~F.col(dim).isin(list(codes)))
+            df = df.where(~F.coalesce(F.col(dim).isin(list(codes)), F.lit(False)))
         return df
     for dim in [c for c in df.columns if c not in (TIME, VALUE)]:
         codes = totals.where(F.col("dimension_id") == dim).select(F.col("code_id").alias(dim))
-        df = df.join(codes, dim, "left_anti")
+        df = df.join(codes, dim, "left_anti").select(*df.columns)
     return df
 
 

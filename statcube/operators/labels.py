@@ -72,22 +72,33 @@ def describe_filters(
     )
 
 
-def constraint_labels(avail: DataFrame, names: DataFrame, dimension: str) -> DataFrame:
-    """Codes of one dimension that occur, with their names ("" when unknown)."""
-    codes = avail.where(folded("dimension_id") == folded(F.lit(dimension)))
+def _available(avail: DataFrame, df_id: str | None) -> DataFrame:
+    return avail if df_id is None else avail.where(F.col("df_id") == df_id)
+
+
+def constraint_labels(
+    avail: DataFrame, names: DataFrame, dimension: str, df_id: str | None = None
+) -> DataFrame:
+    """Codes of one dimension that occur, with their names ("" when unknown).
+
+    ``df_id`` picks one dataflow out of a table of many.
+    """
+    codes = _available(avail, df_id).where(folded("dimension_id") == folded(F.lit(dimension)))
     codes = codes.select(F.col("code_id").alias("id")).distinct()
     return codes.join(names.select("id", "name"), "id", "left").select(
         "id", F.coalesce("name", F.lit("")).alias("name")
     )
 
 
-def values_in_dataflow(names: DataFrame, avail: DataFrame, dimension: str) -> DataFrame:
-    """Whole codelist with ``in_dataflow``.
+def values_in_dataflow(
+    names: DataFrame, avail: DataFrame, dimension: str, df_id: str | None = None
+) -> DataFrame:
+    """Whole codelist with ``in_dataflow``; ``df_id`` picks one dataflow out of a table of many.
 
     Without any availability row for the dimension membership is unknown, so the
     flag is null, not false.
     """
-    codes = avail.where(folded("dimension_id") == folded(F.lit(dimension)))
+    codes = _available(avail, df_id).where(folded("dimension_id") == folded(F.lit(dimension)))
     known = codes.agg((F.count(F.lit(1)) > 0).alias("known")).scalar()
     present = codes.select(F.col("code_id").alias("id")).distinct().withColumn("_hit", F.lit(True))
     return names.join(present, "id", "left").withColumn(

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statcube.functions.vectors import NORM_FLOOR, cosine, literal_vector
-from statcube.model import EMBEDDINGS
+from statcube.model import EMBEDDINGS, entity_keys
 from statcube.operators.series import ranked
 
 DOCUMENT_PREFIX = "search_document: "
@@ -45,15 +45,12 @@ def build_embeddings(
 
 
 def semantic_top_n(vectors: DataFrame, query: Sequence[float], catalog: DataFrame, n: int) -> DataFrame:
-    """The n most similar dataflows.
-
-    As documented, 2n are taken before those missing from the catalog are dropped, so
-    fewer than n may remain.
-    """
+    """The n most similar dataflows of the catalog; vectors of others are not ranked."""
     similarity = cosine(F.col("embedding"), literal_vector(query))
-    near = vectors.select("df_id", similarity.alias("score")).orderBy(F.desc("score"), "df_id").limit(2 * n)
+    keys = entity_keys(vectors, catalog)
     return (
-        near.join(catalog.select("df_id", "df_description"), "df_id")
+        vectors.join(catalog.select(*keys, "df_description"), keys)
+        .withColumn("score", similarity)
         .select("df_id", "df_description", "score").orderBy(F.desc("score"), "df_id").limit(n)
     )
 
@@ -95,9 +92,10 @@ def semantic_batch(vectors: DataFrame, queries: DataFrame, catalog: DataFrame, n
     """``semantic_top_n`` for a table of queries (query, embedding), with ranks.
 
     Query vectors travel to the documents in blocks of a checked size, one pass per
-    block.  Tasks multiply matrices and hand on only 2n rows per query, so no table
+    block.  Tasks multiply matrices and hand on only n rows per query, so no table
     of all pairs exists anywhere.
     """
+    vectors = vectors.join(catalog.select("df_id"), "df_id", "left_semi")
     query_type = queries.schema["query"].dataType.simpleString()
     shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
     if not shape["n"]:
@@ -111,10 +109,10 @@ def semantic_batch(vectors: DataFrame, queries: DataFrame, catalog: DataFrame, n
         for i in range(n_blocks):
             block = queries.where(part == i).select("query", "embedding").collect()
             if block:
-                one = _block_tops(vectors, block, 2 * n, query_type)
+                one = _block_tops(vectors, block, n, query_type)
                 tops = one if tops is None else tops.unionByName(one)
     best_first = [F.desc("score"), F.col("df_id")]
-    near = ranked(tops, ["query"], best_first, 2 * n, "_near").drop("_near")
+    near = ranked(tops, ["query"], best_first, n, "_near").drop("_near")
     known = near.join(catalog.select("df_id", "df_description"), "df_id")
     return ranked(known, ["query"], best_first, n, "rank").select(
         "query", "df_id", "df_description", "score", "rank"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from statcube.model import TIME
 
@@ -85,4 +85,6 @@ def latest_per_entity(df: DataFrame, entity: Sequence[str], time: str = TIME) ->
 
 
 def sort_by_time(df: DataFrame, time: str = TIME) -> DataFrame:
-    return df.orderBy(F.col(time).asc_nulls_first())
+    """By period; ties by the other columns, so that one period with most rows still spreads over tasks."""
+    ties = [f.name for f in df.schema if f.name != time and isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    return df.orderBy(F.col(time).asc_nulls_first(), *ties)

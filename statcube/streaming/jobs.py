@@ -15,6 +15,7 @@ from statcube.operators.codes import available_codes
 from statcube.operators.series import ranked
 
 BATCH = "batch"
+COMPACTED = -1
 
 
 def stream_available_codes(
@@ -66,6 +67,10 @@ def read_upserted(spark: SparkSession, path: str, keys: Sequence[str], stamp: st
 
 
 def compact_upserted(spark: SparkSession, path: str, target: str, keys: Sequence[str], stamp: str) -> None:
-    """Write the current table as a single batch of a fresh folder."""
+    """Write the current table as a single batch of a fresh folder.
+
+    Its number is below that of any stream's batch: a stream that goes on in that folder
+    never overwrites it, and wins ties against it.
+    """
     table = read_upserted(spark, path, keys, stamp)
-    table.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{BATCH}=0")
+    table.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{BATCH}={COMPACTED}")

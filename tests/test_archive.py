@@ -39,7 +39,7 @@ def test_probe_outcome(spark, rows):
     got = {r["df_id"]: r for r in archive.probe_outcome(probes, codes, previous, "2026-07-20").collect()}
     assert (got["A"]["status"], got["A"]["n_dims"], got["A"]["n_codes"], got["A"]["error_count"]) == ("ok", 2, 3, 0)
     assert (got["B"]["status"], got["B"]["df_description"]) == ("empty", "")
-    assert (got["C"]["status"], got["C"]["error_count"], len(got["C"]["last_error"])) == ("error", 3, 200)
+    assert (got["C"]["status"], got["C"]["error_count"], len(got["C"]["last_error"])) == ("error", 3, 500)
 
 
 def archive_of(spark, triples):
@@ -146,3 +146,17 @@ def test_upsert_stream_equals_batch_and_replay(spark, rows, tmp_path):
         assert rows(jobs.read_upserted(spark, table, keys, "t")) == want
     jobs.compact_upserted(spark, table, f"{tmp_path}/compact", keys, "t")
     assert rows(jobs.read_upserted(spark, f"{tmp_path}/compact", keys, "t")) == want
+
+
+def test_stream_goes_on_after_compaction(spark, rows, tmp_path):
+    """A stream with a fresh checkpoint adds to the compacted table and replaces nothing of it."""
+    old = spark.createDataFrame([("a", 1, 10), ("b", 1, 20)], "k string, t int, v int")
+    new = spark.createDataFrame([("c", 1, 30), ("a", 1, 11)], old.schema)
+    keys, table = ["k"], f"{tmp_path}/compact"
+    for name, data, target in (("one", old, f"{tmp_path}/table"), ("two", new, table)):
+        data.write.parquet(f"{tmp_path}/in-{name}")
+        stream = spark.readStream.schema(old.schema).parquet(f"{tmp_path}/in-{name}")
+        jobs.stream_upsert(stream, keys, target, f"{tmp_path}/{name}", "t").awaitTermination()
+        if name == "one":
+            jobs.compact_upserted(spark, target, table, keys, "t")
+    assert rows(jobs.read_upserted(spark, table, keys, "t")) == [("a", 1, 11), ("b", 1, 20), ("c", 1, 30)]

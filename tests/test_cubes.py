@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from statcube.functions.text import base_code
 from statcube.functions.timeperiod import parse_time_period, period_end
 from statcube.model import CATALOG, CubeQuery
-from statcube.operators import analyze, filters, labels, series, timeaxis
+from statcube.operators import analyze, catalog, filters, labels, series, timeaxis
 from statcube.plans.fetch import fetch, run_spec
 
 PERIODS = {
@@ -160,6 +160,54 @@ def test_exclude_aggregates_by_table(spark, rows, cube):
     assert filters.exclude_aggregates(cube, totals).count() == 5
 
 
+def test_exclude_aggregates_forms_agree(spark, rows):
+    """A null code is no total, and no form moves a column."""
+    df = spark.createDataFrame([("A", "DE"), ("A", None), ("A", "IT"), (None, "FR")], "freq string, geo string")
+    table = spark.createDataFrame([("geo", "DE")], "dimension_id string, code_id string")
+    want = {("A", None), ("A", "IT"), (None, "FR")}
+    for totals in (table, {"geo": ["DE"]}):
+        got = filters.exclude_aggregates(df, totals)
+        assert got.columns == df.columns and {tuple(r) for r in got.collect()} == want
+
+
+def test_filter_dims_alike_beyond_inline_codes(spark):
+    df = spark.createDataFrame([("A", "1"), ("A", "x"), ("B", "998")], "freq string, geo string")
+    for n in (999, 1000, 1001):
+        got = filters.filter_dims(df, {"geo": [str(i) for i in range(n)]})
+        assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [("A", "1"), ("B", "998")]
+
+
+def test_sort_by_time_spreads_one_period(spark):
+    df = spark.range(20000).selectExpr("'2020' TIME_PERIOD", "cast(id as string) geo").repartition(4)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        got = series.sort_by_time(df).rdd.glom().map(len).collect()
+    finally:
+        spark.conf.unset(merging)
+    assert sum(got) == 20000 and len([n for n in got if n]) > 1
+
+
+def test_availability_of_one_dataflow(spark, rows):
+    names = spark.createDataFrame([("IT", "Italy"), ("US", "States")], "id string, name string")
+    avail = spark.createDataFrame([("X", "geo", "IT"), ("Y", "geo", "US")], "df_id string, dimension_id string, code_id string")
+    assert rows(labels.values_in_dataflow(names, avail, "geo", "X"), "id", "in_dataflow") == [("IT", True), ("US", False)]
+    assert rows(labels.constraint_labels(avail, names, "geo", "Y")) == [("US", "States")]
+    assert rows(catalog.invalid_codes(spark, {"geo": "IT+US"}, avail, "X")) == [("geo", "US")]
+
+
+def test_two_providers_with_one_id_stay_apart(spark, rows):
+    flows = spark.createDataFrame([("A", "X1", "apple"), ("B", "X1", "banana")], "provider string, df_id string, df_description string")
+    links = spark.createDataFrame([("A", "X1", "S", "1.2")], "provider string, df_id string, scheme_id string, cat_path string")
+    got = catalog.filter_by_category(flows, links, "2")
+    assert rows(got, "provider", "df_description") == [("A", "apple")]
+    assert rows(catalog.restrict_to_category(flows, links, "2"), "provider") == [("A",)]
+    gone = spark.createDataFrame([("B", "X1", "S", "1.2")], links.schema)
+    assert rows(catalog.stale_links(gone, flows.where("provider = 'A'")), "provider") == [("B",)]
+    context = spark.createDataFrame([("A", "X1", "prices")], "provider string, df_id string, cat_context string")
+    assert rows(catalog.with_category_context(flows, context), "provider", "cat_context") == [("A", "prices"), ("B", "")]
+
+
 def test_result_page_without_tree(spark, rows):
     hits = spark.createDataFrame([("A", None, 1.23456)], "df_id string, df_description string, score double")
     assert rows(filters.search_page_projection(hits)) == [("A", "", "", 1.23)]

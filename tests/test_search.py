@@ -182,7 +182,7 @@ def brute_force(data, query, known, n):
     ranked = sorted(
         ((float(np.float32(v) @ q / (np.linalg.norm(np.float32(v)) + 1e-10)), i) for i, v in data),
         key=lambda p: (-p[0], p[1]),
-    )[: 2 * n]
+    )
     return [i for _, i in ranked if i in known][:n]
 
 

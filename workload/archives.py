@@ -82,7 +82,7 @@ def _(d: Data) -> DataFrame:
            CASE WHEN provider NOT IN ('LARGE', 'SMALL') THEN n_dims ELSE 0 END AS n_dims,
            CASE WHEN provider NOT IN ('LARGE', 'SMALL') THEN n_codes ELSE 0 END AS n_codes,
            CASE WHEN provider = 'LARGE' THEN coalesce(error_count, 0) + 1 ELSE 0 END AS error_count,
-           CASE WHEN provider = 'LARGE' THEN repeat('no answer ', 20) ELSE '' END AS last_error,
+           CASE WHEN provider = 'LARGE' THEN repeat('no answer ', 30) ELSE '' END AS last_error,
            DATE '2001-08-01' AS checked_at
     FROM {flows} f JOIN found USING (df_id) LEFT JOIN (SELECT df_id, error_count FROM {status}) s USING (df_id)
 """)

@@ -114,7 +114,7 @@ def _(d: Data) -> DataFrame:
 
 
 @query("exclude_aggregates", f"""
-    SELECT {ALL} FROM {{obs}} WHERE GEO NOT IN ('0', '1') AND FLAG <> 'R'
+    SELECT {ALL} FROM {{obs}} WHERE (GEO IS NULL OR GEO NOT IN ('0', '1')) AND (FLAG IS NULL OR FLAG <> 'R')
 """)
 def _(d: Data) -> DataFrame:
     return filters.exclude_aggregates(d.obs, {"GEO": ["0", "1"], "FLAG": ["R"]})

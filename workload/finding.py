@@ -221,10 +221,9 @@ _BATCH = f"""
     centroids AS ({_CENTROIDS}),
     near AS (SELECT query, df_id, {_COSINE} AS score FROM centroids,
                     (SELECT df_id, embedding::DOUBLE[] AS e FROM {{vectors}})),
-    cut AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, df_id) AS r FROM near),
     batch AS (SELECT query, df_id, df_description, score,
                      row_number() OVER (PARTITION BY query ORDER BY score DESC, df_id) AS rank
-              FROM cut JOIN {{vector_catalog}} USING (df_id) WHERE r <= 40)
+              FROM near JOIN {{vector_catalog}} USING (df_id))
 """
 
 
@@ -267,7 +266,7 @@ def _(d: Data) -> DataFrame:
 
 @query("semantic_top_n", f"""
     WITH near AS (SELECT df_id, {_COSINE} AS score FROM (SELECT df_id, embedding::DOUBLE[] AS e, {_VECTOR_SQL} AS q
-                  FROM {{vectors}}) ORDER BY score DESC, df_id LIMIT 40)
+                  FROM {{vectors}}) )
     SELECT df_id, df_description, round(score, 4) AS score FROM near JOIN {{vector_catalog}} USING (df_id)
     ORDER BY near.score DESC, df_id LIMIT 20
 """)

@@ -23,6 +23,7 @@ QUERIES = {
     "op8_quality_classifier": texts.op8_quality_classifier,
     "op9_minhash_near_dedup": pairs.op9_minhash_near_dedup,
     "op10_html_extraction": texts.op10_html_extraction,
+    "op12_bpe": texts.op12_bpe,
     "pipeline": pipeline,
 }
 

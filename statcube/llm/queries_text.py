@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statcube.llm import chat_format, html_text, quality_classifier, toxicity
+from statcube.llm import bpe, chat_format, html_text, quality_classifier, toxicity
 from statcube.llm.common import table
 
 PROBE_ID = -7
@@ -48,3 +49,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the text they decode to, as digests."""
+    words = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), words).drop("text")
+    counted = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return bpe.decode_ids(counted, words).select(
+        "doc_id", "n_tokens", F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))

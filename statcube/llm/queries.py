@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from statcube.llm import queries_native as native, queries_pairs as pairs, queries_text as texts
+from statcube.llm import queries_native as native, queries_pairs as pairs, queries_text as texts, queries_vectors as vectors
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +23,14 @@ QUERIES = {
     "op8_quality_classifier": texts.op8_quality_classifier,
     "op9_minhash_near_dedup": pairs.op9_minhash_near_dedup,
     "op10_html_extraction": texts.op10_html_extraction,
+    "op11_whitening": vectors.op11_whitening,
     "op12_bpe": texts.op12_bpe,
+    "op13_hard_negatives": vectors.op13_hard_negatives,
     "pipeline": pipeline,
 }
 
 SQL = {
     "op4_chat_formatting": texts.OP4_SQL,
     "op6_mixing": native.OP6_SQL,
+    "op13_hard_negatives": vectors.OP13_SQL,
 }

@@ -60,10 +60,10 @@ UNMOVED = (
     (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF), (0x1E4EC, 0x1E4EF),
 )
 
-# Pieces and parts remembered by a task (some 60 MB each), and the longest that is.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 64
-# Ids decoded at once.
-IDS_AT_ONCE = 1 << 20
+# Pieces and parts remembered by a task (some 15 MB each), and the longest that is.
+REMEMBERED, REMEMBERED_CHARS = 100_000, 64
+# Rows encoded and ids decoded at once: results leave a task in short batches.
+ROWS, IDS_AT_ONCE = 256, 1 << 18
 
 
 def _class(initial: str, more: tuple[tuple[int, int], ...], limit: int) -> str:
@@ -200,7 +200,7 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", id
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(*sent.value)
-        for batch in batches:
+        for batch in (b.slice(start, ROWS) for b in batches for start in range(0, b.num_rows, ROWS)):
             found = [encoder.text(t.as_py() or "") for t in batch.column(text)]
             offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(found), np.int32))
@@ -217,19 +217,17 @@ def decode_ids(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", tex
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = pa.array(sent.value, pa.string())
         for batch in batches:
-            lists, parts, start = batch.column(ids), [], 0
-            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-            while start < len(lists):
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False))
+            start = 0
+            while start < batch.num_rows:
                 # As many rows as stay below the bound, but one at least.
                 upto = (ends[start - 1] if start else 0) + IDS_AT_ONCE
                 stop = max(start + 1, int(np.searchsorted(ends, upto, "right")))
-                some = lists.slice(start, stop - start)
-                lengths = pc.fill_null(pc.list_value_length(some), 0).to_numpy(zero_copy_only=False)
+                some = batch.slice(start, stop - start)
+                lengths = np.diff(ends[start:stop], prepend=ends[start - 1] if start else 0)
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                spelt = pa.ListArray.from_arrays(offsets, labels.take(some.flatten()))
-                parts.append(pc.binary_join(spelt, " "))
+                spelt = pc.binary_join(pa.ListArray.from_arrays(offsets, labels.take(some.column(ids).flatten())), " ")
+                yield pa.RecordBatch.from_arrays([*[some.column(c) for c in others], spelt], names=[*others, text])
                 start = stop
-            joined = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], joined], names=[*others, text])
 
     return encoded.mapInArrow(run, _with(encoded, text, T.StringType()))

@@ -46,7 +46,7 @@ class Automaton:
         """The arcs by their symbols: symbol to (next symbols, bits of the token spelt so far, token, state behind)."""
         if not self._walk:
             root: dict[int, list] = {}
-            rows, group, target = [row.tobytes() for row in self.arcs], self.group.tolist(), self.target.tolist()
+            rows, group, target = [row.data for row in self.arcs], self.group.tolist(), self.target.tolist()
             for token, spelt in enumerate(self.spelling):
                 below, entry = root, None
                 for symbol in np.frombuffer(spelt, np.uint16).tolist():

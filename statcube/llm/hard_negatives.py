@@ -202,8 +202,9 @@ def _negatives(met: DataFrame, packing: Packing, k: int, low: int, high: int) ->
                 least = np.array([-(-low * s // 100) for s in score.tolist()])
                 most = np.array([high * s // 100 for s in score.tolist()])
                 for start in range(0, len(own_ids), AT_ONCE):
-                    scores = packing.scores(biased[start:start + AT_ONCE], words, sums, len(ids))
-                    differing = own_labels[start:start + AT_ONCE, None] != labels
+                    mine = slice(start, start + AT_ONCE)
+                    scores = packing.scores(biased[mine], words, sums, len(ids))
+                    differing = (own_labels[mine, None] != labels) & (own_ids[mine, None] != ids)
                     here = (slot >= start) & (slot < start + AT_ONCE)
                     for p in np.unique(place[here]):
                         at = np.flatnonzero(here & (place == p))

@@ -60,8 +60,8 @@ UNMOVED = (
     (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF), (0x1E4EC, 0x1E4EF),
 )
 
-# Pieces and parts remembered by a task (some 15 MB each), and the longest that is.
-REMEMBERED, REMEMBERED_CHARS = 100_000, 64
+# Pieces and parts remembered by a task (some 50 MB each), and the longest that is.
+REMEMBERED, REMEMBERED_CHARS = 250_000, 64
 # Rows encoded and ids decoded at once: results leave a task in short batches.
 ROWS, IDS_AT_ONCE = 256, 1 << 18
 

@@ -46,7 +46,7 @@ class Automaton:
         """The arcs by their symbols: symbol to (next symbols, bits of the token spelt so far, token, state behind)."""
         if not self._walk:
             root: dict[int, list] = {}
-            rows, group, target = [row.data for row in self.arcs], self.group.tolist(), self.target.tolist()
+            rows, group, target = [row.tobytes() for row in self.arcs], self.group.tolist(), self.target.tolist()
             for token, spelt in enumerate(self.spelling):
                 below, entry = root, None
                 for symbol in np.frombuffer(spelt, np.uint16).tolist():
@@ -110,12 +110,17 @@ def compile_merges(vocabulary: dict[str, int], merges: Sequence[Sequence[str]],
     target[[t for t in base if not final[t]]] = 0
     group[base] = 0
     # Who leads to a state (the start itself counts) and which tokens share a group.
-    leading, sharing = [1 + int((target == 0).sum())], [len(base)]
+    # Group 1 is that of tokens which no state has: their merge is always preceded by another.
+    leading, sharing = [1 + int((target == 0).sum())], [len(base), 1]
     for left, right in merges:
         u, v, w = vocabulary[left], vocabulary[right], vocabulary[left + right]
         if group[u] < 0 or group[v] < 0 or group[w] >= 0 or final[u]:
             raise ValueError(f"merge of {left!r} and {right!r} is out of order")
         before = int(target[u])
+        if not arcs[group[v], before >> 3] >> (before & 7) & 1:
+            group[w] = 1
+            sharing[1] += 1
+            continue
         target[w] = target[v]
         if target[w] >= 0:
             leading[target[w]] += 1

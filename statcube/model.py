@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, types as T
 
+# What names a dataflow in every table: two providers may use the same id.
+ENTITY = ("provider", "df_id")
 TIME = "TIME_PERIOD"
 VALUE = "OBS_VALUE"
 
@@ -35,22 +37,22 @@ CATEGORIES = _table(
     ("scheme_id", S), ("scheme_name", S), ("cat_id", S), ("cat_path", S), ("cat_name", S),
     ("cat_description", S), ("parent_path", S), ("depth", I),
 )
-CATEGORISATION = _table(("df_id", S), ("scheme_id", S), ("cat_path", S))
-AVAILABLE_CODES = _table(("df_id", S), ("dimension_id", S), ("code_id", S), ("checked_at", D))
+CATEGORISATION = _table(("provider", S), ("df_id", S), ("scheme_id", S), ("cat_path", S))
+AVAILABLE_CODES = _table(("provider", S), ("df_id", S), ("dimension_id", S), ("code_id", S), ("checked_at", D))
 PROBE_STATUS = _table(
-    ("df_id", S), ("df_description", S), ("status", S), ("source", S), ("n_dims", L),
+    ("provider", S), ("df_id", S), ("df_description", S), ("status", S), ("source", S), ("n_dims", L),
     ("n_codes", L), ("error_count", L), ("last_error", S), ("checked_at", D),
 )
 TERRITORIAL = _table(
-    ("df_id", S), ("df_description", S), ("dimension_id", S), ("max_level", S), ("levels", S),
+    ("provider", S), ("df_id", S), ("df_description", S), ("dimension_id", S), ("max_level", S), ("levels", S),
     ("n_territories", L), ("checked_at", D),
 )
 DESCRIPTIONS = _table(
-    ("df_id", S), ("description", S), ("report_id", S), ("metadata_set_id", S), ("siqual_id", S),
+    ("provider", S), ("df_id", S), ("description", S), ("report_id", S), ("metadata_set_id", S), ("siqual_id", S),
     ("harvested_at", D),
 )
-EMBEDDINGS = _table(("df_id", S), ("embedding", T.ArrayType(T.FloatType())))
-BLACKLIST = _table(("df_id", S), ("marked_at", TS), ("description", S))
+EMBEDDINGS = _table(("provider", S), ("df_id", S), ("embedding", T.ArrayType(T.FloatType())))
+BLACKLIST = _table(("provider", S), ("df_id", S), ("marked_at", TS), ("description", S))
 
 Filters = Mapping[str, object] | Iterable[tuple[str, object]]
 
@@ -128,6 +130,9 @@ def filters_of_key(key: str, dims: Sequence[str]) -> dict[str, str]:
     return {dim: part for dim, part in zip(dims, parts) if part}
 
 
-def entity_keys(*frames: DataFrame) -> list[str]:
-    """What names a dataflow in these frames: (provider, df_id) where all have a provider, else df_id."""
-    return ["provider", "df_id"] if all("provider" in f.columns for f in frames) else ["df_id"]
+def check_entity(*frames: DataFrame) -> None:
+    """Every table that names dataflows names them by provider and id; a table without a provider is an error."""
+    for frame in frames:
+        missing = [c for c in ENTITY if c not in frame.columns]
+        if missing:
+            raise ValueError(f"a table of dataflows needs {', '.join(ENTITY)}; this one has no {', '.join(missing)}: {', '.join(frame.columns)}")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from statcube.functions.timeperiod import year_text
-from statcube.model import TIME, VALUE
+from statcube.model import ENTITY, TIME, VALUE
 
 
 def top_n_groups(df: DataFrame, group: str, n: int, value: str = VALUE) -> DataFrame:
@@ -94,14 +94,18 @@ def annotation_census(annotations: DataFrame) -> DataFrame:
     )
 
 
-def estimate_rows(avail: DataFrame, n_periods: int | Column, keys: Sequence[str] = ("df_id",)) -> DataFrame:
-    """Upper bound of a selection: codes per dimension multiplied, times periods."""
+def estimate_rows(avail: DataFrame, n_periods: int | Column, keys: Sequence[str] = ENTITY) -> DataFrame:
+    """Upper bound of a selection: codes per dimension multiplied, times periods.
+
+    ``varied_dims`` names the dimensions with more than one code.
+    """
     counts = avail.select(*keys, "dimension_id", "code_id").distinct().groupBy(*keys, "dimension_id").agg(
         F.count(F.lit(1)).alias("_n")
     )
     return counts.groupBy(*keys).agg(
         (F.product(F.col("_n").cast("double")) * n_periods).alias("max_rows"),
         F.count_if(F.col("_n") > 1).alias("n_varied_dims"),
+        F.array_sort(F.collect_list(F.when(F.col("_n") > 1, F.col("dimension_id")))).alias("varied_dims"),
     )
 
 

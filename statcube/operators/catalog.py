@@ -6,15 +6,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statcube.model import codes_of, entity_keys
-from statcube.operators.labels import folded
+from statcube.model import ENTITY, check_entity, codes_of
+from statcube.operators.labels import folded, of_dataflow
 
 LEAF = ["scheme_id", "cat_path"]
 
 
 def with_category_context(catalog: DataFrame, context: DataFrame) -> DataFrame:
     """Attach category names; a dataflow without category gets an empty context."""
-    return catalog.join(context, entity_keys(catalog, context), "left").withColumn(
+    check_entity(catalog, context)
+    return catalog.join(context, [*ENTITY], "left").withColumn(
         "cat_context", F.coalesce("cat_context", F.lit(""))
     )
 
@@ -26,29 +27,34 @@ def category_token(token: str) -> Column:
 
 def filter_by_category(catalog: DataFrame, links: DataFrame, token: str) -> DataFrame:
     """Dataflows of a category, one row per membership."""
-    return catalog.join(links.where(category_token(token)), entity_keys(catalog, links))
+    check_entity(catalog, links)
+    return catalog.join(links.where(category_token(token)), [*ENTITY])
 
 
 def restrict_to_category(results: DataFrame, links: DataFrame, token: str) -> DataFrame:
     """Results that belong to a category, never multiplied."""
-    keys = entity_keys(results, links)
-    return results.join(links.where(category_token(token)).select(*keys), keys, "left_semi")
+    check_entity(results, links)
+    return results.join(links.where(category_token(token)).select(*ENTITY), [*ENTITY], "left_semi")
 
 
-def siblings(df_id: str, links: DataFrame, categories: DataFrame, catalog: DataFrame) -> DataFrame:
-    """All dataflows sharing a category with the given one, per category."""
+def category_names(categories: DataFrame) -> DataFrame:
+    """One row per category: the names of its scheme and itself."""
+    return categories.groupBy(*LEAF).agg(F.max("scheme_name").alias("scheme_name"), F.max("cat_name").alias("cat_name"))
+
+
+def siblings(provider: str, df_id: str, links: DataFrame, categories: DataFrame, catalog: DataFrame) -> DataFrame:
+    """All dataflows of the provider that share a category with the given one, per category."""
+    check_entity(links, catalog)
     is_target = F.upper("df_id") == df_id.upper()
-    memberships = links.where(is_target).select(*LEAF).distinct()
-    names = categories.groupBy(*LEAF).agg(
-        F.max("scheme_name").alias("scheme_name"), F.max("cat_name").alias("cat_name")
-    )
-    shared = links.select("df_id", *LEAF).join(memberships, LEAF, "left_semi").distinct()
+    mine = links.where(F.col("provider") == provider)
+    memberships = mine.where(is_target).select(*LEAF).distinct()
+    shared = mine.select(*ENTITY, *LEAF).join(memberships, LEAF, "left_semi").distinct()
     return (
-        shared.join(names, LEAF, "left")
-        .join(catalog.select("df_id", "df_description"), "df_id", "left")
+        shared.join(category_names(categories), LEAF, "left")
+        .join(catalog.select(*ENTITY, "df_description"), [*ENTITY], "left")
         .select(
             "scheme_id", F.coalesce("scheme_name", F.lit("")).alias("scheme_name"),
-            "cat_path", F.coalesce("cat_name", F.lit("")).alias("cat_name"), "df_id",
+            "cat_path", F.coalesce("cat_name", F.lit("")).alias("cat_name"), *ENTITY,
             F.coalesce("df_description", F.lit("")).alias("df_description"),
             is_target.alias("is_target"),
         )
@@ -57,28 +63,27 @@ def siblings(df_id: str, links: DataFrame, categories: DataFrame, catalog: DataF
 
 def category_dataflows(links: DataFrame, rendered: DataFrame, catalog: DataFrame) -> DataFrame:
     """Dataflows hanging below the shown categories, by category then title."""
+    check_entity(links, catalog)
     leaves = links.join(rendered.select(*LEAF).distinct(), LEAF, "left_semi")
-    described = leaves.join(catalog.select("df_id", "df_description"), "df_id", "left").select(
-        *LEAF, "df_id", F.coalesce("df_description", F.lit("")).alias("df_description")
+    described = leaves.join(catalog.select(*ENTITY, "df_description"), [*ENTITY], "left").select(
+        *LEAF, *ENTITY, F.coalesce("df_description", F.lit("")).alias("df_description")
     )
     title = F.when(F.col("df_description") != "", F.col("df_description")).otherwise(F.col("df_id"))
-    return described.orderBy(*LEAF, title, "df_id")
+    return described.orderBy(*LEAF, title, "df_id", "provider")
 
 
 def invalid_codes(
-    spark, filters: Mapping[str, object], avail: DataFrame, df_id: str | None = None
+    spark, filters: Mapping[str, object], avail: DataFrame, provider: str, df_id: str
 ) -> DataFrame:
-    """Requested codes that do not occur; dimensions without availability are not judged.
+    """Requested codes that do not occur in a dataflow; dimensions without availability are not judged.
 
-    ``df_id`` picks one dataflow out of a table of many.  The short request side is joined to the table first, so only matching keys move.
+    The short request side is joined to the table first, so only matching keys move.
     """
     wanted = spark.createDataFrame(
         [(dim, code) for dim, value in filters.items() for code in codes_of(value)],
         "dimension_id string, code_id string",
     ).withColumn("_dim", folded("dimension_id"))
-    if df_id is not None:
-        avail = avail.where(F.col("df_id") == df_id)
-    codes = avail.select(folded("dimension_id").alias("_dim"), "code_id")
+    codes = of_dataflow(avail, provider, df_id).select(folded("dimension_id").alias("_dim"), "code_id")
     known = codes.join(wanted.select("_dim").distinct(), "_dim", "left_semi").select("_dim").distinct()
     present = codes.join(wanted.select("_dim", "code_id"), ["_dim", "code_id"], "left_semi").distinct()
     return (
@@ -89,109 +94,105 @@ def invalid_codes(
 
 
 def match_catalog_ids(long_ids: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Map long dataflow ids to catalog ids: itself, else the part before ``_DF_``."""
-    known = catalog.select("df_id").distinct()
-    direct = known.select(F.col("df_id").alias("_direct"))
-    short = known.select(F.col("df_id").alias("_short"))
-    before = F.substring_index("long_id", "_DF_", 1)
+    """Map long dataflow ids (provider, long_id) to ids of that provider: itself, else the part before ``_DF_``."""
+    check_entity(catalog)
+    known = catalog.select(*ENTITY).distinct()
+    direct = known.select("provider", F.col("df_id").alias("long_id"), F.col("df_id").alias("_direct"))
+    short = known.select("provider", F.col("df_id").alias("_before"), F.col("df_id").alias("_short"))
+    before = F.when(F.col("long_id").contains("_DF_"), F.substring_index("long_id", "_DF_", 1))
     return (
-        long_ids.join(direct, F.col("long_id") == F.col("_direct"), "left")
-        .join(short, F.col("long_id").contains("_DF_") & (before == F.col("_short")), "left")
+        long_ids.join(direct, ["provider", "long_id"], "left")
+        .withColumn("_before", before).join(short, ["provider", "_before"], "left")
         .withColumn("catalog_id", F.coalesce("_direct", "_short"))
-        .drop("_direct", "_short")
+        .select(*long_ids.columns, "catalog_id")
     )
 
 
 def has_constraint_flag(catalog: DataFrame, matched: DataFrame, bulk_succeeded: bool) -> DataFrame:
     """True where matched; false where not, or null when the bulk load failed."""
-    hit = matched.where(F.col("catalog_id").isNotNull()).select(F.col("catalog_id").alias("df_id")).distinct()
+    check_entity(catalog)
+    hit = matched.where(F.col("catalog_id").isNotNull()).select("provider", F.col("catalog_id").alias("df_id")).distinct()
     missing = F.lit(False) if bulk_succeeded else F.lit(None).cast("boolean")
     return (
         catalog.drop("has_constraint")
-        .join(hit.withColumn("_hit", F.lit(True)), "df_id", "left")
+        .join(hit.withColumn("_hit", F.lit(True)), [*ENTITY], "left")
         .withColumn("has_constraint", F.coalesce("_hit", missing))
         .drop("_hit")
     )
 
 
 def resolve_dataflows(identifiers: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Catalog id of every identifier: by id, else structure id, else exact title.
+    """Catalog id of every (provider, identifier): by id, else structure id, else exact title, of that provider.
 
-    Each tier keeps one dataflow per key (smallest id) by a combinable aggregate, so a
-    structure shared by very many dataflows costs one row.
+    The catalog is read once: each dataflow offers its three names as rows, and the identifiers ask by the same
+    three. Every name keeps its smallest id by a combinable aggregate, so a structure shared by very many dataflows
+    costs one row.
     """
-    asked = identifiers.select("identifier").distinct()
-    tiers = (
-        ("_by_id", F.upper("df_id"), F.upper("identifier")),
-        ("_by_structure", F.upper("df_structure_id"), F.upper("identifier")),
-        ("_by_title", F.col("df_description"), F.col("identifier")),
+    check_entity(catalog)
+    asked = identifiers.select("provider", "identifier").distinct()
+
+    def ways(*names: Column) -> Column:
+        return F.inline(F.array(*[F.struct(F.lit(i).alias("tier"), c.alias("name")) for i, c in enumerate(names)]))
+
+    offered = catalog.select(*ENTITY, ways(F.upper("df_id"), F.upper("df_structure_id"), F.col("df_description")))
+    wanted = asked.select("provider", "identifier", ways(F.upper("identifier"), F.upper("identifier"), F.col("identifier")))
+    keys = ["provider", "tier", "name"]
+    best = (
+        offered.join(wanted.select(*keys).distinct(), keys, "left_semi").groupBy(*keys).agg(F.min("df_id").alias("df_id"))
     )
-    found = asked
-    for name, catalog_key, asked_key in tiers:
-        requested = asked.select(asked_key.alias("_key")).distinct()
-        best = (
-            catalog.select(catalog_key.alias("_key"), "df_id")
-            .join(requested, "_key", "left_semi")
-            .groupBy("_key").agg(F.min("df_id").alias(name))
-        )
-        found = found.join(best, asked_key == F.col("_key"), "left").drop("_key")
-    return found.select("identifier", F.coalesce(*[name for name, _, _ in tiers]).alias("df_id"))
+    found = wanted.join(best, keys).groupBy("provider", "identifier").agg(F.min(F.struct("tier", "df_id")).alias("_best"))
+    return asked.join(found, ["provider", "identifier"], "left").select("provider", "identifier", F.col("_best.df_id").alias("df_id"))
 
 
 def stale_links(links: DataFrame, catalog: DataFrame) -> DataFrame:
     """Category links whose dataflow left the catalog."""
-    keys = entity_keys(links, catalog)
-    return links.join(catalog.select(*keys), keys, "left_anti").select(*links.columns)
+    check_entity(links, catalog)
+    return links.join(catalog.select(*ENTITY), [*ENTITY], "left_anti").select(*links.columns)
 
 
 def stale_link_counts(links: DataFrame, catalog: DataFrame) -> DataFrame:
     """Number of stale links and of all links."""
-    keys = entity_keys(links, catalog)
-    known = catalog.select(*keys).distinct().withColumn("_known", F.lit(True))
-    return links.join(known, keys, "left").agg(
+    check_entity(links, catalog)
+    known = catalog.select(*ENTITY).distinct().withColumn("_known", F.lit(True))
+    return links.join(known, [*ENTITY], "left").agg(
         F.count_if(F.col("_known").isNull()).alias("n_stale"), F.count(F.lit(1)).alias("n_links")
     )
 
 
 def category_context(links: DataFrame, categories: DataFrame, include_scheme: bool = True) -> DataFrame:
-    """Per dataflow: all category names joined, and the alphabetically first one.
+    """Per dataflow: its category names in the order of the paths, and the alphabetically first one.
 
     The group is the categories of one dataflow; its text is the result itself.
     """
-    names = categories.groupBy(*LEAF).agg(
-        F.max("scheme_name").alias("scheme_name"), F.max("cat_name").alias("cat_name")
-    )
-    parts = ["scheme_name", "cat_name"] if include_scheme else ["cat_name"]
-    text = F.trim(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in parts]))
-    return (
-        links.join(names, LEAF, "left")
-        .select("df_id", *LEAF, text.alias("_text"), F.trim(F.coalesce("cat_name", F.lit(""))).alias("_name"))
-        .groupBy("df_id")
-        .agg(
-            F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct(*LEAF, "_text"))), lambda x: x["_text"]), " "
-            ).alias("cat_context"),
-            F.min("_name").alias("cat_primary"),
-        )
-    )
+    check_entity(links)
+    named = links.join(category_names(categories), LEAF, "left")
+    own = F.trim(F.coalesce("cat_name", F.lit("")))
+    shown = F.trim(F.concat(F.coalesce("scheme_name", F.lit("")), F.lit(" "), F.coalesce("cat_name", F.lit("")))) if include_scheme else own
+    entry = F.struct(*LEAF, shown.alias("shown"))
+    grouped = named.groupBy(*ENTITY).agg(F.array_sort(F.collect_list(entry)).alias("_entries"), F.min(own).alias("cat_primary"))
+    return grouped.select(*ENTITY, F.array_join("_entries.shown", " ").alias("cat_context"), "cat_primary")
 
 
 def dataflow_counts(links: DataFrame) -> DataFrame:
     """Distinct dataflows per category, direct members only."""
-    return links.groupBy(*LEAF).agg(F.count_distinct("df_id").alias("n_df"))
+    check_entity(links)
+    return links.groupBy(*LEAF).agg(F.count_distinct(*ENTITY).alias("n_df"))
 
 
 def scheme_counts(links: DataFrame) -> DataFrame:
-    return links.groupBy("scheme_id").agg(F.count_distinct("df_id").alias("n_df"))
+    check_entity(links)
+    return links.groupBy("scheme_id").agg(F.count_distinct(*ENTITY).alias("n_df"))
 
 
 def catalog_coverage(catalog: DataFrame, links: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Share of catalog dataflows having a category, 0-100; null for an empty catalog."""
-    known = catalog.select(*by, "df_id").distinct()
-    linked = links.select(*by, "df_id").distinct().withColumn("_linked", F.lit(True))
+    check_entity(catalog, links)
+    group = list(dict.fromkeys([*by, *ENTITY]))
+    known = catalog.select(*group).distinct()
+    linked = links.select(*ENTITY).distinct().withColumn("_linked", F.lit(True))
     total, hits = F.count(F.lit(1)), F.count_if(F.col("_linked").isNotNull())
     share = F.when(total > 0, 100.0 * hits / F.nullif(total, F.lit(0)))
-    return known.join(linked, [*by, "df_id"], "left").groupBy(*by).agg(
+    return known.join(linked, [*ENTITY], "left").groupBy(*by).agg(
         total.alias("n_total"), hits.alias("n_categorised"),
         share.alias("coverage"), F.floor(share).alias("coverage_shown"),
     )

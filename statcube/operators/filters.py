@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from statcube.functions.timeperiod import is_period, parse_time_period, period_end, year_text
-from statcube.model import TIME, VALUE, Filters, bind_dims, filters_of_key
+from statcube.model import ENTITY, TIME, VALUE, Filters, bind_dims, check_entity, filters_of_key
 
 # Code lists up to this length travel inside the plan (and reach the scan as an IN
 # filter); longer ones become a table and a semi join.
@@ -82,8 +82,9 @@ def grep(df: DataFrame, pattern: str, columns: Sequence[str]) -> DataFrame:
     return df.where(reduce(Column.__or__, found))
 
 
-def exclude_blacklisted(catalog: DataFrame, blacklist: DataFrame, key: str = "df_id") -> DataFrame:
-    return catalog.join(blacklist.select(key), key, "left_anti")
+def exclude_blacklisted(catalog: DataFrame, blacklist: DataFrame) -> DataFrame:
+    check_entity(catalog, blacklist)
+    return catalog.join(blacklist.select(*ENTITY), [*ENTITY], "left_anti")
 
 
 def conform_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
@@ -147,8 +148,9 @@ def split_unit(df: DataFrame, unit: str, column: str = "UNIT", time: str = TIME)
 def search_page_projection(hits: DataFrame) -> DataFrame:
     """Columns of a result page; the category is always there, even without a tree."""
     category = F.col("cat_primary") if "cat_primary" in hits.columns else F.lit(None).cast("string")
+    check_entity(hits)
     return hits.select(
-        "df_id",
+        *ENTITY,
         F.coalesce("df_description", F.lit("")).alias("df_description"),
         F.coalesce(category, F.lit("")).alias("category"),
         F.round(F.col("score").cast("double"), 2).alias("score"),

@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statcube.model import codes_of
+from statcube.model import ENTITY, check_entity, codes_of
+from statcube.session import BROADCAST_BYTES, cut_lineage
 
 
 def folded(column: str | Column) -> Column:
@@ -15,35 +16,48 @@ def folded(column: str | Column) -> Column:
     return F.replace(F.upper(c), F.lit("-"), F.lit("_"))
 
 
-def codelist_names(codelists: DataFrame, codelist_id: str, lang: str | None = None) -> DataFrame:
-    """(id, name) of one codelist, one row per code: the last listed name stays."""
-    chosen = codelists.where(F.col("codelist_id") == codelist_id)
-    if lang is not None:
-        chosen = chosen.where(F.col("lang") == lang)
+def _last_names(codelists: DataFrame, lang: str | None) -> DataFrame:
+    """(codelist_id, id, name), one row per code: the last listed name stays."""
+    chosen = codelists if lang is None else codelists.where(F.col("lang") == lang)
     listed = [c for c in ("seq", "order") if c in codelists.columns]
-    return chosen.groupBy("id").agg(
+    return chosen.where("id IS NOT NULL").groupBy("codelist_id", "id").agg(
         F.max_by("name", F.struct(*[F.coalesce(F.col(c), F.lit(-1)) for c in listed], "name")).alias("name")
     )
 
 
+def codelist_names(codelists: DataFrame, codelist_id: str, lang: str | None = None) -> DataFrame:
+    """(id, name) of one codelist, one row per code: the last listed name stays."""
+    return _last_names(codelists.where(F.col("codelist_id") == codelist_id), lang).select("id", "name")
+
+
 def enrich_labels(
     df: DataFrame, dims: Mapping[str, str | None], codelists: DataFrame, lang: str | None = None
 ) -> DataFrame:
     """Add ``<column>_label`` for every dimension that has a codelist.
 
     ``dims`` maps dimension ids to codelist ids.  Codes and rows stay; a code
-    without a name gets a null label.
+    without a name gets a null label.  The table of codelists is read once: the names of all needed lists are
+    checkpointed and measured, and lists that fit together into the broadcast limit reach the rows where
+    they are.  Only a longer list is joined by a shuffle, which AQE splits where a code is hot.  Runs jobs when called.
     """
     by_upper = {c.upper(): c for c in df.columns}
-    for dim, codelist_id in dims.items():
-        column = by_upper.get(dim.upper())
-        if column is None or not codelist_id:
-            continue
-        names = codelist_names(codelists, codelist_id, lang).select(
+    wanted = {by_upper[dim.upper()]: codelist for dim, codelist in dims.items() if codelist and dim.upper() in by_upper}
+    if not wanted:
+        return df
+    needed = codelists.where(F.col("codelist_id").isin(sorted(set(wanted.values()))))
+    names = cut_lineage(_last_names(needed, lang))
+    width = F.octet_length("id") + F.coalesce(F.octet_length("name"), F.lit(0)) + 64
+    sizes = {r["codelist_id"]: r["bytes"] for r in names.groupBy("codelist_id").agg(F.sum(width).alias("bytes")).collect()}
+    left = BROADCAST_BYTES
+    for column, codelist in sorted(wanted.items(), key=lambda item: (sizes.get(item[1], 0), list(wanted).index(item[0]))):
+        own = names.where(F.col("codelist_id") == codelist).select(
             F.col("id").alias("_code"), F.col("name").alias(f"{column}_label")
         )
-        df = df.join(names, F.col(column) == F.col("_code"), "left").drop("_code")
-    return df
+        left -= sizes.get(codelist, 0)
+        joined = F.broadcast(own) if left >= 0 else own
+        df = df.join(joined, F.col(column) == F.col("_code"), "left").drop("_code")
+    labels = {f"{column}_label" for column in wanted}
+    return df.select(*[c for c in df.columns if c not in labels], *[f"{column}_label" for column in wanted])
 
 
 def describe_filters(
@@ -72,33 +86,28 @@ def describe_filters(
     )
 
 
-def _available(avail: DataFrame, df_id: str | None) -> DataFrame:
-    return avail if df_id is None else avail.where(F.col("df_id") == df_id)
-
+def of_dataflow(avail: DataFrame, provider: str, df_id: str) -> DataFrame:
+    """The rows of one dataflow out of a table of many."""
+    check_entity(avail)
+    return avail.where((F.col("provider") == provider) & (F.col("df_id") == df_id))
 
-def constraint_labels(
-    avail: DataFrame, names: DataFrame, dimension: str, df_id: str | None = None
-) -> DataFrame:
-    """Codes of one dimension that occur, with their names ("" when unknown).
 
-    ``df_id`` picks one dataflow out of a table of many.
-    """
-    codes = _available(avail, df_id).where(folded("dimension_id") == folded(F.lit(dimension)))
+def constraint_labels(avail: DataFrame, names: DataFrame, dimension: str, provider: str, df_id: str) -> DataFrame:
+    """Codes of one dimension that occur in a dataflow, with their names ("" when unknown)."""
+    codes = of_dataflow(avail, provider, df_id).where(folded("dimension_id") == folded(F.lit(dimension)))
     codes = codes.select(F.col("code_id").alias("id")).distinct()
     return codes.join(names.select("id", "name"), "id", "left").select(
         "id", F.coalesce("name", F.lit("")).alias("name")
     )
 
 
-def values_in_dataflow(
-    names: DataFrame, avail: DataFrame, dimension: str, df_id: str | None = None
-) -> DataFrame:
-    """Whole codelist with ``in_dataflow``; ``df_id`` picks one dataflow out of a table of many.
+def values_in_dataflow(names: DataFrame, avail: DataFrame, dimension: str, provider: str, df_id: str) -> DataFrame:
+    """Whole codelist with ``in_dataflow``.
 
     Without any availability row for the dimension membership is unknown, so the
     flag is null, not false.
     """
-    codes = _available(avail, df_id).where(folded("dimension_id") == folded(F.lit(dimension)))
+    codes = of_dataflow(avail, provider, df_id).where(folded("dimension_id") == folded(F.lit(dimension)))
     known = codes.agg((F.count(F.lit(1)) > 0).alias("known")).scalar()
     present = codes.select(F.col("code_id").alias("id")).distinct().withColumn("_hit", F.lit(True))
     return names.join(present, "id", "left").withColumn(
@@ -115,7 +124,7 @@ def membership_counts(values: DataFrame) -> DataFrame:
 
 
 def metadata_companion(
-    avail: DataFrame, dims: DataFrame, codelists: DataFrame, keys: Sequence[str] = ("df_id",)
+    avail: DataFrame, dims: DataFrame, codelists: DataFrame, keys: Sequence[str] = ENTITY
 ) -> DataFrame:
     """(dimension, code, label) of every dimension with more than one value."""
     codes = avail.select(*keys, "dimension_id", "code_id").distinct()
@@ -144,7 +153,8 @@ def dimensions_info(catalog: DataFrame, dims: DataFrame, codelist_info: DataFram
     A dataflow without a structure id uses its own id; a dimension's own label wins
     over the description of its codelist.
     """
-    structures = catalog.select("df_id", F.coalesce("df_structure_id", "df_id").alias("structure_id"))
+    check_entity(catalog)
+    structures = catalog.select(*ENTITY, F.coalesce("df_structure_id", "df_id").alias("structure_id"))
     own = F.col("label") if "label" in dims.columns else F.lit(None).cast("string")
     info = codelist_info.select("codelist_id", F.col("description").alias("_info"))
     described = dims.join(info, "codelist_id", "left").select(
@@ -152,7 +162,7 @@ def dimensions_info(catalog: DataFrame, dims: DataFrame, codelist_info: DataFram
         F.coalesce(F.nullif(own, F.lit("")), "_info").alias("description"),
     )
     return structures.join(described, "structure_id").select(
-        "df_id", "dimension_id", "position", "codelist_id", "description"
+        *ENTITY, "dimension_id", "position", "codelist_id", "description"
     )
 
 

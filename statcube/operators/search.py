@@ -7,33 +7,22 @@ row; those rows are checkpointed and every statistic comes from them.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, functions as F
 
 from statcube.functions.text import tokenize
+from statcube.model import ENTITY, check_entity
+from statcube.operators.scoring import HEAD_CHARS, expansions_of, query_tokens, reach_of, scored
 from statcube.session import broadcast_within, cut_lineage
 
-# Fixed values of the ranking: Okapi constants, field boosts, weight of prefix hits.
-K1 = 1.5
-B = 0.75
-ID_BOOST = 3.0
-HEAD_BOOST = 2.0
-HEAD_CHARS = 60
-PREFIX_WEIGHT = 0.5
 RRF_CONSTANT = 60
 CUT_OFF = 50
 
 TEXT_COLUMNS = ("df_description", "df_id", "cat_context")
 
 
-def query_tokens(query: str) -> list[str]:
-    """Query words in order, repeats kept: runs of letters and digits."""
-    return re.findall(r"[^\W_]+", query.lower())
-
-
 def _present(catalog: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in catalog.columns]
 
@@ -71,130 +60,15 @@ def literal_search(catalog: DataFrame, query: str, columns: Sequence[str] = TEXT
     return catalog.where(hits == n_words).withColumn("score", F.lit(1.0))
 
 
-# --- index ------------------------------------------------------------------
-
-
-def postings(docs: DataFrame, doc_id: str = "df_id", text: str = "text") -> DataFrame:
-    """Terms of every document: (doc_id, term, doc_length, tf, in_id, in_head).
-
-    Terms found only in the id or cut off at the end of the head have tf 0.
-    """
-    body = F.coalesce(text, F.lit(""))
-    tokens = docs.select(doc_id, body.alias("_text"), tokenize(F.col(text)).alias("_terms"))
-    return _term_rows(
-        tokens.select(
-            doc_id, F.size("_terms").alias("doc_length"), "_terms", tokenize(F.col(doc_id)).alias("_id_terms"),
-            tokenize(F.substring("_text", 1, HEAD_CHARS)).alias("_head_terms"),
-        ),
-        doc_id,
-    )
-
-
-def corpus_size(docs: DataFrame, index: DataFrame) -> DataFrame:
-    """One row: number of documents and average length (1 for an empty corpus)."""
-    total = index.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total")).scalar()
-    counted = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    average = total / F.nullif(F.col("n_docs"), F.lit(0))
-    return counted.select("n_docs", F.when(average > 0, average).otherwise(1.0).alias("avg_length"))
-
-
-def write_index(docs: DataFrame, path: str, doc_id: str = "df_id", text: str = "text") -> None:
-    """Store the index sorted by term, so a query reads only the terms it can reach.
-
-    The document id is part of the range, so a term of every document is not one file.
-    """
-    terms = f"{path.rstrip('/')}/terms"
-    order = ["term", doc_id]
-    rows = postings(docs, doc_id, text).repartitionByRange(*order).sortWithinPartitions(*order)
-    rows.write.mode("overwrite").parquet(terms)
-    size = corpus_size(docs, docs.sparkSession.read.parquet(terms))
-    size.write.mode("overwrite").parquet(f"{path.rstrip('/')}/size")
-
-
-def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Index rows and corpus size as stored."""
-    return spark.read.parquet(f"{path.rstrip('/')}/terms"), spark.read.parquet(f"{path.rstrip('/')}/size")
-
-
-def idf(n_docs: Column, df: Column) -> Column:
-    return F.ln((n_docs - df + 0.5) / (df + 0.5) + 1.0)
-
-
-def bm25_stats(index: DataFrame, size: DataFrame) -> DataFrame:
-    """Document frequency and idf of every term of the corpus."""
-    n_docs = size.select("n_docs").scalar()
-    return index.where("tf > 0").groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", idf(n_docs, F.col("df")))
-
-
-def expand_prefix(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Terms reached by each query token: itself, else at half weight those it prefixes.
-
-    Prefixes of the vocabulary meet the tokens in an equi join; tokens found whole
-    are decided on the whole vocabulary first.
-    """
-    asked = tokens.select("token").distinct()
-    terms = vocabulary.select("term").distinct()
-    exact = asked.join(terms, F.col("token") == F.col("term")).select("token", "term", F.lit(1.0).alias("weight"))
-    open_tokens = asked.join(exact.select("token"), "token", "left_anti")
-    longest = open_tokens.agg(F.coalesce(F.max(F.length("token")), F.lit(0)).alias("n")).scalar()
-    lengths = F.sequence(F.lit(1), F.least(F.length("term"), F.greatest(longest, F.lit(1))))
-    prefixes = terms.where(F.length("term") > 0).select("term", F.explode(lengths).alias("_n"))
-    prefixes = prefixes.select("term", F.substring("term", F.lit(1), F.col("_n")).alias("token"))
-    partial = prefixes.join(open_tokens, "token").select("token", "term", F.lit(PREFIX_WEIGHT).alias("weight"))
-    return exact.unionByName(partial)
-
-
 # --- scoring one query -------------------------------------------------------
 
 
-def _reach(tokens: Sequence[str]) -> list[str]:
-    """Shortest starts that reach every token's exact and prefixed terms."""
-    return [t for t in dict.fromkeys(tokens) if not any(t != o and t.startswith(o) for o in tokens)]
-
-
-def _expansions(terms: DataFrame, tokens: Sequence[str], n_docs: Column) -> DataFrame:
-    """(position, term, weight, idf) of one query over the reachable vocabulary."""
-    # One subquery for all tokens: which of them occur as a whole term.
-    flags = [F.coalesce(F.max(F.col("term") == t), F.lit(False)) for t in tokens]
-    whole = terms.agg(F.array(*flags).alias("whole")).scalar()
-    ways = []
-    for i, token in enumerate(tokens):
-        weight = F.when(F.col("term") == token, 1.0).when(
-            F.col("term").startswith(token) & ~F.get(whole, F.lit(i)), PREFIX_WEIGHT
-        )
-        ways.append(F.struct(F.lit(i).alias("position"), weight.alias("weight")))
-    return (
-        terms.select("term", idf(n_docs, F.col("df")).alias("idf"), F.explode(F.array(*ways)).alias("_way"))
-        .select("term", "idf", "_way.*")
-        .where(F.col("weight").isNotNull())
-    )
-
-
-def _score(rows: DataFrame, doc_id: str, tokens: Sequence[str], n_docs: Column, avg_length: Column) -> DataFrame:
-    """Scores with boosts from (doc_id, doc_length, term, tf, in_id, in_head) rows."""
+def _score(rows: DataFrame, tokens: Sequence[str], n_docs: Column, avg_length: Column) -> DataFrame:
+    """Scores from counted rows of all documents the query touches."""
     frequency = rows.where("tf > 0").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    expansions = cut_lineage(_expansions(frequency, tokens, n_docs))
+    expansions = cut_lineage(expansions_of(frequency, tokens, n_docs))
     unit = expansions.agg(F.coalesce(F.avg("idf"), F.lit(1.0))).scalar()
-    tf = F.col("tf").cast("double")
-    part = (
-        F.col("weight") * F.col("idf") * tf * (K1 + 1)
-        / (tf + K1 * (1 - B + B * F.col("doc_length") / avg_length))
-    )
-    per_position = (
-        rows.join(broadcast_within(expansions), "term")
-        .groupBy(doc_id, "position")
-        .agg(
-            F.sum(part).alias("_bm25"), F.max(F.col("in_id").cast("int")).alias("_id"),
-            F.max(F.col("in_head").cast("int")).alias("_head"),
-        )
-    )
-    boost = unit * (ID_BOOST * F.sum("_id") + HEAD_BOOST * F.sum("_head")) / len(tokens)
-    return (
-        per_position.groupBy(doc_id)
-        .agg(F.sum("_bm25").alias("bm25"), boost.alias("boost"))
-        .where(F.col("bm25") > 0)
-        .withColumn("score", F.col("bm25") + F.col("boost"))
-    )
+    return scored(rows, tokens, broadcast_within(expansions), unit, avg_length)
 
 
 def _reached(tokens: Column, starts: Sequence[str]) -> Column:
@@ -202,7 +76,7 @@ def _reached(tokens: Column, starts: Sequence[str]) -> Column:
 
 
 def _facts(
-    docs: DataFrame, doc_id: str, text: Column, tokens: Sequence[str], hits: Column
+    docs: DataFrame, text: Column, tokens: Sequence[str], hits: Column
 ) -> tuple[DataFrame, Column, Column, Column]:
     """Short rows of the documents the query touches, and what the whole corpus says.
 
@@ -210,14 +84,14 @@ def _facts(
     best number of hits are observed on all rows of that same pass; rows the query does
     not touch are then dropped, so the checkpoint is as long as the answer.
     """
-    starts, corpus = _reach(tokens), Observation()
-    all_tokens = docs.select(doc_id, hits.alias("hits"), text.alias("_text")).withColumn(
+    starts, corpus = reach_of(tokens), Observation()
+    all_tokens = docs.select(*ENTITY, hits.alias("hits"), text.alias("_text")).withColumn(
         "_tokens", tokenize(F.col("_text"))
     )
     rows = all_tokens.select(
-        doc_id, "hits", F.size("_tokens").alias("doc_length"),
+        *ENTITY, "hits", F.size("_tokens").alias("doc_length"),
         _reached(F.col("_tokens"), starts).alias("_terms"),
-        _reached(tokenize(F.col(doc_id)), starts).alias("_id_terms"),
+        _reached(tokenize(F.col("df_id")), starts).alias("_id_terms"),
         _reached(tokenize(F.substring("_text", 1, HEAD_CHARS)), starts).alias("_head_terms"),
     )
     seen = rows.observe(
@@ -231,56 +105,50 @@ def _facts(
     return facts, F.lit(n_docs), F.lit(float(average)), F.lit(whole.get("hits") or 0)
 
 
-def _term_rows(facts: DataFrame, doc_id: str) -> DataFrame:
+def _term_rows(facts: DataFrame) -> DataFrame:
     """Counted terms; a word's place in the joined arrays tells text, id and head apart."""
     words = facts.select(
-        doc_id, "doc_length", F.size("_terms").alias("_id_from"),
+        *ENTITY, "doc_length", F.size("_terms").alias("_id_from"),
         (F.size("_terms") + F.size("_id_terms")).alias("_head_from"),
         F.posexplode(F.concat("_terms", "_id_terms", "_head_terms")).alias("_place", "term"),
     )
     in_text, in_head = F.col("_place") < F.col("_id_from"), F.col("_place") >= F.col("_head_from")
-    return words.groupBy(doc_id, "doc_length", "term").agg(
+    return words.groupBy(*ENTITY, "doc_length", "term").agg(
         F.count_if(in_text).alias("tf"), F.max(~in_text & ~in_head).alias("in_id"), F.max(in_head).alias("in_head")
     )
 
 
-def bm25_search(docs: DataFrame, query: str, doc_id: str = "df_id", text: str = "text") -> DataFrame:
-    """(doc_id, bm25, boost, score) of the documents scoring above zero."""
+def bm25_search(docs: DataFrame, query: str, text: str = "text") -> DataFrame:
+    """(provider, df_id, bm25, boost, score) of the documents scoring above zero."""
+    check_entity(docs)
     tokens = query_tokens(query)
     if not tokens:
-        return docs.select(doc_id, *[F.lit(0.0).alias(c) for c in ("bm25", "boost", "score")]).limit(0)
+        return docs.select(*ENTITY, *[F.lit(0.0).alias(c) for c in ("bm25", "boost", "score")]).limit(0)
     body = F.coalesce(F.col(text), F.lit(""))
-    facts, n_docs, avg_length, _ = _facts(docs, doc_id, body, tokens, F.lit(0))
-    return _score(_term_rows(facts, doc_id), doc_id, tokens, n_docs, avg_length)
+    facts, n_docs, avg_length, _ = _facts(docs, body, tokens, F.lit(0))
+    return _score(_term_rows(facts), tokens, n_docs, avg_length)
 
 
-def bm25_score(index: DataFrame, size: DataFrame, query: str, doc_id: str = "df_id") -> DataFrame:
-    """As :func:`bm25_search`, from a stored index; no text is read.
+def search(catalog: DataFrame, query: str, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
+    """Candidates with their relevance, best first; unscored candidates stay with 0.
 
-    With the index stored sorted by term, the starts reach the file scan as filters.
+    A dataflow is known by provider and id: the same id of another provider is another row.
     """
-    tokens = query_tokens(query)
-    reached = reduce(Column.__or__, [F.col("term").startswith(s) for s in _reach(tokens)], F.lit(False))
-    corpus = size.select(F.struct("n_docs", "avg_length").alias("size")).scalar()
-    return _score(index.where(reached), doc_id, tokens, corpus["n_docs"], corpus["avg_length"])
-
-
-def search(catalog: DataFrame, query: str, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
-    """Candidates with their relevance, best first; unscored candidates stay with 0."""
+    check_entity(catalog)
     tokens = query_tokens(query)
     if not tokens:
-        return literal_search(catalog, query, columns).orderBy("df_id")
+        return literal_search(catalog, query, columns).orderBy("df_id", "provider")
     hits, n_words = _token_hits(catalog, query, columns)
     text = document_text(catalog, columns)
-    facts, n_docs, avg_length, best = _facts(catalog, "df_id", text, tokens, hits)
-    scores = _score(_term_rows(facts, "df_id"), "df_id", tokens, n_docs, avg_length).select("df_id", "score")
-    accepted = facts.where(_accepted(F.col("hits"), n_words, best)).select("df_id")
-    ranking = accepted.join(scores, "df_id", "left").select(
-        "df_id", F.coalesce("score", F.lit(0.0)).alias("score")
+    facts, n_docs, avg_length, best = _facts(catalog, text, tokens, hits)
+    scores = _score(_term_rows(facts), tokens, n_docs, avg_length).select(*ENTITY, "score")
+    accepted = facts.where(_accepted(F.col("hits"), n_words, best)).select(*ENTITY)
+    ranking = accepted.join(scores, [*ENTITY], "left").select(
+        *ENTITY, F.coalesce("score", F.lit(0.0)).alias("score")
     )
     # Measured, so that the texts of the catalog are not shuffled to meet a short list.
     hits_only = broadcast_within(cut_lineage(ranking))
-    return catalog.join(hits_only, "df_id").orderBy(F.desc("score"), "df_id")
+    return catalog.join(hits_only, [*ENTITY]).orderBy(F.desc("score"), "df_id", "provider")
 
 
 def legacy_score(
@@ -301,16 +169,49 @@ def legacy_score(
         if "cat_context" in catalog.columns:
             score = score + F.lower(F.coalesce("cat_context", F.lit(""))).contains(word).cast("int")
     hits, _ = _token_hits(catalog, query, columns)
-    scored = catalog.withColumn("score", score)
+    ranked = catalog.withColumn("score", score)
     order = [F.desc("score"), F.col("df_id")]
-    return scored.orderBy(hits.desc(), *order) if coverage_first else scored.orderBy(*order)
+    return ranked.orderBy(hits.desc(), *order) if coverage_first else ranked.orderBy(*order)
 
 
-def paginate(df: DataFrame, page: int, n: int, order: Sequence[Column | str]) -> DataFrame:
-    """One page of a stable order; a page beyond the end is empty."""
-    if page < 1 or n < 1:
-        raise ValueError("page and size start at 1")
-    return df.orderBy(*order).offset((page - 1) * n).limit(n)
+def paginate(
+    df: DataFrame, n: int, order: Sequence[str], after: Sequence[object] | None = None
+) -> tuple[list[Row], int, tuple | None]:
+    """One page by cursor: its rows, the number of all rows, and the cursor of the next page (None at the end).
+
+    ``order`` names columns that order the rows totally; a leading ``-`` means falling.  Nulls come last.
+    ``after`` is the cursor of the page before: only rows behind it are ranked, so every page costs one pass and a
+    top n, however deep it is.  The total is observed in that same pass.
+    """
+    if n < 1:
+        raise ValueError("the size of a page starts at 1")
+    total = Observation()
+    counted = df.observe(total, F.count(F.lit(1)).alias("n"))
+    names = [o.lstrip("-") for o in order]
+    falling = [o.startswith("-") for o in order]
+    if after is not None:
+        if len(after) != len(names):
+            raise ValueError(f"the cursor has {len(after)} values for {len(names)} columns")
+        counted = counted.where(_behind(df, names, falling, after))
+    sorting = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in zip(names, falling)]
+    rows = counted.orderBy(*sorting).limit(n + 1).collect()
+    page = rows[:n]
+    end = tuple(page[-1][c] for c in names) if len(rows) > n else None
+    # An empty page may end without a pass over the rows.
+    return page, total.get["n"] if rows else df.count(), end
+
+
+def _behind(df: DataFrame, names: Sequence[str], falling: Sequence[bool], after: Sequence[object]) -> Column:
+    """Rows that follow a cursor: larger at the first column that differs."""
+    behind = F.lit(False)
+    for c, down, value in reversed(list(zip(names, falling, after))):
+        column, last = F.col(c), F.lit(value).cast(df.schema[c].dataType)
+        if value is None:
+            behind = column.isNull() & behind
+        else:
+            further = column < last if down else column > last
+            behind = F.coalesce(further, F.lit(True)) | (column.eqNullSafe(last) & behind)
+    return behind
 
 
 # --- evaluation --------------------------------------------------------------
@@ -319,15 +220,16 @@ def paginate(df: DataFrame, page: int, n: int, order: Sequence[Column | str]) ->
 def evaluate_ranking(runs: DataFrame, gold: DataFrame, k: int = 10, cut_off: int = CUT_OFF) -> DataFrame:
     """Mean reciprocal rank and success@k per run.
 
-    ``runs``: run, query, df_id, rank.  ``gold``: query, df_id (any member of the
+    ``runs``: run, query, provider, df_id, rank.  ``gold``: query, provider, df_id (any member of the
     family counts).  A query without a hit up to the cut-off counts as 0.
     """
+    check_entity(runs, gold)
     queries = gold.select("query").distinct()
     names = runs.select("run").distinct()
     n_queries = queries.agg(F.count(F.lit(1)).alias("n")).scalar()
     best = (
         runs.where(F.col("rank") <= cut_off)
-        .join(gold.select("query", "df_id").distinct(), ["query", "df_id"], "left_semi")
+        .join(gold.select("query", *ENTITY).distinct(), ["query", *ENTITY], "left_semi")
         .groupBy("run", "query").agg(F.min("rank").alias("rank"))
     )
     per_run = best.groupBy("run").agg(
@@ -341,5 +243,6 @@ def evaluate_ranking(runs: DataFrame, gold: DataFrame, k: int = 10, cut_off: int
 
 
 def rrf(runs: DataFrame, constant: int = RRF_CONSTANT) -> DataFrame:
-    """Unweighted reciprocal rank fusion of runs (run, query, df_id, rank)."""
-    return runs.groupBy("query", "df_id").agg(F.sum(1.0 / (F.lit(constant) + F.col("rank"))).alias("score"))
+    """Unweighted reciprocal rank fusion of runs (run, query, provider, df_id, rank)."""
+    check_entity(runs)
+    return runs.groupBy("query", *ENTITY).agg(F.sum(1.0 / (F.lit(constant) + F.col("rank"))).alias("score"))

@@ -2,49 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from statcube.operators.catalog import LEAF, dataflow_counts, scheme_counts
 from statcube.session import cut_lineage
 
 
+def _depths(nodes: DataFrame) -> tuple[DataFrame, int]:
+    """(scheme_id, id, parent, depth) of the nodes that reach a root, and the doublings that the deepest took.
+
+    Pointers only: a row points at some ancestor and, each round, takes over where that one points.  After
+    round k all nodes up to depth 2^k are done.  Depths have no gaps, so a round that finishes none is the last:
+    whatever still points then sits on a cycle, or below one or a missing parent.
+    """
+    start = nodes.select("scheme_id", "id", "parent").distinct()
+    rows = start.withColumns({"_next": F.col("parent"), "depth": F.lit(1), "_fresh": F.col("parent").isNull()})
+    rounds = 0
+    while True:
+        seen = Observation()
+        pending = F.col("_next").isNotNull()
+        rows = cut_lineage(rows.observe(seen, F.count_if("_fresh").alias("done"), F.count_if(pending).alias("open")))
+        if rows.isEmpty() or not seen.get["done"]:
+            return rows.where(~pending).drop("_next", "_fresh"), max(rounds - 1, 0)
+        if not seen.get["open"]:
+            return rows.drop("_next", "_fresh"), rounds
+        ahead = rows.select("scheme_id", F.col("id").alias("_next"), F.col("_next").alias("_then"), F.col("depth").alias("_more"))
+        climbed = rows.where(pending).join(ahead, ["scheme_id", "_next"]).select(
+            "scheme_id", "id", "parent", F.col("_then").alias("_next"), (F.col("depth") + F.col("_more")).alias("depth"),
+            F.col("_then").isNull().alias("_fresh"))
+        rows = rows.where(~pending).withColumn("_fresh", F.lit(False)).unionByName(climbed)
+        rounds += 1
+
+
 def materialise_paths(nodes: DataFrame) -> DataFrame:
     """Paths of parent/child rows (scheme_id, id, parent, ...): dotted path and depth.
 
-    Pointer doubling: a row holds the path up to some ancestor and, each round, takes
-    over that ancestor's own partial path, so a tree of depth d needs log2(d) joins.
-    Rows that never reach a root (cycles, missing parents) are left out.
+    Rows that never reach a root (cycles, missing parents) are found on pointers alone and left out before
+    any text is built; then the paths of the rest double in as many rounds as the deepest needs.
     """
     extra = [c for c in nodes.columns if c not in ("scheme_id", "id", "parent")]
-    walk = nodes.select(
-        "scheme_id", "id", "parent", *extra, F.col("parent").alias("_next"),
-        F.col("id").alias("cat_path"), F.lit(1).alias("depth"),
-    )
-    done, rest = None, walk
-    while True:
-        finished = rest.where(F.col("_next").isNull())
-        pending = rest.where(F.col("_next").isNotNull())
-        done = finished if done is None else done.unionByName(finished)
-        open_rows = pending.count()
-        if open_rows == 0:
-            break
-        known = done.unionByName(pending).select(
-            "scheme_id", F.col("id").alias("_anc"), F.col("_next").alias("_anc_next"),
-            F.col("cat_path").alias("_anc_path"), F.col("depth").alias("_anc_depth"),
-        )
-        climbed = (
-            pending.join(known, (pending["scheme_id"] == known["scheme_id"]) & (F.col("_next") == F.col("_anc")))
-            .select(
-                pending["scheme_id"], "id", "parent", *extra, F.col("_anc_next").alias("_next"),
-                F.concat_ws(".", "_anc_path", "cat_path").alias("cat_path"),
-                (F.col("depth") + F.col("_anc_depth")).alias("depth"),
-            )
-        )
-        # A row on a cycle only grows: once it is deeper than the table is long, drop it.
-        rest = cut_lineage(climbed.where(F.col("depth") <= nodes.agg(F.count(F.lit(1))).scalar()))
-        done = cut_lineage(done)
+    rooted, rounds = _depths(nodes)
+    walk = rooted.withColumns({"_next": F.col("parent"), "cat_path": F.col("id")})
+    for _ in range(rounds):
+        ahead = walk.select("scheme_id", F.col("id").alias("_next"), F.col("_next").alias("_then"), F.col("cat_path").alias("_path"))
+        walk = cut_lineage(walk.join(ahead, ["scheme_id", "_next"], "left").select(
+            "scheme_id", "id", "parent", "depth", F.col("_then").alias("_next"), F.concat_ws(".", "_path", "cat_path").alias("cat_path")))
+    found = walk.select(F.col("scheme_id").alias("_scheme"), F.col("id").alias("_id"), F.col("parent").alias("_parent"), "cat_path", "depth")
+    same = (F.col("scheme_id") == F.col("_scheme")) & (F.col("id") == F.col("_id")) & F.col("parent").eqNullSafe(F.col("_parent"))
     tail = F.length("cat_path") - F.length("id") - 1
-    return done.select(
+    return nodes.join(found, same).select(
         "scheme_id", F.col("id").alias("cat_id"), *extra, "cat_path",
         F.when(F.col("depth") > 1, F.substring("cat_path", F.lit(1), tail)).otherwise("").alias("parent_path"),
         "depth",

@@ -24,6 +24,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     return spark
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
@@ -34,9 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="statcube-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    # The setting can't be changed in a running session, so the folder is remembered here.
+    return _fallback.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="statcube-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -74,7 +76,7 @@ def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """
     width = F.lit(0).cast("long")
     for column in df.schema:
-        text = isinstance(column.dataType, T.StringType)
+        text = isinstance(column.dataType, (T.StringType, T.BinaryType))
         width = width + (F.coalesce(F.octet_length(column.name), F.lit(0)) + 16 if text else F.lit(16))
     measured = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
     return F.broadcast(df) if measured <= limit else df

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from statcube.model import TIME, VALUE
-from statcube.operators.series import ranked
-from statcube.sources.nested import MAX_DEPTH, nested_type, preorder
+from statcube.sources.nested import objects, parsed, part, text, unfold, walk
 
 # --- observations ------------------------------------------------------------
 
@@ -66,118 +65,102 @@ def flatten_sdmx_json(
 
 # --- hub catalog -------------------------------------------------------------
 
-_S = T.StringType()
-_CATEGORY_FIELDS = [
-    T.StructField("id", _S), T.StructField("label", _S), T.StructField("datasetIdentifiers", T.ArrayType(_S)),
-]
-_CHILDREN = "childrenCategories"
-
-
-def _hub_type(depth: int) -> T.StructType:
-    categories = nested_type(_CATEGORY_FIELDS, _CHILDREN, depth)
-    group = T.StructType([T.StructField("categories", categories)])
-    title = T.StructType([T.StructField("title", _S)])
-    return T.StructType(
-        [T.StructField("categoryGroups", T.ArrayType(group)), T.StructField("datasetMap", T.MapType(_S, title))]
-    )
-
 
 def bare_id(identifier: Column) -> Column:
     """Flow id of ``agency,id,version``; a text without commas is the id itself."""
     return F.coalesce(F.get(F.split(identifier, ","), F.lit(1)), identifier)
 
 
-def _hub(df: DataFrame, column: str, keep: Sequence[str], depth: int) -> DataFrame:
-    parsed = df.select(*keep, F.from_json(F.col(column), _hub_type(depth)).alias("_m"))
-    tops = F.flatten(F.transform("_m.categoryGroups", lambda g: g["categories"]))
-    return parsed.select(*keep, F.col("_m.datasetMap").alias("_titles"), tops.alias("_tops"))
+def _tops(catalog: dict) -> list[dict]:
+    return [top for group in objects(catalog.get("categoryGroups")) for top in objects(group.get("categories"))]
 
 
-def flatten_hub_catalog(
-    df: DataFrame, column: str, node: str, max_depth: int = MAX_DEPTH
-) -> DataFrame:
+def _children(category: dict) -> list[dict]:
+    return objects(category.get("childrenCategories"))
+
+
+def _flows(category: dict) -> list[str]:
+    listed = category.get("datasetIdentifiers")
+    return [text(f) for f in listed if f is not None] if isinstance(listed, list) else []
+
+
+def flatten_hub_catalog(df: DataFrame, column: str, node: str) -> DataFrame:
     """Catalog rows of hub catalogs, one JSON catalog per node.
 
-    A dataflow listed twice keeps its first place, by node and then position.  Its
-    name is the title, else the label of its category, else its id.
+    Datasets and titles become rows and meet by node and id in one grouping.  A dataflow listed twice keeps its first
+    place, by node and then position; of several titles the last wins.  Its name is the title, else the
+    label of its category, else its id.
     """
 
-    def listed(cat: Column, _: Column) -> Column:
-        return F.transform(
-            F.coalesce(cat["datasetIdentifiers"], F.array().cast("array<string>")),
-            lambda full: F.struct(full.alias("full_id"), cat["label"].alias("label")),
-        )
+    def rows_of(message: str | None) -> Iterator[tuple]:
+        catalog, seq = parsed(message), 0
+        for category, _ in walk(_tops(catalog), lambda c, s: (_children(c), s), None):
+            for full in _flows(category):
+                yield False, seq, full, text(category.get("label"))
+                seq += 1
+        titles = catalog.get("datasetMap")
+        for place, (full, entry) in enumerate(titles.items() if isinstance(titles, dict) else ()):
+            yield True, place, full, text(part(entry, "title"))
 
-    rows = preorder(F.col("_tops"), lambda c: c[_CHILDREN], max_depth, listed, lambda _, s: s, F.lit(0))
-    titles = F.map_entries("_titles")
-    flows = _hub(df, column, [node], max_depth).select(node, titles.alias("_titles"), F.posexplode(rows).alias("seq", "_r"))
-    parts = F.split("_r.full_id", ",")
-    title = F.filter("_titles", lambda t: bare_id(t["key"]) == bare_id(F.col("_r.full_id")))
-    described = flows.select(
-        node, "seq", bare_id(F.col("_r.full_id")).alias("df_id"), F.coalesce(F.get(parts, F.lit(2)), F.lit("1.0")).alias("version"),
-        F.coalesce(
-            F.nullif(F.element_at(F.nullif(title, F.filter(title, lambda _: F.lit(False))), -1)["value"]["title"], F.lit("")),
-            F.nullif(F.col("_r.label"), F.lit("")), bare_id(F.col("_r.full_id")),
-        ).alias("df_description"),
-    )
-    first = ranked(described, ["df_id"], [F.col(node).asc(), F.col("seq").asc()], 1)
-    return first.select(
-        "df_id", "version", "df_description", F.lit(None).cast("string").alias("df_structure_id"),
-        F.lit(True).alias("has_constraint"), node,
+    rows = unfold(df, column, [node], rows_of, "is_title boolean, seq int, full_id string, name string")
+    listed, title = ~F.col("is_title"), F.col("is_title")
+    per_node = rows.groupBy(F.col(node), bare_id(F.col("full_id")).alias("df_id")).agg(
+        F.min(F.when(listed, F.struct("seq", "full_id", "name"))).alias("_first"),
+        F.max(F.when(title, F.struct("seq", "name"))).alias("_title"),
+    ).where("_first IS NOT NULL")
+    best = per_node.groupBy("df_id").agg(F.min(F.struct(node, "_first", "_title")).alias("_b"))
+    name = F.coalesce(*[F.nullif(c, F.lit("")) for c in (F.col("_b._title.name"), F.col("_b._first.name"))], F.col("df_id"))
+    version = F.get(F.split("_b._first.full_id", ","), F.lit(2))
+    return best.select(
+        "df_id", F.coalesce(version, F.lit("1.0")).alias("version"), name.alias("df_description"),
+        F.lit(None).cast("string").alias("df_structure_id"), F.lit(True).alias("has_constraint"), F.col(f"_b.{node}").alias(node),
     )
 
 
-def _hub_rows(df: DataFrame, column: str, keep: Sequence[str], max_depth: int) -> DataFrame:
-    """Category rows with their dataset identifiers."""
+_CATEGORY = (
+    "scheme_id string, scheme_name string, cat_id string, cat_path string, cat_name string, parent_path string, depth int"
+)
 
-    def row(cat: Column, state: Column) -> Column:
-        one = F.struct(
-            cat["id"].alias("cat_id"), F.concat(state["prefix"], cat["id"]).alias("cat_path"),
-            F.coalesce(cat["label"], F.lit("")).alias("cat_name"), state["path"].alias("parent_path"),
-            state["depth"].alias("depth"), cat["datasetIdentifiers"].alias("_flows"),
-        )
-        return F.filter(F.array(one), lambda r: F.coalesce(r["cat_id"], F.lit("")) != "")
 
-    def below(cat: Column, state: Column) -> Column:
-        path = F.concat(state["prefix"], cat["id"])
-        return F.struct(
-            F.concat(path, F.lit(".")).alias("prefix"), path.alias("path"), (state["depth"] + 1).alias("depth")
-        )
+def _hub_categories(message: str | None) -> Iterator[tuple[tuple, list[str]]]:
+    """Category rows of a hub catalog with their dataset identifiers.
 
-    def children(cat: Column) -> Column:
-        return F.when(F.coalesce(cat["id"], F.lit("")) != "", cat[_CHILDREN])
-
-    start = F.struct(F.lit("").alias("prefix"), F.lit("").alias("path"), F.lit(1).alias("depth"))
-    tops = _hub(df, column, keep, max_depth).select(*keep, F.explode("_tops").alias("_top"))
-    nested = preorder(F.col("_top")[_CHILDREN], children, max_depth - 1, row, below, start)
-    own = F.filter(row(F.col("_top"), start), lambda r: F.coalesce(F.size(r["_flows"]), F.lit(0)) > 0)
-    scheme = tops.select(
-        *keep, F.coalesce("_top.id", F.lit("")).alias("scheme_id"),
-        F.coalesce("_top.label", F.lit("")).alias("scheme_name"),
-        F.concat(own, F.coalesce(nested, F.filter(own, lambda _: F.lit(False)))).alias("_rows"),
-    )
-    return scheme.select(*keep, "scheme_id", "scheme_name", F.inline("_rows"))
+    A category without id is skipped with everything below it.
+    """
+    for top in _tops(parsed(message)):
+        scheme = (text(top.get("id")) or "", text(top.get("label")) or "")
 
+        def below(category: dict, state: tuple[str, int]) -> tuple[list[dict], tuple[str, int]]:
+            own = text(category.get("id")) or ""
+            return (_children(category), (f"{state[0]}{own}.", state[1] + 1)) if own else ([], state)
 
-def flatten_hub_categories(
-    df: DataFrame, column: str, keep: Sequence[str] = (), max_depth: int = MAX_DEPTH
-) -> DataFrame:
+        own = [(top, ("", 1))] if _flows(top) else []
+        for category, (prefix, depth) in [*own, *walk(_children(top), below, ("", 1))]:
+            name = text(category.get("id")) or ""
+            if name:
+                yield (*scheme, name, prefix + name, text(category.get("label")) or "", prefix[:-1], depth), _flows(category)
+
+
+def flatten_hub_categories(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFrame:
     """Categories of hub catalogs: top categories are schemes.
 
     A top category that holds dataflows itself also appears as a first-level category.
     """
-    return _hub_rows(df, column, keep, max_depth).drop("_flows").withColumn(
-        "cat_description", F.lit(None).cast("string")
-    )
 
+    def rows_of(message: str | None) -> Iterator[tuple]:
+        return (row for row, _ in _hub_categories(message))
 
-def flatten_hub_tree(
-    df: DataFrame, column: str, keep: Sequence[str] = (), max_depth: int = MAX_DEPTH
-) -> DataFrame:
+    return unfold(df, column, keep, rows_of, _CATEGORY).withColumn("cat_description", F.lit(None).cast("string"))
+
+
+def flatten_hub_tree(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFrame:
     """Links dataflow to category of hub catalogs (categories: ``flatten_hub_categories``)."""
-    return _hub_rows(df, column, keep, max_depth).select(
-        *keep, "scheme_id", "cat_path", F.explode("_flows").alias("_full")
-    ).select(*keep, bare_id(F.col("_full")).alias("df_id"), "scheme_id", "cat_path")
+
+    def rows_of(message: str | None) -> Iterator[tuple]:
+        return ((full, row[0], row[3]) for row, flows in _hub_categories(message) for full in flows)
+
+    links = unfold(df, column, keep, rows_of, "full_id string, scheme_id string, cat_path string")
+    return links.select(*keep, bare_id(F.col("full_id")).alias("df_id"), "scheme_id", "cat_path")
 
 
 def flatten_hub_structure(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -210,51 +193,31 @@ def flatten_hub_values(df: DataFrame, column: str, keep: Sequence[str] = ()) ->
 # --- metadata reports --------------------------------------------------------
 
 
-def _report_type(depth: int) -> T.StructType:
-    fields = [
-        T.StructField("id", _S), T.StructField("text", _S), T.StructField("texts", T.MapType(_S, _S)),
-    ]
-    below: T.DataType = T.ArrayType(_S)
-    for _ in range(depth):
-        inner = T.StructType([T.StructField("reportedAttributes", below)])
-        below = T.ArrayType(T.StructType([*fields, T.StructField("attributeSet", inner)]))
-    top = T.StructType([T.StructField("reportedAttributes", below)])
-    report = T.StructType([T.StructField("attributeSet", top)])
-    sets = T.ArrayType(T.StructType([T.StructField("reports", T.ArrayType(report))]))
-    return T.StructType([T.StructField("data", T.StructType([T.StructField("metadataSets", sets)]))])
-
-
-def reported_text(message: Column, attribute: str, lang: str, max_depth: int = MAX_DEPTH) -> Column:
-    """Text of the first attribute with that id that has one, parents before children.
+def _reported(message: str | None, wanted: Sequence[str], lang: str) -> tuple:
+    """Per wanted id, the text of the first attribute with that id that has one, parents before children.
 
     The plain text, else the wanted language, else English, else the first language.
     """
-
-    def filled(text: Column) -> Column:
-        return F.nullif(text, F.lit(""))
-
-    def text_of(node: Column, _: Column) -> Column:
-        texts = node["texts"]
-        best = F.coalesce(
-            filled(node["text"]), filled(texts[lang]), filled(texts["en"]),
-            filled(F.get(F.map_values(texts), F.lit(0))),
-        )
-        return F.filter(F.array(F.when(node["id"] == attribute, best)), lambda t: t.isNotNull())
-
-    parsed = F.from_json(message, _report_type(max_depth))
-    reports = F.flatten(F.transform(parsed["data"]["metadataSets"], lambda s: s["reports"]))
-    tops = F.flatten(F.transform(reports, lambda r: r["attributeSet"]["reportedAttributes"]))
-    found = preorder(
-        tops, lambda a: a["attributeSet"]["reportedAttributes"], max_depth, text_of, lambda _, s: s, F.lit(0)
-    )
-    return F.get(found, F.lit(0))
+    sets = objects(part(parsed(message), "data", "metadataSets"))
+    reports = [r for s in sets for r in objects(s.get("reports"))]
+    tops = [a for r in reports for a in objects(part(r, "attributeSet", "reportedAttributes"))]
+    found: dict[str, str] = {}
+    for node, _ in walk(tops, lambda a, s: (objects(part(a, "attributeSet", "reportedAttributes")), s), None):
+        name = text(node.get("id"))
+        if name in wanted and name not in found:
+            texts = node.get("texts") if isinstance(node.get("texts"), dict) else {}
+            first = next(iter(texts.values()), None)
+            options = (text(t) for t in (node.get("text"), texts.get(lang), texts.get("en"), first))
+            best = next((t for t in options if t), None)
+            if best:
+                found[name] = best
+    return tuple(found.get(name) for name in wanted)
 
 
 def flatten_metadata_report(
-    df: DataFrame, column: str, attributes: dict[str, str], lang: str, keep: Sequence[str] = (),
-    max_depth: int = MAX_DEPTH,
+    df: DataFrame, column: str, attributes: dict[str, str], lang: str, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Reported attributes as columns: ``attributes`` maps column names to attribute ids."""
-    return df.select(
-        *keep, *[reported_text(F.col(column), a, lang, max_depth).alias(n) for n, a in attributes.items()]
-    )
+    wanted = list(attributes.values())
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in attributes]).toDDL()
+    return unfold(df, column, keep, lambda message: [_reported(message, wanted, lang)], schema)

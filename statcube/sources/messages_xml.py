@@ -8,11 +8,13 @@ several files); ``parse_elements`` takes messages in a text column.  Both give a
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass, field
+from xml.parsers import expat
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from statcube.sources.nested import MAX_DEPTH, nested_type, preorder
+from statcube.sources.nested import unfold
 
 _S = T.StringType()
 _TEXTS = T.ArrayType(T.StructType([T.StructField("_lang", _S), T.StructField("_VALUE", _S)]))
@@ -35,11 +37,6 @@ _ANNOTATIONS = _struct(
 _KEY_VALUES = _many(_id=_S, Value=T.ArrayType(_S))
 
 
-def _category_scheme(depth: int) -> T.StructType:
-    fields = [T.StructField("_id", _S), T.StructField("Name", _TEXTS), T.StructField("Description", _TEXTS)]
-    return T.StructType([*fields, T.StructField("Category", nested_type(fields, "Category", depth))])
-
-
 # Element: its type, and where it sits below the root of a message.
 ELEMENTS: dict[str, tuple[T.StructType, str]] = {
     "Dataflow": (
@@ -83,7 +80,6 @@ ELEMENTS: dict[str, tuple[T.StructType, str]] = {
         "Constraints",
     ),
     "Series": (_struct(SeriesKey=_struct(Value=_many(_id=_S, _value=_S))), "DataSet"),
-    "CategoryScheme": (_category_scheme(MAX_DEPTH), "CategorySchemes"),
     "Categorisation": (
         _struct(
             Source=_struct(Ref=_struct(_id=_S, _agencyID=_S, **{"_class": _S})),
@@ -95,8 +91,22 @@ ELEMENTS: dict[str, tuple[T.StructType, str]] = {
 _OPTIONS = {"ignoreNamespace": "true", "mode": "FAILFAST"}
 
 
+# Elements that nest without limit stay texts: no reader schema knows their depth.
+TREES = ("CategoryScheme",)
+
+
+def _whole(tag: str) -> str:
+    """Pattern of a whole element, whatever its prefix; such elements do not hold each other."""
+    name = rf"(?:[\w.-]+:)?{tag}"
+    return rf"(?s)<{name}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?</{name}\s*>)"
+
+
 def read_elements(spark: SparkSession, path: str, tag: str) -> DataFrame:
     """Elements of XML files, wherever they sit in the message."""
+    if tag in TREES:
+        # The files are cut behind each end tag, so no file is one value.
+        lines = spark.read.option("lineSep", f"{tag}>").text(path).select(F.concat("value", F.lit(f"{tag}>")).alias("_m"))
+        return _texts_of(lines, "_m", tag, [])
     kind, _ = ELEMENTS[tag]
     rows = spark.read.format("xml").options(rowTag=tag, **_OPTIONS).schema(kind).load(path)
     return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("element"))
@@ -104,6 +114,8 @@ def read_elements(spark: SparkSession, path: str, tag: str) -> DataFrame:
 
 def parse_elements(df: DataFrame, column: str, tag: str, keep: Sequence[str] = ()) -> DataFrame:
     """Elements of messages held in a text column, with the columns to keep."""
+    if tag in TREES:
+        return _texts_of(df, column, tag, keep)
     kind, parent = ELEMENTS[tag]
     group = T.StructType([T.StructField(tag, T.ArrayType(kind))])
     root = T.StructType(
@@ -115,6 +127,10 @@ def parse_elements(df: DataFrame, column: str, tag: str, keep: Sequence[str] = (
     return parsed.select(*keep, F.explode(F.coalesce(inner, outer)).alias("element"))
 
 
+def _texts_of(df: DataFrame, column: str, tag: str, keep: Sequence[str]) -> DataFrame:
+    return df.select(*keep, F.explode(F.regexp_extract_all(column, F.lit(_whole(tag)), F.lit(0))).alias("element"))
+
+
 def _ddl(kind: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind)
 
@@ -277,37 +293,80 @@ def merge_constraint_sets(codes: DataFrame) -> DataFrame:
 # --- categories --------------------------------------------------------------
 
 
-def flatten_category_scheme(elements: DataFrame, lang: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Categories with dotted path, parent path and depth (first level is 1)."""
-    e = F.col("element")
+_CATEGORY = (
+    "scheme_id string, scheme_name string, cat_id string, cat_path string, cat_name string, cat_description string, "
+    "parent_path string, depth int"
+)
+
+
+@dataclass
+class _Open:
+    """An open element; schemes and categories that count have an id."""
+
+    tag: str
+    id: str | None = None
+    path: str = ""
+    parent: str = ""
+    depth: int = 0
+    lang: str | None = None
+    texts: dict[str, list[tuple[str | None, str]]] = field(default_factory=dict)
+
+
+class _SchemeReader:
+    """Categories of the scheme in a text, from its tags: a stack holds the open elements.
+
+    A category without an id is skipped with everything below it, and so is a scheme without one.
+    """
 
-    def row(cat: Column, parent: Column) -> Column:
-        path = F.concat(parent["prefix"], cat["_id"])
-        one = F.struct(
-            cat["_id"].alias("cat_id"), path.alias("cat_path"),
-            F.coalesce(_in_language(cat["Name"], lang), F.lit("")).alias("cat_name"),
-            F.coalesce(_in_language(cat["Description"], lang), F.lit("")).alias("cat_description"),
-            parent["path"].alias("parent_path"), parent["depth"].alias("depth"),
-        )
-        return F.filter(F.array(one), lambda r: F.coalesce(r["cat_id"], F.lit("")) != "")
-
-    def below(cat: Column, parent: Column) -> Column:
-        path = F.concat(parent["prefix"], cat["_id"])
-        return F.struct(
-            F.concat(path, F.lit(".")).alias("prefix"), path.alias("path"), (parent["depth"] + 1).alias("depth")
-        )
-
-    def children(cat: Column) -> Column:
-        # A category without an id is skipped with everything below it.
-        return F.when(F.coalesce(cat["_id"], F.lit("")) != "", cat["Category"])
-
-    start = F.struct(F.lit("").alias("prefix"), F.lit("").alias("path"), F.lit(1).alias("depth"))
-    rows = preorder(e["Category"], children, max_depth, row, below, start)
-    schemes = elements.select(
-        *_kept(elements), e["_id"].alias("scheme_id"),
-        F.coalesce(_in_language(e["Name"], lang), F.lit("")).alias("scheme_name"), rows.alias("_rows"),
-    ).where("scheme_id <> ''")
-    return schemes.select(*_kept(elements), "scheme_id", "scheme_name", F.inline("_rows"))
+    def __init__(self, lang: str):
+        self.lang = lang
+        self.stack: list[_Open] = [_Open("")]
+        self.found: list[tuple[_Open, _Open]] = []
+        self.data: list[str] = []
+
+    def start(self, name: str, attributes: dict[str, str]) -> None:
+        tag, above = name.rpartition(":")[2], self.stack[-1]
+        plain = {key.rpartition(":")[2]: value for key, value in attributes.items()}
+        new = _Open(tag, lang=plain.get("lang"))
+        if tag == "CategoryScheme":
+            new.id = plain.get("id")
+        elif tag == "Category" and above.tag in ("Category", "CategoryScheme") and above.id and plain.get("id"):
+            new.id, new.parent, new.depth = plain["id"], above.path, above.depth + 1
+            new.path = f"{above.path}.{new.id}" if above.path else new.id
+            self.found.append((next(o for o in self.stack if o.tag == "CategoryScheme"), new))
+        self.stack.append(new)
+        self.data = []
+
+    def end(self, name: str) -> None:
+        done = self.stack.pop()
+        if done.tag in ("Name", "Description"):
+            self.stack[-1].texts.setdefault(done.tag, []).append((done.lang, "".join(self.data).strip()))
+        self.data = []
+
+    def best(self, texts: list[tuple[str | None, str]]) -> str:
+        """Text of the language, or the first listed one when the language is missing."""
+        return next((t for lang, t in texts if lang == self.lang), texts[0][1] if texts else "")
+
+    def read(self, element: str) -> Iterator[tuple]:
+        parser = expat.ParserCreate("utf-8")
+        parser.StartElementHandler, parser.EndElementHandler = self.start, self.end
+        parser.CharacterDataHandler = self.data_found
+        parser.Parse(element.encode(), True)
+        for scheme, c in self.found:
+            name, described = (self.best(c.texts.get(t, [])) for t in ("Name", "Description"))
+            yield scheme.id, self.best(scheme.texts.get("Name", [])), c.id, c.path, name, described, c.parent, c.depth
+
+    def data_found(self, data: str) -> None:
+        self.data.append(data)
+
+
+def flatten_category_scheme(elements: DataFrame, lang: str) -> DataFrame:
+    """Categories with dotted path, parent path and depth (first level is 1), of trees of any depth."""
+
+    def rows_of(element: str | None) -> Iterator[tuple]:
+        return _SchemeReader(lang).read(element) if element else iter(())
+
+    return unfold(elements, "element", _kept(elements), rows_of, _CATEGORY)
 
 
 def flatten_categorisation(elements: DataFrame, prefix_agency: bool = False) -> DataFrame:

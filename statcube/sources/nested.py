@@ -1,52 +1,87 @@
-"""Trees nested inside one message, flattened by one expression.
-
-A reader schema needs a fixed depth.  The level below the deepest one is kept as raw
-texts, and a message that has anything there fails instead of losing rows.
-"""
+"""Trees nested inside one message, unfolded into rows by one walk with a stack, however deep they are."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import Any
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+# Rows handed on at once.
+ROWS = 10_000
+
+
+def unfold(
+    df: DataFrame, column: str, keep: Sequence[str], rows_of: Callable[[str | None], Iterable[tuple]], schema: str
+) -> DataFrame:
+    """The rows that ``rows_of`` gives for each message, next to the kept columns of the message."""
+    own = T.StructType.fromDDL(schema)
+    kept = [df.schema[c] for c in keep]
+    arrow = to_arrow_schema(own)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places: list[int] = []
+            rows: list[tuple] = []
+            for place, message in enumerate(batch.column(len(keep)).to_pylist()):
+                for row in rows_of(message):
+                    places.append(place)
+                    rows.append(row)
+                    if len(rows) >= ROWS:
+                        yield handed(batch, places, rows)
+                        places, rows = [], []
+            yield handed(batch, places, rows)
+
+    def handed(batch: pa.RecordBatch, places: list[int], rows: list[tuple]) -> pa.RecordBatch:
+        picked = pa.array(places, pa.int64())
+        columns = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), arrow)] if rows else [pa.array([], f.type) for f in arrow]
+        return pa.RecordBatch.from_arrays(
+            [*[batch.column(i).take(picked) for i in range(len(keep))], *columns], names=[*keep, *arrow.names])
+
+    return df.select(*keep, F.col(column).alias("_message")).mapInArrow(run, T.StructType([*kept, *own]))
+
 
-from pyspark.sql import Column, functions as F, types as T
+def walk(tops: Iterable[Any], below: Callable[[Any, Any], tuple[Iterable[Any], Any]], start: Any) -> Iterator[tuple[Any, Any]]:
+    """(node, state) of all nodes, each before its children; ``below`` gives a node's children and their state."""
+    stack = [(iter(tops), start)]
+    while stack:
+        nodes, state = stack[-1]
+        node = next(nodes, None)
+        if node is None:
+            stack.pop()
+            continue
+        yield node, state
+        children, handed = below(node, state)
+        stack.append((iter(children), handed))
 
-# Levels the schemas know; raise it for deeper trees.
-MAX_DEPTH = 8
 
+# --- JSON -----------------------------------------------------------------------
 
-def nested_type(fields: list[T.StructField], children: str, depth: int) -> T.ArrayType:
-    """Array of nodes holding ``children`` down to a depth, raw texts below."""
-    below: T.ArrayType = T.ArrayType(T.StringType())
-    for _ in range(depth):
-        below = T.ArrayType(T.StructType([*fields, T.StructField(children, below)]))
-    return below
 
+def parsed(message: str | None) -> dict:
+    """A JSON object; anything else counts as an empty one."""
+    try:
+        value = json.loads(message) if message else {}
+    except ValueError:
+        value = {}
+    return value if isinstance(value, dict) else {}
 
-def or_empty(items: Column, like: Column) -> Column:
-    """The array, or an empty one of the same type when it is null."""
-    return F.coalesce(items, F.filter(like, lambda _: F.lit(False)))
 
+def objects(value: Any) -> list[dict]:
+    """The objects of a list; anything else counts as no list."""
+    return [v for v in value if isinstance(v, dict)] if isinstance(value, list) else []
 
-def preorder(
-    nodes: Column, children: Callable[[Column], Column], depth: int,
-    emit: Callable[[Column, Column], Column], descend: Callable[[Column, Column], Column], start: Column,
-) -> Column:
-    """Rows of all nodes, each node before its children.
 
-    ``emit(node, state)`` is the array of rows of a node, ``descend(node, state)`` the
-    state its children get, e.g. the path so far.
-    """
+def part(value: Any, *names: str) -> Any:
+    """What stands below a chain of names, or None."""
+    for name in names:
+        value = value.get(name) if isinstance(value, dict) else None
+    return value
 
-    def rows(node: Column, state: Column, level: int) -> Column:
-        own, below = emit(node, state), children(node)
-        if level == depth:
-            problem = F.raise_error(F.lit(f"tree deeper than {depth} levels: raise max_depth"))
-            return F.when(F.coalesce(F.size(below), F.lit(0)) > 0, problem).otherwise(own)
-        # The state becomes a lambda variable; inlined it would double with every level.
-        handed = F.transform(
-            F.array(descend(node, state)),
-            lambda passed: F.transform(below, lambda child: rows(child, passed, level + 1)),
-        )
-        return F.concat(own, or_empty(F.flatten(F.flatten(handed)), own))
 
-    return F.flatten(F.transform(nodes, lambda node: rows(node, start, 1)))
+def text(value: Any) -> str | None:
+    """A JSON value as text: strings as they are, others as written."""
+    return value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False, separators=(",", ":"))

@@ -78,7 +78,7 @@ def write_archive(archive: DataFrame, path: str, partition: str | None = None) -
 
     Range partitioning spreads a hot dataflow over tasks, because codes are in the key.
     """
-    keys = [*([partition] if partition else []), *ARCHIVE_ORDER]
+    keys = list(dict.fromkeys([*([partition] if partition else []), *ARCHIVE_ORDER]))
     writer = archive.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
     if partition:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)

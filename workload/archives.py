@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from statcube.functions.text import clean_prose, link_id, territorial_level
 from statcube.operators import archive
+from statcube.session import cut_lineage
+from statcube.sources import tabular
 from statcube.streaming import jobs
 from workload.registry import Data, query
+from workload.views import flow_of
 
 TODAY = "2001-08-01"
 WAIT = "least(pow(2, greatest(error_count - 1, 0)), 64)"
@@ -22,21 +25,21 @@ LEVEL = """
 
 
 @query("blacklist_upsert", """
-    SELECT df_id, TIMESTAMP '2002-01-01' AS marked_at, p_name AS description
-    FROM (SELECT 'DF_' || p_partkey AS df_id, p_name FROM {part} WHERE p_type = 'LARGE')
-    UNION ALL SELECT df_id, marked_at, description FROM {blacklist}
-    WHERE df_id NOT IN (SELECT 'DF_' || p_partkey FROM {part} WHERE p_type = 'LARGE')
+    WITH fresh AS (SELECT @flow(p_partkey), p_name FROM {part} WHERE p_type = 'LARGE')
+    SELECT provider, df_id, TIMESTAMP '2002-01-01' AS marked_at, p_name AS description FROM fresh
+    UNION ALL SELECT provider, df_id, marked_at, description FROM {blacklist} ANTI JOIN fresh USING (provider, df_id)
 """)
 def _(d: Data) -> DataFrame:
     rows = d.part.where("p_type = 'LARGE'").select(
-        F.concat(F.lit("DF_"), F.col("p_partkey").cast("string")).alias("df_id"), F.col("p_name").alias("description")
+        *flow_of("p_partkey"), F.col("p_name").alias("description")
     )
     return archive.blacklist_upsert(d.blacklist, rows, "2002-01-01")
 
 
 @query("blacklist_remove", """
-    SELECT df_id, df_id IN (SELECT df_id FROM {blacklist}) AS existed, (SELECT count(*) FROM {blacklist}
-           WHERE df_id NOT IN (SELECT df_id FROM {flows} WHERE provider = 'PROMO')) AS n_left
+    SELECT provider, df_id, (provider, df_id) IN (SELECT (provider, df_id) FROM {blacklist}) AS existed,
+           (SELECT count(*) FROM {blacklist} WHERE (provider, df_id) NOT IN (
+                SELECT (provider, df_id) FROM {flows} WHERE provider = 'PROMO')) AS n_left
     FROM {flows} WHERE provider = 'PROMO'
 """)
 def _(d: Data) -> DataFrame:
@@ -44,7 +47,7 @@ def _(d: Data) -> DataFrame:
     return existed.withColumn("n_left", left.agg(F.count(F.lit(1))).scalar())
 
 
-@query("blacklist_list", "SELECT df_id, marked_at, description FROM {blacklist}")
+@query("blacklist_list", "SELECT provider, df_id, marked_at, description FROM {blacklist}")
 def _(d: Data) -> DataFrame:
     return archive.blacklist_list(d.blacklist)
 
@@ -53,30 +56,31 @@ def _(d: Data) -> DataFrame:
 
 
 @query("retry_due", f"""
-    SELECT df_id, error_count, checked_at FROM {{status}}
+    SELECT provider, df_id, error_count, checked_at FROM {{status}}
     WHERE status = 'error' AND DATE '{TODAY}' - checked_at >= {WAIT}
 """)
 def _(d: Data) -> DataFrame:
-    return archive.retry_due(d.status, TODAY).select("df_id", "error_count", "checked_at")
+    return archive.retry_due(d.status, TODAY).select("provider", "df_id", "error_count", "checked_at")
 
 
 @query("pick_candidates", f"""
-    SELECT df_id, df_description, turn FROM (
-        SELECT f.df_id, f.df_description, checked_at, CASE WHEN status IS NULL THEN 0
+    SELECT provider, df_id, df_description, turn FROM (
+        SELECT f.provider, f.df_id, f.df_description, checked_at, CASE WHEN status IS NULL THEN 0
                WHEN status = 'error' AND DATE '{TODAY}' - checked_at >= {WAIT} THEN 1
                WHEN status <> 'error' AND DATE '{TODAY}' - checked_at > 700 THEN 2 END AS turn
-        FROM {{flows}} f LEFT JOIN (SELECT df_id, status, error_count, checked_at FROM {{status}}) s ON f.df_id = s.df_id)
-    WHERE turn IS NOT NULL ORDER BY turn, checked_at NULLS FIRST, df_id LIMIT 1500
+        FROM {{flows}} f LEFT JOIN (SELECT provider, df_id, status, error_count, checked_at FROM {{status}}) s
+          ON f.df_id = s.df_id AND f.provider = s.provider)
+    WHERE turn IS NOT NULL ORDER BY turn, checked_at NULLS FIRST, df_id, provider LIMIT 1500
 """)
 def _(d: Data) -> DataFrame:
     picked = archive.pick_candidates(d.flows, d.status, TODAY, 700, 1500)
-    return picked.select("df_id", "df_description", "turn")
+    return picked.select("provider", "df_id", "df_description", "turn")
 
 
 @query("probe_outcome", """
-    WITH found AS (SELECT df_id, count(DISTINCT dimension_id) AS n_dims, count(*) AS n_codes FROM {avail}
-                   WHERE code_id <> 'R' GROUP BY 1)
-    SELECT f.df_id, coalesce(f.df_description, '') AS df_description,
+    WITH found AS (SELECT provider, df_id, count(DISTINCT dimension_id) AS n_dims, count(*) AS n_codes FROM {avail}
+                   WHERE code_id <> 'R' GROUP BY ALL)
+    SELECT provider, df_id, coalesce(f.df_description, '') AS df_description,
            CASE WHEN provider = 'LARGE' THEN 'error' WHEN provider = 'SMALL' THEN 'empty' ELSE 'ok' END AS status,
            CASE WHEN provider = 'LARGE' THEN '' ELSE 'hub' END AS source,
            CASE WHEN provider NOT IN ('LARGE', 'SMALL') THEN n_dims ELSE 0 END AS n_dims,
@@ -84,27 +88,44 @@ def _(d: Data) -> DataFrame:
            CASE WHEN provider = 'LARGE' THEN coalesce(error_count, 0) + 1 ELSE 0 END AS error_count,
            CASE WHEN provider = 'LARGE' THEN repeat('no answer ', 30) ELSE '' END AS last_error,
            DATE '2001-08-01' AS checked_at
-    FROM {flows} f JOIN found USING (df_id) LEFT JOIN (SELECT df_id, error_count FROM {status}) s USING (df_id)
+    FROM {flows} f JOIN found USING (provider, df_id) LEFT JOIN (SELECT provider, df_id, error_count FROM {status}) s
+      USING (provider, df_id)
 """)
 def _(d: Data) -> DataFrame:
     found = d.avail.where("code_id <> 'R'")
-    probed = d.flows.join(found.select("df_id"), "df_id", "left_semi")
+    probed = d.flows.join(found.select("provider", "df_id"), ["provider", "df_id"], "left_semi")
     failure = F.when(F.col("provider") == "LARGE", F.repeat(F.lit("no answer "), 30))
-    probes = probed.select("df_id", "df_description", F.lit("hub").alias("source"), failure.alias("error"))
-    answered = found.join(d.flows.where("provider <> 'SMALL'").select("df_id"), "df_id", "left_semi")
+    probes = probed.select("provider", "df_id", "df_description", F.lit("hub").alias("source"), failure.alias("error"))
+    answered = found.where("provider <> 'SMALL'").join(d.flows.select("provider", "df_id"), ["provider", "df_id"], "left_semi")
     return archive.probe_outcome(probes, answered, d.status, TODAY)
 
 
 @query("merge_archive", """
-    WITH fresh AS (SELECT df_id, dimension_id, code_id, DATE '2001-08-01' AS checked_at FROM {avail}
+    WITH fresh AS (SELECT provider, df_id, dimension_id, code_id, DATE '2001-08-01' AS checked_at FROM {avail}
                    WHERE dimension_id = 'FLAG')
-    SELECT * FROM {archive} WHERE df_id NOT IN (SELECT df_id FROM fresh) UNION ALL SELECT * FROM fresh
+    SELECT * FROM {archive} ANTI JOIN fresh USING (provider, df_id) UNION ALL SELECT * FROM fresh
 """)
 def _(d: Data) -> DataFrame:
     fresh = d.avail.where("dimension_id = 'FLAG'").withColumn("checked_at", F.lit(TODAY).cast("date"))
     return archive.merge_archive(d.archive, fresh, fresh)
 
 
+@query("touched_archive", """
+    WITH fresh AS (SELECT provider, df_id, dimension_id, code_id, DATE '2001-08-01' AS checked_at FROM {avail}
+                   WHERE dimension_id = 'FLAG' AND provider IN ('PROMO', 'SMALL'))
+    SELECT * FROM {archive} ANTI JOIN fresh USING (provider, df_id) UNION ALL SELECT * FROM fresh
+""")
+def _(d: Data) -> DataFrame:
+    # Two providers are probed: only their partitions of the stored archive are written again.
+    path = d.scratch("archive") + ".parquet"
+    tabular.write_archive(d.archive, path, "provider")
+    mine = d.avail.where("dimension_id = 'FLAG' AND provider IN ('PROMO', 'SMALL')")
+    fresh = mine.withColumn("checked_at", F.lit(TODAY).cast("date"))
+    merged = archive.touched_archive(d.spark.read.schema(d.archive.schema).parquet(path), fresh, fresh)
+    tabular.write_archive(cut_lineage(merged), path, "provider")
+    return d.spark.read.schema(d.archive.schema).parquet(path)
+
+
 @query("upsert", """
     SELECT o_custkey AS k, o_orderdate AS cached_at, o_orderkey AS v FROM (
         SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC,
@@ -135,29 +156,29 @@ def _(d: Data) -> DataFrame:
     return archive.territorial_dims(d.flows)
 
 
-@query("territorial_level", f"SELECT df_id, dimension_id, code_id, {LEVEL} AS level FROM {{archive}}")
+@query("territorial_level", f"SELECT provider, df_id, dimension_id, code_id, {LEVEL} AS level FROM {{archive}}")
 def _(d: Data) -> DataFrame:
-    return d.archive.select("df_id", "dimension_id", "code_id", territorial_level(F.col("code_id")).alias("level"))
+    return d.archive.select("provider", "df_id", "dimension_id", "code_id", territorial_level(F.col("code_id")).alias("level"))
 
 
 @query("territorial_view", f"""
     WITH steps(level, step) AS (VALUES ('nazionale', 1), ('ripartizione', 2), ('regione', 3), ('provincia', 4),
                                        ('comune', 5)),
-    t AS (SELECT df_id, dimension_id, {LEVEL} AS level FROM {{archive}} WHERE starts_with(dimension_id, 'ITTER')
+    t AS (SELECT provider, df_id, dimension_id, {LEVEL} AS level FROM {{archive}} WHERE starts_with(dimension_id, 'ITTER')
           OR dimension_id = 'REF_AREA' OR dimension_id IN (SELECT df_geo_dim FROM {{flows}} WHERE df_geo_dim <> '')),
-    n AS (SELECT df_id, dimension_id, count(*) AS n_territories FROM t GROUP BY ALL),
-    l AS (SELECT df_id, dimension_id, string_agg(level, '|' ORDER BY step) AS levels, arg_max(level, step) AS max_level
-          FROM (SELECT DISTINCT df_id, dimension_id, level FROM t) JOIN steps USING (level) GROUP BY ALL)
-    SELECT df_id, coalesce(s.df_description, '') AS df_description, dimension_id, max_level, levels, n_territories,
+    n AS (SELECT provider, df_id, dimension_id, count(*) AS n_territories FROM t GROUP BY ALL),
+    l AS (SELECT provider, df_id, dimension_id, string_agg(level, '|' ORDER BY step) AS levels, arg_max(level, step) AS max_level
+          FROM (SELECT DISTINCT provider, df_id, dimension_id, level FROM t) JOIN steps USING (level) GROUP BY ALL)
+    SELECT provider, df_id, coalesce(s.df_description, '') AS df_description, dimension_id, max_level, levels, n_territories,
            coalesce(s.checked_at::VARCHAR, '') AS checked_at
-    FROM l JOIN n USING (df_id, dimension_id)
-    LEFT JOIN (SELECT df_id, df_description, checked_at FROM {{status}}) s USING (df_id)
+    FROM l JOIN n USING (provider, df_id, dimension_id)
+    LEFT JOIN (SELECT provider, df_id, df_description, checked_at FROM {{status}}) s USING (provider, df_id)
 """)
 def _(d: Data) -> DataFrame:
     return archive.territorial_view(d.archive, d.status, archive.territorial_dims(d.flows))
 
 
-@query("dataflows_at_level", f"SELECT DISTINCT df_id FROM {{archive}} WHERE {LEVEL} = 'comune'")
+@query("dataflows_at_level", f"SELECT DISTINCT provider, df_id FROM {{archive}} WHERE {LEVEL} = 'comune'")
 def _(d: Data) -> DataFrame:
     return archive.dataflows_at_level(d.archive, "comune")
 
@@ -178,9 +199,8 @@ def _(d: Data) -> DataFrame:
 
 
 @query("metadata_links", """
-    SELECT df_id, 'R' || (page_id - page_id % 3) AS report_id, 'MS ' || (length(html) % 2) AS metadata_set_id,
-           'https://api' AS base_url
-    FROM {page_links} JOIN {pages} ON df_id = 'DF_' || page_id WHERE page_links.url LIKE '%reportId%'
+    SELECT @flow(page_id), 'R' || (page_id - page_id % 3) AS report_id, 'MS ' || (length(html) % 2) AS metadata_set_id,
+           'https://api' AS base_url FROM {pages} WHERE url LIKE 'https%'
 """)
 def _(d: Data) -> DataFrame:
     return archive.metadata_links(d.page_links)
@@ -195,7 +215,7 @@ def _(d: Data) -> DataFrame:
 
 
 @query("describe_dataflows", """
-    SELECT df_id, description, report_id, metadata_set_id, siqual_id, DATE '2001-08-01' AS harvested_at
+    SELECT provider, df_id, description, report_id, metadata_set_id, siqual_id, DATE '2001-08-01' AS harvested_at
     FROM {report_links} JOIN {reports} USING (report_id) WHERE trim(description) <> ''
 """)
 def _(d: Data) -> DataFrame:

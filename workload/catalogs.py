@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from statcube.functions.text import compose_title
 from statcube.operators import analyze, catalog, codes, labels, tree
 from workload.cubes import DIMS
 from workload.registry import Data, query
+from workload.views import flow_id_of, flow_of, provider_of
+
+# The dataflow that queries on one dataflow take: number 3, whose id number 2 has with another provider.
+FLOW = ("MEDIUM", "DF_2")
 
 # --- labels ------------------------------------------------------------------
 
@@ -40,40 +44,40 @@ def _(d: Data) -> DataFrame:
 
 @query("constraint_labels", """
     SELECT code_id AS id, coalesce(name, '') AS name
-    FROM (SELECT DISTINCT code_id FROM {avail} WHERE dimension_id = 'FLAG') a
+    FROM (SELECT DISTINCT code_id FROM {avail} WHERE dimension_id = 'FLAG' AND provider = 'MEDIUM' AND df_id = 'DF_2') a
     LEFT JOIN (SELECT id, name FROM {codes} WHERE codelist_id = 'CL_FLAG') c ON a.code_id = c.id
 """)
 def _(d: Data) -> DataFrame:
-    return labels.constraint_labels(d.avail, labels.codelist_names(d.codelists, "CL_FLAG"), "flag")
+    return labels.constraint_labels(d.avail, labels.codelist_names(d.codelists, "CL_FLAG"), "flag", *FLOW)
 
 
 @query("values_in_dataflow", """
     SELECT cast(c_custkey AS VARCHAR) AS id, c_name AS name,
-           cast(c_custkey AS VARCHAR) IN (SELECT code_id FROM {avail} WHERE dimension_id = 'SUPP') AS in_dataflow,
+           cast(c_custkey AS VARCHAR) IN (SELECT code_id FROM {avail} WHERE dimension_id = 'SUPP' AND provider = 'MEDIUM' AND df_id = 'DF_2') AS in_dataflow,
            cast(NULL AS BOOLEAN) AS in_other
     FROM {customer}
 """)
 def _(d: Data) -> DataFrame:
     names = d.customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
-    known = labels.values_in_dataflow(names, d.avail, "supp")
-    unknown = labels.values_in_dataflow(names, d.avail, "PORT")
+    known = labels.values_in_dataflow(names, d.avail, "supp", *FLOW)
+    unknown = labels.values_in_dataflow(names, d.avail, "PORT", *FLOW)
     return known.join(unknown.select("id", F.col("in_dataflow").alias("in_other")), "id")
 
 
 @query("membership_counts", """
     SELECT count(*) AS n_total, count(*) FILTER (cast(c_custkey AS VARCHAR) IN (
-           SELECT code_id FROM {avail} WHERE dimension_id = 'SUPP')) AS n_present
+           SELECT code_id FROM {avail} WHERE dimension_id = 'SUPP' AND provider = 'MEDIUM' AND df_id = 'DF_2')) AS n_present
     FROM {customer}
 """)
 def _(d: Data) -> DataFrame:
     names = d.customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
-    return labels.membership_counts(labels.values_in_dataflow(names, d.avail, "SUPP"))
+    return labels.membership_counts(labels.values_in_dataflow(names, d.avail, "SUPP", *FLOW))
 
 
 @query("metadata_companion", """
-    WITH many AS (SELECT df_id, dimension_id FROM {avail} GROUP BY ALL HAVING count(DISTINCT code_id) > 1)
-    SELECT df_id, dimension_id AS dimension, code_id AS code, name AS label
-    FROM {avail} JOIN many USING (df_id, dimension_id) JOIN {dims_of_flows} USING (dimension_id)
+    WITH many AS (SELECT provider, df_id, dimension_id FROM {avail} GROUP BY ALL HAVING count(DISTINCT code_id) > 1)
+    SELECT provider, df_id, dimension_id AS dimension, code_id AS code, name AS label
+    FROM {avail} JOIN many USING (provider, df_id, dimension_id) JOIN {dims_of_flows} USING (dimension_id)
     LEFT JOIN (SELECT codelist_id, id, name FROM {codes} WHERE lang = 'en') c
       ON c.codelist_id = dims_of_flows.codelist_id AND c.id = code_id
 """)
@@ -90,8 +94,8 @@ def _(d: Data) -> DataFrame:
 
 
 @query("dimensions_info", """
-    SELECT df_id, dimension_id, position, codelist_id, description
-    FROM (SELECT df_id, coalesce(df_structure_id, df_id) AS structure_id FROM {flows}) JOIN {dims} USING (structure_id)
+    SELECT provider, df_id, dimension_id, position, codelist_id, description
+    FROM (SELECT provider, df_id, coalesce(df_structure_id, df_id) AS structure_id FROM {flows}) JOIN {dims} USING (structure_id)
     LEFT JOIN (SELECT 'CL_' || p_type AS codelist_id, min(p_name) AS description FROM {part} WHERE p_type <> 'LARGE'
                GROUP BY 1) i USING (codelist_id)
 """)
@@ -118,43 +122,46 @@ def _(d: Data) -> DataFrame:
 
 
 @query("with_category_context", """
-    SELECT df_id, df_description, coalesce(cat_context, '') AS cat_context, cat_primary
-    FROM {flows} LEFT JOIN (SELECT * FROM {context} WHERE cat_primary <> 'R') c USING (df_id)
+    SELECT provider, df_id, df_description, coalesce(cat_context, '') AS cat_context, cat_primary
+    FROM {flows} LEFT JOIN (SELECT * FROM {context} WHERE cat_primary <> 'R') c USING (provider, df_id)
 """)
 def _(d: Data) -> DataFrame:
     joined = catalog.with_category_context(d.flows, d.context.where("cat_primary <> 'R'"))
-    return joined.select("df_id", "df_description", "cat_context", "cat_primary")
+    return joined.select("provider", "df_id", "df_description", "cat_context", "cat_primary")
 
 
 @query("filter_by_category", """
-    SELECT df_id, df_description, scheme_id, cat_path FROM {flows} JOIN {links} USING (df_id)
+    SELECT provider, df_id, df_description, scheme_id, cat_path FROM {flows} JOIN {links} USING (provider, df_id)
     WHERE cat_path = 'S7' OR cat_path LIKE '%.S7'
 """)
 def _(d: Data) -> DataFrame:
     hits = catalog.filter_by_category(d.flows, d.links, "S7")
-    return hits.select("df_id", "df_description", "scheme_id", "cat_path")
+    return hits.select("provider", "df_id", "df_description", "scheme_id", "cat_path")
 
 
 @query("restrict_to_category", """
-    SELECT df_id, df_description FROM {flows} WHERE df_id IN (SELECT df_id FROM {links} WHERE cat_path LIKE '%.S7')
+    SELECT provider, df_id, df_description FROM {flows}
+    WHERE (provider, df_id) IN (SELECT (provider, df_id) FROM {links} WHERE cat_path LIKE '%.S7')
 """)
 def _(d: Data) -> DataFrame:
-    return catalog.restrict_to_category(d.flows, d.links, "S7").select("df_id", "df_description")
+    return catalog.restrict_to_category(d.flows, d.links, "S7").select("provider", "df_id", "df_description")
 
 
 @query("siblings", """
     SELECT l.scheme_id, coalesce(c.scheme_name, '') AS scheme_name, l.cat_path, coalesce(c.cat_name, '') AS cat_name,
-           l.df_id, coalesce(f.df_description, '') AS df_description, l.df_id = 'DF_5' AS is_target
-    FROM {links} l JOIN (SELECT scheme_id, cat_path FROM {links} WHERE df_id = 'DF_5') t USING (scheme_id, cat_path)
-    LEFT JOIN {categories} c USING (scheme_id, cat_path) LEFT JOIN {flows} f ON f.df_id = l.df_id
+           l.provider, l.df_id, coalesce(f.df_description, '') AS df_description, l.df_id = 'DF_4' AS is_target
+    FROM {links} l JOIN (SELECT scheme_id, cat_path FROM {links} WHERE df_id = 'DF_4' AND provider = 'ECONOMY') t
+      USING (scheme_id, cat_path)
+    LEFT JOIN {categories} c USING (scheme_id, cat_path)
+    LEFT JOIN {flows} f ON f.df_id = l.df_id AND f.provider = l.provider WHERE l.provider = 'ECONOMY'
 """)
 def _(d: Data) -> DataFrame:
-    return catalog.siblings("df_5", d.links, d.categories, d.flows)
+    return catalog.siblings("ECONOMY", "df_4", d.links, d.categories, d.flows)
 
 
 @query("category_dataflows", """
-    SELECT scheme_id, cat_path, df_id, coalesce(df_description, '') AS df_description
-    FROM {links} LEFT JOIN (SELECT df_id, df_description FROM {flows}) f USING (df_id)
+    SELECT scheme_id, cat_path, provider, df_id, coalesce(df_description, '') AS df_description
+    FROM {links} LEFT JOIN (SELECT provider, df_id, df_description FROM {flows}) f USING (provider, df_id)
     WHERE scheme_id = 'ASIA'
 """)
 def _(d: Data) -> DataFrame:
@@ -164,33 +171,33 @@ def _(d: Data) -> DataFrame:
 @query("invalid_codes", """
     WITH asked(dimension_id, code_id) AS (VALUES ('flag', 'A'), ('flag', 'X'), ('STATUS', 'F'), ('STATUS', 'Z'),
          ('SUPP', '3'), ('SUPP', '-1'), ('PORT', 'ANY'))
-    SELECT * FROM asked WHERE upper(dimension_id) IN (SELECT dimension_id FROM {avail})
-       AND NOT EXISTS (SELECT 1 FROM {avail} a WHERE a.dimension_id = upper(asked.dimension_id)
+    , own AS (SELECT * FROM {avail} WHERE provider = 'MEDIUM' AND df_id = 'DF_2')
+    SELECT * FROM asked WHERE upper(dimension_id) IN (SELECT dimension_id FROM own)
+       AND NOT EXISTS (SELECT 1 FROM own a WHERE a.dimension_id = upper(asked.dimension_id)
                        AND a.code_id = asked.code_id)
 """)
 def _(d: Data) -> DataFrame:
     asked = {"flag": "A+X", "STATUS": ["F", "Z"], "SUPP": "3+-1", "PORT": "ANY"}
-    return catalog.invalid_codes(d.spark, asked, d.avail)
+    return catalog.invalid_codes(d.spark, asked, d.avail, *FLOW)
 
 
 _LONG_IDS = """
-    SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'DF_' || o_custkey
-                ELSE 'DF_' || o_orderkey || '_DF_' || o_custkey END AS long_id FROM {orders}
+    SELECT @provider(o_orderkey) AS provider, CASE WHEN o_orderpriority = '1-URGENT' THEN @id(o_custkey)
+                ELSE @id(o_orderkey) || '_DF_' || o_custkey END AS long_id FROM {orders}
 """
 
 
 def _long_ids(d: Data) -> DataFrame:
-    order, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
-    return d.orders.select(
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("DF_"), customer))
-        .otherwise(F.concat(F.lit("DF_"), order, F.lit("_DF_"), customer)).alias("long_id")
-    )
+    order, customer = F.col("o_orderkey"), F.col("o_custkey")
+    long_id = F.when(F.col("o_orderpriority") == "1-URGENT", flow_id_of(customer)).otherwise(
+        F.concat(flow_id_of(order), F.lit("_DF_"), customer.cast("string")))
+    return d.orders.select(provider_of(order), long_id.alias("long_id"))
 
 
 @query("match_catalog_ids", f"""
-    SELECT long_id, CASE WHEN long_id IN (SELECT df_id FROM {{flows}}) THEN long_id
-                         WHEN p IN (SELECT df_id FROM {{flows}}) THEN p END AS catalog_id
-    FROM (SELECT long_id, CASE WHEN contains(long_id, '_DF_') THEN split_part(long_id, '_DF_', 1) END AS p
+    SELECT provider, long_id, CASE WHEN (provider, long_id) IN (SELECT (provider, df_id) FROM {{flows}}) THEN long_id
+                         WHEN (provider, p) IN (SELECT (provider, df_id) FROM {{flows}}) THEN p END AS catalog_id
+    FROM (SELECT provider, long_id, CASE WHEN contains(long_id, '_DF_') THEN split_part(long_id, '_DF_', 1) END AS p
           FROM ({_LONG_IDS}))
 """)
 def _(d: Data) -> DataFrame:
@@ -198,41 +205,44 @@ def _(d: Data) -> DataFrame:
 
 
 @query("has_constraint_flag", f"""
-    SELECT df_id, df_id IN (SELECT long_id FROM ({_LONG_IDS})) OR df_id IN (
-               SELECT split_part(long_id, '_DF_', 1) FROM ({_LONG_IDS}) WHERE contains(long_id, '_DF_'))
+    SELECT provider, df_id, (provider, df_id) IN (SELECT (provider, long_id) FROM ({_LONG_IDS})) OR (provider, df_id) IN (
+               SELECT (provider, split_part(long_id, '_DF_', 1)) FROM ({_LONG_IDS}) WHERE contains(long_id, '_DF_'))
            AS has_constraint FROM {{flows}}
 """)
 def _(d: Data) -> DataFrame:
     matched = catalog.match_catalog_ids(_long_ids(d), d.flows)
-    return catalog.has_constraint_flag(d.flows, matched, True).select("df_id", "has_constraint")
+    return catalog.has_constraint_flag(d.flows, matched, True).select("provider", "df_id", "has_constraint")
 
 
 @query("resolve_dataflows", """
-    WITH asked AS (SELECT DISTINCT lower('DF_' || o_custkey) AS identifier FROM {orders}
-                   UNION SELECT DISTINCT upper(p_brand) FROM {part} UNION SELECT DISTINCT p_name FROM {part})
-    SELECT identifier, coalesce(
-        (SELECT min(df_id) FROM {flows} WHERE upper(df_id) = upper(identifier)),
-        (SELECT min(df_id) FROM {flows} WHERE upper(df_structure_id) = upper(identifier)),
-        (SELECT min(df_id) FROM {flows} WHERE df_description = identifier)) AS df_id
-    FROM asked
-""")
-def _(d: Data) -> DataFrame:
-    by_id = d.orders.select(F.lower(F.concat(F.lit("DF_"), F.col("o_custkey").cast("string"))).alias("identifier"))
-    by_structure = d.part.select(F.upper("p_brand").alias("identifier"))
-    by_title = d.part.select(F.col("p_name").alias("identifier"))
+    WITH asked AS (SELECT DISTINCT @provider(o_custkey) AS provider, lower(@id(o_orderkey)) AS identifier FROM {orders}
+                   UNION SELECT DISTINCT @provider(p_partkey), upper(p_brand) FROM {part}
+                   UNION SELECT DISTINCT @provider(p_size), p_name FROM {part}),
+    by_id AS (SELECT provider, upper(df_id) AS k, min(df_id) AS a FROM {flows} GROUP BY ALL),
+    by_structure AS (SELECT provider, upper(df_structure_id) AS k, min(df_id) AS b FROM {flows} GROUP BY ALL),
+    by_title AS (SELECT provider, df_description AS k, min(df_id) AS c FROM {flows} GROUP BY ALL)
+    SELECT asked.provider, identifier, coalesce(a, b, c) AS df_id FROM asked
+    LEFT JOIN by_id i ON i.provider = asked.provider AND i.k = upper(identifier)
+    LEFT JOIN by_structure s ON s.provider = asked.provider AND s.k = upper(identifier)
+    LEFT JOIN by_title t ON t.provider = asked.provider AND t.k = identifier
+""")
+def _(d: Data) -> DataFrame:
+    by_id = d.orders.select(provider_of(F.col("o_custkey")), F.lower(flow_id_of(F.col("o_orderkey"))).alias("identifier"))
+    by_structure = d.part.select(provider_of(F.col("p_partkey")), F.upper("p_brand").alias("identifier"))
+    by_title = d.part.select(provider_of(F.col("p_size")), F.col("p_name").alias("identifier"))
     return catalog.resolve_dataflows(by_id.unionByName(by_structure).unionByName(by_title), d.flows)
 
 
 @query("stale_links", """
-    SELECT df_id, scheme_id, cat_path FROM {links}
-    WHERE df_id NOT IN (SELECT df_id FROM {flows} WHERE df_geo_dim IS NULL)
+    SELECT provider, df_id, scheme_id, cat_path FROM {links}
+    WHERE (provider, df_id) NOT IN (SELECT (provider, df_id) FROM {flows} WHERE df_geo_dim IS NULL)
 """)
 def _(d: Data) -> DataFrame:
     return catalog.stale_links(d.links, d.flows.where("df_geo_dim IS NULL"))
 
 
 @query("stale_link_counts", """
-    SELECT count(*) FILTER (df_id NOT IN (SELECT df_id FROM {flows} WHERE df_geo_dim IS NULL)) AS n_stale,
+    SELECT count(*) FILTER ((provider, df_id) NOT IN (SELECT (provider, df_id) FROM {flows} WHERE df_geo_dim IS NULL)) AS n_stale,
            count(*) AS n_links FROM {links}
 """)
 def _(d: Data) -> DataFrame:
@@ -242,7 +252,7 @@ def _(d: Data) -> DataFrame:
 @query("provider_overview", """
     WITH p AS (SELECT p_type AS provider, p_type <> 'SMALL' AS categories_supported, max(p_size) AS n FROM {part}
                GROUP BY 1),
-         c AS (SELECT provider, 100.0::DOUBLE * count(*) FILTER (df_id IN (SELECT df_id FROM {links}
+         c AS (SELECT provider, 100.0::DOUBLE * count(*) FILTER ((provider, df_id) IN (SELECT (provider, df_id) FROM {links}
                       WHERE scheme_id = 'ASIA')) / count(*) AS coverage FROM {flows} GROUP BY 1)
     SELECT provider, categories_supported, n, CASE WHEN categories_supported THEN round(coverage, 4) END AS coverage
     FROM p LEFT JOIN c USING (provider)
@@ -252,8 +262,7 @@ def _(d: Data) -> DataFrame:
     providers = d.part.groupBy(F.col("p_type").alias("provider")).agg(F.max("p_size").alias("n")).withColumn(
         "categories_supported", supported
     )
-    linked = d.links.where("scheme_id = 'ASIA'").join(d.flows.select("df_id", "provider"), "df_id")
-    coverage = catalog.catalog_coverage(d.flows, linked, ["provider"])
+    coverage = catalog.catalog_coverage(d.flows, d.links.where("scheme_id = 'ASIA'"), ["provider"])
     return catalog.provider_overview(providers, coverage).withColumn("coverage", F.round("coverage", 4))
 
 
@@ -272,27 +281,31 @@ def _(d: Data) -> DataFrame:
 @query("available_codes_by_flow", "SELECT * FROM {avail}")
 def _(d: Data) -> DataFrame:
     lines = d.lineitem.select(
-        F.concat(F.lit("DF_"), F.col("l_partkey").cast("string")).alias("df_id"), F.col("l_returnflag").alias("FLAG"),
+        *flow_of("l_partkey"), F.col("l_returnflag").alias("FLAG"),
         F.col("l_linestatus").alias("STATUS"), F.col("l_suppkey").alias("SUPP"),
     )
-    return codes.available_codes(lines, ["FLAG", "STATUS", "SUPP"], ["df_id"])
+    return codes.available_codes(lines, ["FLAG", "STATUS", "SUPP"], ["provider", "df_id"])
 
 
 @query("constraint_summary", """
-    WITH n AS (SELECT df_id, dimension_id, count(DISTINCT code_id) AS n_values,
+    WITH n AS (SELECT provider, df_id, dimension_id, count(DISTINCT code_id) AS n_values,
                       array_to_string(list_sort(list(DISTINCT code_id))[1:3], ', ') AS sample
                FROM {avail} GROUP BY ALL)
-    SELECT df_id, dimension_id, n_values, coalesce(sample, '') AS sample,
+    SELECT provider, df_id, dimension_id, n_values, coalesce(sample, '') AS sample,
            CASE WHEN n_values IS NULL THEN 'missing' ELSE 'constraint' END AS source
-    FROM (SELECT DISTINCT df_id FROM {avail}) CROSS JOIN {dims_of_flows} LEFT JOIN n USING (df_id, dimension_id)
+    FROM (SELECT DISTINCT provider, df_id FROM {avail}) CROSS JOIN {dims_of_flows} LEFT JOIN n USING (provider, df_id, dimension_id)
 """)
 def _(d: Data) -> DataFrame:
     names = F.array(*[F.lit(x) for x in ("FLAG", "STATUS", "SUPP", "GEO")])
-    wanted = d.avail.select("df_id").distinct().select("df_id", F.explode(names).alias("dimension_id"))
-    return codes.constraint_summary(wanted, d.avail, ["df_id"])
+    wanted = d.avail.select("provider", "df_id").distinct().select("provider", "df_id", F.explode(names).alias("dimension_id"))
+    return codes.constraint_summary(wanted, d.avail, ["provider", "df_id"])
 
 
-@query("merge_constraint_sets", "SELECT DISTINCT df_id, dimension_id, code_id FROM {avail}")
+@query("merge_constraint_sets", """
+    SELECT DISTINCT 'DF_' || l_partkey AS df_id, dimension_id, code_id FROM (
+        SELECT l_partkey, unnest(['FLAG', 'STATUS', 'SUPP']) AS dimension_id,
+               unnest([l_returnflag, l_linestatus, l_suppkey::VARCHAR]) AS code_id FROM {lineitem})
+""")
 def _(d: Data) -> DataFrame:
     from statcube.sources.messages_xml import merge_constraint_sets
 
@@ -308,23 +321,24 @@ def _(d: Data) -> DataFrame:
 
 
 @query("category_context", """
-    SELECT df_id, string_agg(trim(coalesce(scheme_name, '') || ' ' || coalesce(cat_name, '')), ' '
+    SELECT provider, df_id, string_agg(trim(coalesce(scheme_name, '') || ' ' || coalesce(cat_name, '')), ' '
                              ORDER BY scheme_id, cat_path) AS cat_context,
            min(trim(coalesce(cat_name, ''))) AS cat_primary
-    FROM {links} LEFT JOIN (SELECT * FROM {categories} WHERE cat_id <> 'S3') c USING (scheme_id, cat_path) GROUP BY df_id
+    FROM {links} LEFT JOIN (SELECT * FROM {categories} WHERE cat_id <> 'S3') c USING (scheme_id, cat_path)
+    GROUP BY provider, df_id
 """)
 def _(d: Data) -> DataFrame:
     return catalog.category_context(d.links, d.categories.where("cat_id <> 'S3'"))
 
 
 @query("dataflow_counts", """
-    SELECT scheme_id, cat_path, count(DISTINCT df_id) AS n_df FROM {links} GROUP BY ALL
+    SELECT scheme_id, cat_path, count(DISTINCT (provider, df_id)) AS n_df FROM {links} GROUP BY ALL
 """)
 def _(d: Data) -> DataFrame:
     return catalog.dataflow_counts(d.links)
 
 
-@query("scheme_counts", "SELECT scheme_id, count(DISTINCT df_id) AS n_df FROM {links} GROUP BY ALL")
+@query("scheme_counts", "SELECT scheme_id, count(DISTINCT (provider, df_id)) AS n_df FROM {links} GROUP BY ALL")
 def _(d: Data) -> DataFrame:
     return catalog.scheme_counts(d.links)
 
@@ -333,20 +347,20 @@ def _(d: Data) -> DataFrame:
     SELECT provider, count(*) AS n_total, count(*) FILTER (hit) AS n_categorised,
            round(100.0::DOUBLE * count(*) FILTER (hit) / count(*), 4) AS coverage,
            cast(floor(100.0::DOUBLE * count(*) FILTER (hit) / count(*)) AS BIGINT) AS coverage_shown
-    FROM (SELECT provider, df_id IN (SELECT df_id FROM {links} WHERE scheme_id = 'ASIA') AS hit FROM {flows})
+    FROM (SELECT provider, (provider, df_id) IN (SELECT (provider, df_id) FROM {links} WHERE scheme_id = 'ASIA') AS hit FROM {flows})
     GROUP BY provider
 """)
 def _(d: Data) -> DataFrame:
-    linked = d.links.where("scheme_id = 'ASIA'").join(d.flows.select("df_id", "provider"), "df_id")
-    return catalog.catalog_coverage(d.flows, linked, ["provider"]).withColumn("coverage", F.round("coverage", 4))
+    return catalog.catalog_coverage(d.flows, d.links.where("scheme_id = 'ASIA'"), ["provider"]).withColumn("coverage", F.round("coverage", 4))
 
 
 @query("estimate_rows", """
-    SELECT df_id, product(n) * 83 AS max_rows, count(*) FILTER (n > 1) AS n_varied_dims
-    FROM (SELECT df_id, dimension_id, count(DISTINCT code_id) AS n FROM {avail} GROUP BY ALL) GROUP BY df_id
+    SELECT provider, df_id, product(n) * 83 AS max_rows, count(*) FILTER (n > 1) AS n_varied_dims,
+           coalesce(string_agg(dimension_id, '+' ORDER BY dimension_id) FILTER (n > 1), '') AS varied_dims
+    FROM (SELECT provider, df_id, dimension_id, count(DISTINCT code_id) AS n FROM {avail} GROUP BY ALL) GROUP BY provider, df_id
 """)
 def _(d: Data) -> DataFrame:
-    return analyze.estimate_rows(d.avail, 83)
+    return analyze.estimate_rows(d.avail, 83).withColumn("varied_dims", F.array_join("varied_dims", "+"))
 
 
 @query("compose_title", """
@@ -377,6 +391,26 @@ def _(d: Data) -> DataFrame:
     return tree.materialise_paths(d.adjacency)
 
 
+@query("materialise_paths_cycle", """
+    WITH RECURSIVE walk AS (
+        SELECT scheme_id, id, cat_name, id AS cat_path, '' AS parent_path, 1 AS depth FROM {adjacency} WHERE parent IS NULL
+        UNION ALL
+        SELECT a.scheme_id, a.id, a.cat_name, w.cat_path || '.' || a.id, w.cat_path, w.depth + 1
+        FROM {adjacency} a JOIN walk w ON a.scheme_id = w.scheme_id AND a.parent = w.id)
+    SELECT scheme_id, id AS cat_id, cat_name, cat_path, parent_path, depth FROM walk
+""")
+def _(d: Data) -> DataFrame:
+    # The customers of a segment form a ring; a leaf hangs below each of them.
+    ring = d.customer.select(
+        F.lit("ASIA").alias("scheme_id"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("id"),
+        F.lead("c_custkey").over(W.partitionBy("c_mktsegment").orderBy("c_custkey")).alias("_next"),
+        F.min("c_custkey").over(W.partitionBy("c_mktsegment")).alias("_first"), F.col("c_name").alias("cat_name"))
+    parent = F.concat(F.lit("C"), F.coalesce("_next", "_first").cast("string"))
+    rings = ring.select("scheme_id", "id", parent.alias("parent"), "cat_name")
+    lost = rings.select("scheme_id", F.concat(F.lit("L"), "id").alias("id"), F.col("id").alias("parent"), "cat_name")
+    return tree.materialise_paths(d.adjacency.unionByName(rings).unionByName(lost))
+
+
 @query("subtree", """
     SELECT scheme_id, cat_path, cat_name, depth FROM {categories}
     WHERE scheme_id = 'ASIA' AND (cat_path = 'NATION_2' OR starts_with(cat_path, 'NATION_2.'))
@@ -398,7 +432,7 @@ def _(d: Data) -> DataFrame:
 @query("tree_rows", """
     SELECT scheme_id, cat_id, cat_path, cat_name, coalesce(cat_description, '') AS cat_description, parent_path, depth,
            coalesce(n_df, 0) AS n_df
-    FROM {categories} LEFT JOIN (SELECT scheme_id, cat_path, count(DISTINCT df_id) AS n_df FROM {links} GROUP BY ALL) n
+    FROM {categories} LEFT JOIN (SELECT scheme_id, cat_path, count(DISTINCT (provider, df_id)) AS n_df FROM {links} GROUP BY ALL) n
       USING (scheme_id, cat_path)
 """)
 def _(d: Data) -> DataFrame:
@@ -407,7 +441,7 @@ def _(d: Data) -> DataFrame:
 
 @query("scheme_rows", """
     SELECT scheme_id, scheme_name, coalesce(n_df, 0) AS n_df FROM (SELECT DISTINCT scheme_id, scheme_name
-           FROM {categories}) LEFT JOIN (SELECT scheme_id, count(DISTINCT df_id) AS n_df FROM {links} GROUP BY ALL) n
+           FROM {categories}) LEFT JOIN (SELECT scheme_id, count(DISTINCT (provider, df_id)) AS n_df FROM {links} GROUP BY ALL) n
       USING (scheme_id)
 """)
 def _(d: Data) -> DataFrame:
@@ -468,7 +502,7 @@ def _(d: Data) -> DataFrame:
 
 
 @query("classify_category_or_dataflow", """
-    WITH asked AS (SELECT 'DF_' || p_partkey AS id FROM {part} UNION SELECT r_name FROM {region}
+    WITH asked AS (SELECT @id(p_partkey) AS id FROM {part} UNION SELECT r_name FROM {region}
                    UNION SELECT n_name FROM {nation} UNION SELECT 'S' || s_suppkey FROM {supplier}
                    UNION SELECT p_name FROM {part}),
          c AS (SELECT cat_id AS id, bool_or(scheme_id = 'ASIA') AS here, min(scheme_id) AS other FROM {categories}
@@ -487,7 +521,7 @@ def _(d: Data) -> DataFrame:
     def ids(df: DataFrame, column) -> DataFrame:
         return df.select(column.alias("id"))
 
-    asked = ids(d.part, F.concat(F.lit("DF_"), F.col("p_partkey").cast("string")))
+    asked = ids(d.part, flow_id_of(F.col("p_partkey")))
     for more in (
         ids(d.region, F.col("r_name")), ids(d.nation, F.col("n_name")), ids(d.part, F.col("p_name")),
         ids(d.supplier, F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))),

@@ -74,10 +74,10 @@ def _(d: Data) -> DataFrame:
 
 
 @query("exclude_blacklisted", """
-    SELECT df_id, df_description FROM {flows} WHERE df_id NOT IN (SELECT df_id FROM {blacklist})
+    SELECT provider, df_id, df_description FROM {flows} ANTI JOIN {blacklist} USING (provider, df_id)
 """)
 def _(d: Data) -> DataFrame:
-    return filters.exclude_blacklisted(d.flows, d.blacklist).select("df_id", "df_description")
+    return filters.exclude_blacklisted(d.flows, d.blacklist).select("provider", "df_id", "df_description")
 
 
 @query("conform_schema", """
@@ -128,12 +128,12 @@ def _(d: Data) -> DataFrame:
 
 
 @query("search_page_projection", """
-    SELECT df_id, coalesce(df_description, '') AS df_description, coalesce(cat_primary, '') AS category,
+    SELECT provider, df_id, coalesce(df_description, '') AS df_description, coalesce(cat_primary, '') AS category,
            round(len(df_id) / 7.0, 2) AS score
-    FROM {flows} LEFT JOIN {context} USING (df_id)
+    FROM {flows} LEFT JOIN {context} USING (provider, df_id)
 """)
 def _(d: Data) -> DataFrame:
-    hits = d.flows.join(d.context, "df_id", "left").withColumn("score", F.length("df_id") / 7.0)
+    hits = d.flows.join(d.context, ["provider", "df_id"], "left").withColumn("score", F.length("df_id") / 7.0)
     return filters.search_page_projection(hits)
 
 

@@ -53,11 +53,11 @@ def _(d: Data) -> DataFrame:
     return d.spark.read.schema(d.documents.schema).json(path)
 
 
-@query("write_archive", "SELECT df_id, dimension_id, code_id FROM {avail}")
+@query("write_archive", "SELECT provider, df_id, dimension_id, code_id FROM {avail}")
 def _(d: Data) -> DataFrame:
     path = d.scratch("archive") + ".parquet"
     tabular.write_archive(d.avail, path, "dimension_id")
-    return d.spark.read.parquet(path).select("df_id", F.col("dimension_id").cast("string"), "code_id")
+    return d.spark.read.parquet(path).select("provider", "df_id", F.col("dimension_id").cast("string"), "code_id")
 
 
 # --- XML ---------------------------------------------------------------------

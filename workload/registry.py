@@ -10,7 +10,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 from statcube.session import scratch_path, spread
-from workload.views import TABLES, VIEWS
+from workload.views import TABLES, VIEWS, with_flows
 
 # Tables whose rows are costly to work on: texts to tokenise or to parse.
 LONG_TEXTS = ("documents", "pages")
@@ -61,7 +61,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
         if name in _QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        _QUERIES[name] = (function, sql)
+        _QUERIES[name] = (function, sql and with_flows(sql))
         return function
 
     return add

@@ -1,16 +1,53 @@
 """How the given tables stand in for cubes, catalogs, codelists and archives.
 
 Each view is one SELECT in the SQL that Spark and DuckDB share; ``{name}`` stands for
-another view or a given table.
+another view or a given table, and ``@flow(key)`` for the provider and id of the dataflow with a number.
+Two neighbouring numbers are one id under two providers.
 """
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import Column, functions as F
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+PROVIDERS = ("PROMO", "LARGE", "SMALL", "MEDIUM", "STANDARD", "ECONOMY")
+
+
+def provider_of(key: Column) -> Column:
+    names = F.array(*[F.lit(p) for p in PROVIDERS])
+    return F.get(names, (key % len(PROVIDERS)).cast("int")).alias("provider")
+
+
+def flow_id_of(key: Column) -> Column:
+    return F.concat(F.lit("DF_"), (key - key % 2).cast("string")).alias("df_id")
+
+
+def flow_of(column: str) -> list[Column]:
+    """Provider and id of the dataflow with the number in a column, as ``@flow`` in SQL."""
+    return [provider_of(F.col(column)), flow_id_of(F.col(column))]
+
+
+def with_flows(sql: str) -> str:
+    """SQL with ``@provider(key)``, ``@id(key)`` and ``@flow(key)`` written out."""
+
+    def provider(key: str) -> str:
+        cases = " ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(PROVIDERS))
+        return f"CASE ({key}) % {len(PROVIDERS)} {cases} END"
+
+    def flow_id(key: str) -> str:
+        return f"concat('DF_', cast(({key}) - ({key}) % 2 AS string))"
+
+    sql = re.sub(r"@provider\(([^()]*)\)", lambda m: provider(m[1]), sql)
+    sql = re.sub(r"@id\(([^()]*)\)", lambda m: flow_id(m[1]), sql)
+    return re.sub(r"@flow\(([^()]*)\)", lambda m: f"{provider(m[1])} AS provider, {flow_id(m[1])} AS df_id", sql)
+
+
 VIEWS: dict[str, str] = {
     # Monthly cube: quantities per supplier, flag and status.  Summed before the join,
     # so a supplier with very many lines is already small when it is joined.
@@ -66,12 +103,13 @@ VIEWS: dict[str, str] = {
     """,
     # Catalogs: whole document texts, and parts with short shared names.
     "catalog": """
-        SELECT lang AS provider, upper(concat(source, '_', lang, '_', cast(doc_id AS string))) AS df_id,
+        SELECT CASE doc_id % 2 WHEN 0 THEN 'P0' ELSE 'P1' END AS provider,
+               concat(CASE WHEN doc_id % 4 < 2 THEN 'SRC1_' ELSE 'SRC2_' END, cast(doc_id - doc_id % 2 AS string)) AS df_id,
                '1.0' AS version, text AS df_description, source AS df_structure_id, doc_id
         FROM {documents}
     """,
     "flows": """
-        SELECT p_type AS provider, concat('DF_', cast(p_partkey AS string)) AS df_id, '1.0' AS version,
+        SELECT @flow(p_partkey), '1.0' AS version,
                CASE WHEN p_size = 7 THEN NULL ELSE p_name END AS df_description,
                CASE WHEN p_size = 9 THEN NULL ELSE p_brand END AS df_structure_id,
                CASE WHEN p_type = 'PROMO' THEN 'RESIDENCE_TERR' WHEN p_type = 'LARGE' THEN '' END AS df_geo_dim
@@ -104,14 +142,14 @@ VIEWS: dict[str, str] = {
     """,
     # Which dataflow sits in which category: n to m.
     "links": """
-        SELECT concat('DF_', cast(l_partkey AS string)) AS df_id, r_name AS scheme_id,
+        SELECT @flow(l_partkey), r_name AS scheme_id,
                concat(n_name, '.S', cast(s_suppkey AS string)) AS cat_path
         FROM (SELECT DISTINCT l_partkey, l_suppkey FROM {lineitem}) p
         JOIN {supplier} ON l_suppkey = s_suppkey
         JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
     """,
     "context": """
-        SELECT concat('DF_', cast(l_partkey AS string)) AS df_id, max(l_shipmonth) AS cat_context,
+        SELECT @flow(l_partkey), max(l_shipmonth) AS cat_context,
                min(l_returnflag) AS cat_primary
         FROM (SELECT l_partkey, substr(cast(cast(l_shipdate AS date) AS string), 1, 7) AS l_shipmonth, l_returnflag
               FROM {lineitem}) x
@@ -119,14 +157,14 @@ VIEWS: dict[str, str] = {
     """,
     # Codes occurring per dataflow.
     "avail": """
-        SELECT DISTINCT df_id, dimension_id, code_id
-        FROM (SELECT concat('DF_', cast(l_partkey AS string)) AS df_id, l_returnflag AS FLAG, l_linestatus AS STATUS,
+        SELECT DISTINCT provider, df_id, dimension_id, code_id
+        FROM (SELECT @flow(l_partkey), l_returnflag AS FLAG, l_linestatus AS STATUS,
                      cast(l_suppkey AS string) AS SUPP FROM {lineitem})
         UNPIVOT (code_id FOR dimension_id IN (FLAG, STATUS, SUPP))
     """,
     # Probe status: every second dataflow was probed before.
     "status": """
-        SELECT concat('DF_', cast(2 * o_orderkey AS string)) AS df_id, o_orderpriority AS df_description,
+        SELECT @flow(2 * o_orderkey + o_orderkey % 2), o_orderpriority AS df_description,
                CASE o_orderstatus WHEN 'F' THEN 'ok' WHEN 'O' THEN 'error' ELSE 'empty' END AS status,
                'hub' AS source, cast(o_custkey % 5 AS bigint) AS n_dims,
                CASE WHEN o_orderstatus = 'F' THEN cast(o_custkey % 50 AS bigint) END AS n_codes,
@@ -135,7 +173,7 @@ VIEWS: dict[str, str] = {
     """,
     # Archive with territorial codes of every level and some without one.
     "archive": """
-        SELECT concat('DF_', cast(c_custkey - c_custkey % 4 AS string)) AS df_id,
+        SELECT @flow(c_custkey - c_custkey % 4 + CASE WHEN c_custkey % 4 < 2 THEN 0 ELSE 1 END),
                CASE c_mktsegment WHEN 'BUILDING' THEN 'ITTER107' WHEN 'MACHINERY' THEN 'REF_AREA'
                     WHEN 'HOUSEHOLD' THEN 'RESIDENCE_TERR' WHEN 'AUTOMOBILE' THEN 'ECOICOP_2' ELSE 'AGE' END
                     AS dimension_id,
@@ -146,13 +184,13 @@ VIEWS: dict[str, str] = {
     """,
     # Blacklisted dataflows with the time they were marked.
     "blacklist": """
-        SELECT concat('DF_', cast(o_custkey AS string)) AS df_id, max(o_orderdate) AS marked_at,
+        SELECT @flow(o_custkey), max(o_orderdate) AS marked_at,
                max(o_orderpriority) AS description
         FROM {orders} WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey
     """,
     # Metadata links; those without a report are plain page addresses.
     "page_links": """
-        SELECT concat('DF_', cast(page_id AS string)) AS df_id,
+        SELECT @flow(page_id),
                CASE WHEN url LIKE 'https%' THEN concat('https://md.example.org/v?reportId=R',
                          cast(page_id - page_id % 3 AS string),
                          '&metadataSetId=MS%20', cast(length(html) % 2 AS string), '&BaseUrlMDA=https%3A%2F%2Fapi')
@@ -160,7 +198,7 @@ VIEWS: dict[str, str] = {
         FROM {pages}
     """,
     "report_links": """
-        SELECT concat('DF_', cast(page_id AS string)) AS df_id, concat('R', cast(page_id - page_id % 3 AS string))
+        SELECT @flow(page_id), concat('R', cast(page_id - page_id % 3 AS string))
                AS report_id, 'MS' AS metadata_set_id, 'https://api' AS base_url FROM {pages}
     """,
     "reports": """
@@ -179,11 +217,12 @@ VIEWS: dict[str, str] = {
     """,
     # Vectors under their dataflow id; only those with a quality label are in the catalog.
     "vectors": """
-        SELECT concat('DF_', cast(vec_id AS string)) AS df_id, embedding, label FROM {embeddings}
+        SELECT @flow(vec_id), embedding, label FROM {embeddings}
     """,
     "vector_catalog": """
-        SELECT concat('DF_', cast(doc_id AS string)) AS df_id, concat('quality ', cast(quality AS string))
+        SELECT @flow(doc_id), concat('quality ', cast(quality AS string))
                AS df_description
         FROM {labels}
     """,
 }
+VIEWS = {name: with_flows(sql) for name, sql in VIEWS.items()}

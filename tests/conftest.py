@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -15,6 +16,11 @@ def spark():
     session.stop()
 
 
+def of_provider(df, provider="P"):
+    """Rows of one provider."""
+    return df.select(F.lit(provider).alias("provider"), *df.columns)
+
+
 @pytest.fixture(scope="session")
 def rows():
     """Rows of a DataFrame as sorted tuples."""

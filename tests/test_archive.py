@@ -3,15 +3,17 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import of_provider
 from statcube.functions.text import clean_prose, link_id, territorial_level
 from statcube.model import AVAILABLE_CODES, PROBE_STATUS
 from statcube.operators import archive
+from statcube.sources.tabular import write_archive
 from statcube.streaming import jobs
 from statcube.operators.codes import available_codes
 
 
 def status_of(spark, entries):
-    full = [(i, "", s, "", 0, 0, e, "", date.fromisoformat(c)) for i, s, e, c in entries]
+    full = [("P", i, "", s, "", 0, 0, e, "", date.fromisoformat(c)) for i, s, e, c in entries]
     return spark.createDataFrame(full, PROBE_STATUS)
 
 
@@ -20,8 +22,8 @@ def test_candidates(spark):
         ("E1", "error", 1, "2026-07-19"), ("E3", "error", 3, "2026-07-18"), ("E9", "error", 9, "2026-05-16"),
         ("OK_OLD", "ok", 0, "2026-01-20"), ("OK_EDGE", "ok", 0, "2026-01-21"), ("EMPTY_NEW", "empty", 5, "2026-07-19"),
     ])
-    flows = spark.createDataFrame([(i,) for i in ("OK_OLD", "OK_EDGE", "EMPTY_NEW", "E9", "E3", "E1", "NEW2", "NEW1")],
-                                  "df_id string")
+    flows = of_provider(spark.createDataFrame(
+        [(i,) for i in ("OK_OLD", "OK_EDGE", "EMPTY_NEW", "E9", "E3", "E1", "NEW2", "NEW1")], "df_id string"))
     picked = archive.pick_candidates(flows, status, "2026-07-20", 180, 10)
     assert [r["df_id"] for r in picked.collect()] == ["NEW1", "NEW2", "E9", "E1", "OK_OLD"]
     assert archive.pick_candidates(flows, status, "2026-07-20", 180, 2).count() == 2
@@ -30,11 +32,12 @@ def test_candidates(spark):
 
 
 def test_probe_outcome(spark, rows):
-    probes = spark.createDataFrame(
+    probes = of_provider(spark.createDataFrame(
         [("A", "a", "hub", None), ("B", None, "hub", None), ("C", "c", "hub", "x" * 500)],
-        "df_id string, df_description string, source string, error string")
-    codes = spark.createDataFrame([("A", "geo", "IT"), ("A", "geo", "FR"), ("A", "sex", "T")],
-                                  "df_id string, dimension_id string, code_id string")
+        "df_id string, df_description string, source string, error string"))
+    codes = of_provider(spark.createDataFrame([("A", "geo", "IT"), ("A", "geo", "FR"), ("A", "sex", "T")],
+                                              "df_id string, dimension_id string, code_id string"))
+    codes = codes.unionByName(of_provider(spark.createDataFrame([("B", "geo", "IT")], "df_id string, dimension_id string, code_id string"), "Q"))
     previous = status_of(spark, [("A", "error", 4, "2026-01-01"), ("C", "error", 2, "2026-01-01")])
     got = {r["df_id"]: r for r in archive.probe_outcome(probes, codes, previous, "2026-07-20").collect()}
     assert (got["A"]["status"], got["A"]["n_dims"], got["A"]["n_codes"], got["A"]["error_count"]) == ("ok", 2, 3, 0)
@@ -43,13 +46,32 @@ def test_probe_outcome(spark, rows):
 
 
 def archive_of(spark, triples):
-    return spark.createDataFrame([(*t, date(2026, 1, 1)) for t in triples], AVAILABLE_CODES)
+    return spark.createDataFrame([("P", *t, date(2026, 1, 1)) for t in triples], AVAILABLE_CODES)
 
 
 def test_merge_replaces_probed_only(spark, rows):
     old = archive_of(spark, [("A", "geo", "IT"), ("B", "geo", "FR")])
     new = archive_of(spark, [("A", "geo", "DE")])
     assert rows(archive.merge_archive(old, new, new), "df_id", "code_id") == [("A", "DE"), ("B", "FR")]
+    other = new.withColumn("provider", F.lit("Q"))
+    both = archive.merge_archive(old, other, other)
+    assert rows(both, "provider", "df_id", "code_id") == [("P", "A", "IT"), ("P", "B", "FR"), ("Q", "A", "DE")]
+    assert "Sort" not in both._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_touched_partitions_are_written(spark, rows, tmp_path):
+    old = archive_of(spark, [("A", "geo", "IT"), ("B", "geo", "FR")])
+    table = old.unionByName(old.withColumn("provider", F.lit("Q")))
+    path = f"{tmp_path}/archive"
+    write_archive(table, path, "provider")
+    before = {p.name for p in (tmp_path / "archive" / "provider=Q").iterdir()}
+    new = archive_of(spark, [("A", "geo", "DE")])
+    merged = archive.touched_archive(spark.read.schema(table.schema).parquet(path), new, new)
+    assert rows(merged, "provider", "df_id", "code_id") == [("P", "A", "DE"), ("P", "B", "FR")]
+    write_archive(spark.createDataFrame(merged.collect(), merged.schema), path, "provider")
+    assert {p.name for p in (tmp_path / "archive" / "provider=Q").iterdir()} == before
+    assert rows(spark.read.schema(table.schema).parquet(path), "provider", "df_id", "code_id") == [
+        ("P", "A", "DE"), ("P", "B", "FR"), ("Q", "A", "IT"), ("Q", "B", "FR")]
 
 
 def test_territorial_view(spark, rows):
@@ -64,7 +86,7 @@ def test_territorial_view(spark, rows):
     assert rows(view, "df_id", "dimension_id", "max_level", "levels", "n_territories", "checked_at") == [
         ("BIRTHS", "RESIDENCE_TERR", "comune", "nazionale|regione|comune", 3, "2026-01-01"),
         ("MULTI", "REF_AREA", "nazionale", "nazionale", 1, ""), ("MULTI", "RESIDENCE_TERR", "comune", "comune", 3, "")]
-    assert rows(archive.dataflows_at_level(data, "comune")) == [("BIRTHS",), ("MULTI",), ("PRICES",)]
+    assert rows(archive.dataflows_at_level(data, "comune"), "df_id") == [("BIRTHS",), ("MULTI",), ("PRICES",)]
 
 
 @pytest.mark.parametrize(
@@ -85,13 +107,14 @@ def test_prose_and_links(spark, rows):
     urls = spark.createDataFrame([
         ("A", "https://m/?reportId=DCIS_NATI2&metadataSetId=MS%20X&BaseUrlMDA=https%3A%2F%2Fapi"), ("B", "https://m/?reportId=R"),
         ("C", None), ("D", "no url %%% at all")], "df_id string, url string")
-    links = archive.metadata_links(urls)
+    links = archive.metadata_links(of_provider(urls)).drop("provider")
     assert rows(links) == [("A", "DCIS_NATI2", "MS X", "https://api")]
 
 
 def test_descriptions(spark, rows):
     links = spark.createDataFrame([("A", "R1", "M", "u"), ("B", "R1", "M", "u"), ("C", "R2", "M", "u"), ("D", "R3", "M", "u")],
                                   "df_id string, report_id string, metadata_set_id string, base_url string")
+    links = of_provider(links)
     reports = spark.createDataFrame([("R1", "text", "001"), ("R2", "", None)], "report_id string, description string, siqual_id string")
     assert rows(archive.reports_to_fetch(links, reports), "report_id") == [("R3",)]
     described = archive.describe_dataflows(links, reports, "2026-07-20")
@@ -100,13 +123,13 @@ def test_descriptions(spark, rows):
 
 
 def test_blacklist(spark, rows):
-    listed = spark.createDataFrame([("A", "old")], "df_id string, description string").selectExpr(
-        "df_id", "timestamp'2026-01-01' AS marked_at", "description")
-    more = spark.createDataFrame([("A", "new"), ("B", "b")], "df_id string, description string")
+    listed = of_provider(spark.createDataFrame([("A", "old")], "df_id string, description string")).selectExpr(
+        "provider", "df_id", "timestamp'2026-01-01' AS marked_at", "description")
+    more = of_provider(spark.createDataFrame([("A", "new"), ("B", "b")], "df_id string, description string"))
     updated = archive.blacklist_upsert(listed, more, "2026-02-01")
     assert rows(updated, "df_id", "description") == [("A", "new"), ("B", "b")]
-    left, existed = archive.blacklist_remove(updated, spark.createDataFrame([("A",), ("Z",)], "df_id string"))
-    assert rows(left, "df_id") == [("B",)] and rows(existed) == [("A", True), ("Z", False)]
+    left, existed = archive.blacklist_remove(updated, of_provider(spark.createDataFrame([("A",), ("Z",)], "df_id string")))
+    assert rows(left, "df_id") == [("B",)] and rows(existed, "df_id", "existed") == [("A", True), ("Z", False)]
 
 
 def test_feed(spark):

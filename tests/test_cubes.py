@@ -190,10 +190,11 @@ def test_sort_by_time_spreads_one_period(spark):
 
 def test_availability_of_one_dataflow(spark, rows):
     names = spark.createDataFrame([("IT", "Italy"), ("US", "States")], "id string, name string")
-    avail = spark.createDataFrame([("X", "geo", "IT"), ("Y", "geo", "US")], "df_id string, dimension_id string, code_id string")
-    assert rows(labels.values_in_dataflow(names, avail, "geo", "X"), "id", "in_dataflow") == [("IT", True), ("US", False)]
-    assert rows(labels.constraint_labels(avail, names, "geo", "Y")) == [("US", "States")]
-    assert rows(catalog.invalid_codes(spark, {"geo": "IT+US"}, avail, "X")) == [("geo", "US")]
+    avail = spark.createDataFrame([("P", "X", "geo", "IT"), ("P", "Y", "geo", "US"), ("Q", "X", "geo", "US")],
+                                  "provider string, df_id string, dimension_id string, code_id string")
+    assert rows(labels.values_in_dataflow(names, avail, "geo", "P", "X"), "id", "in_dataflow") == [("IT", True), ("US", False)]
+    assert rows(labels.constraint_labels(avail, names, "geo", "P", "Y")) == [("US", "States")]
+    assert rows(catalog.invalid_codes(spark, {"geo": "IT+US"}, avail, "P", "X")) == [("geo", "US")]
 
 
 def test_two_providers_with_one_id_stay_apart(spark, rows):
@@ -209,8 +210,8 @@ def test_two_providers_with_one_id_stay_apart(spark, rows):
 
 
 def test_result_page_without_tree(spark, rows):
-    hits = spark.createDataFrame([("A", None, 1.23456)], "df_id string, df_description string, score double")
-    assert rows(filters.search_page_projection(hits)) == [("A", "", "", 1.23)]
+    hits = spark.createDataFrame([("P", "A", None, 1.23456)], "provider string, df_id string, df_description string, score double")
+    assert rows(filters.search_page_projection(hits)) == [("P", "A", "", "", 1.23)]
 
 
 CODES = [
@@ -247,12 +248,13 @@ def test_filter_descriptions(spark, rows, codelists):
 
 def test_membership_is_null_when_unknown(spark, rows):
     names = spark.createDataFrame([("IT", "Italy"), ("US", "States")], "id string, name string")
-    avail = spark.createDataFrame([("NA_ITEM", "B1"), ("geo", "IT")], "dimension_id string, code_id string")
-    assert rows(labels.values_in_dataflow(names, avail, "GEO"), "id", "in_dataflow") == [("IT", True), ("US", False)]
-    unknown = labels.values_in_dataflow(names, avail, "SEX")
+    avail = spark.createDataFrame([("P", "X", "NA_ITEM", "B1"), ("P", "X", "geo", "IT"), ("P", "Y", "SEX", "T")],
+                                  "provider string, df_id string, dimension_id string, code_id string")
+    assert rows(labels.values_in_dataflow(names, avail, "GEO", "P", "X"), "id", "in_dataflow") == [("IT", True), ("US", False)]
+    unknown = labels.values_in_dataflow(names, avail, "SEX", "P", "X")
     assert rows(unknown, "in_dataflow") == [(None,), (None,)]
     assert rows(labels.membership_counts(unknown)) == [(2, 0)]
-    assert rows(labels.constraint_labels(avail, names, "na-item")) == [("B1", "")]
+    assert rows(labels.constraint_labels(avail, names, "na-item", "P", "X")) == [("B1", "")]
 
 
 def test_fetch_and_saved_query(spark, rows, cube, codelists):

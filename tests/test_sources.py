@@ -101,13 +101,60 @@ def nested_categories(levels):
     return f'<s:CategorySchemes><s:CategoryScheme id="S">{text}</s:CategoryScheme></s:CategorySchemes>'
 
 
-def test_category_depth_is_never_cut(spark):
-    elements = xml.parse_elements(message(spark, nested_categories(8)), "x", "CategoryScheme")
+@pytest.mark.parametrize("levels", [1, 12, 40, 900])
+def test_category_trees_of_any_depth(spark, levels):
+    elements = xml.parse_elements(message(spark, nested_categories(levels)), "x", "CategoryScheme")
     got = xml.flatten_category_scheme(elements, "en").orderBy("depth").collect()
-    assert len(got) == 8 and got[-1]["cat_path"] == ".".join(f"L{i}" for i in range(8))
-    deeper = xml.parse_elements(message(spark, nested_categories(9)), "x", "CategoryScheme")
-    with pytest.raises(PySparkException, match="deeper"):
-        xml.flatten_category_scheme(deeper, "en").collect()
+    assert len(got) == levels and got[-1]["cat_path"] == ".".join(f"L{i}" for i in range(levels))
+    assert [r["depth"] for r in got] == list(range(1, levels + 1)) and got[-1]["cat_name"] == f"n{levels - 1}"
+    assert got[-1]["parent_path"] == ".".join(f"L{i}" for i in range(levels - 1))
+
+
+def test_category_schemes_of_files_and_odd_elements(spark, rows, tmp_path):
+    body = """<s:CategorySchemes>
+      <s:CategoryScheme agencyID='X > Y' id="S1"><c:Name xml:lang="it"> Uno &amp; due </c:Name><c:Name xml:lang="en">One</c:Name>
+        <s:Category id="A"><c:Name xml:lang="de">nur</c:Name><c:Description xml:lang="en">about</c:Description>
+          <s:Category><s:Category id="HIDDEN"/></s:Category><s:Category id="B"><c:Annotations><c:Name>no</c:Name></c:Annotations></s:Category>
+        </s:Category><s:Category id="007"/></s:CategoryScheme>
+      <s:CategoryScheme><s:Category id="lost"/></s:CategoryScheme><s:CategoryScheme id="EMPTY"/></s:CategorySchemes>"""
+    want = [("S1", "Uno & due", "007", "007", "", "", "", 1), ("S1", "Uno & due", "A", "A", "nur", "about", "", 1),
+            ("S1", "Uno & due", "B", "A.B", "", "", "A", 2)]
+    parsed = xml.parse_elements(message(spark, body), "x", "CategoryScheme")
+    assert rows(xml.flatten_category_scheme(parsed, "it")) == want
+    (tmp_path / "one.xml").write_text(f"<?xml version='1.0'?><m:Structure xmlns:m='m'>{body}</m:Structure>")
+    (tmp_path / "two.xml").write_text("<m:Structure/>")
+    assert rows(xml.flatten_category_scheme(xml.read_elements(spark, str(tmp_path), "CategoryScheme"), "it")) == want
+    broken = xml.parse_elements(message(spark, '<s:CategoryScheme id="S"><s:Category id="A"></s:CategoryScheme>'), "x", "CategoryScheme")
+    with pytest.raises(PySparkException, match="mismatched tag"):
+        xml.flatten_category_scheme(broken, "en").collect()
+
+
+def nested_hub(levels):
+    category = {"id": f"L{levels - 1}", "label": "leaf", "datasetIdentifiers": ["X,DEEP,1.0"], "childrenCategories": []}
+    for i in reversed(range(levels - 1)):
+        category = {"id": f"L{i}", "label": f"n{i}", "childrenCategories": [category]}
+    return {"categoryGroups": [{"categories": [{"id": "TOP", "label": "Top", "childrenCategories": [category]}]}], "datasetMap": {}}
+
+
+@pytest.mark.parametrize("levels", [1, 12, 40, 300])
+def test_hub_trees_of_any_depth(spark, rows, levels):
+    df = spark.createDataFrame([(1, json.dumps(nested_hub(levels)))], "node int, x string")
+    path = ".".join(f"L{i}" for i in range(levels))
+    assert rows(js.flatten_hub_tree(df, "x", ["node"])) == [(1, "DEEP", "TOP", path)]
+    assert js.flatten_hub_categories(df, "x").count() == levels
+    assert rows(js.flatten_hub_catalog(df, "x", "node"), "df_id", "df_description") == [("DEEP", "leaf")]
+
+
+def test_hub_catalog_titles_meet_datasets_by_id(spark, rows):
+    """4,000 datasets in one catalog; of two titles of one id the last wins, an empty one gives way to the label."""
+    sets = [f"X,D{i},1.{i}" for i in range(4000)]
+    titles = {f"X,D{i},1.{i}": {"title": f"title {i}"} for i in range(4000)} | {"Y,D7,9": {"title": "last"}, "Y,D8,9": {"title": ""}, "Y,D9,9": None}
+    hub = {"categoryGroups": [{"categories": [{"id": "T", "label": "Label", "datasetIdentifiers": sets}]}], "datasetMap": titles}
+    df = spark.createDataFrame([("n", json.dumps(hub)), ("m", "no json"), (None, None)], "node string, x string")
+    got = js.flatten_hub_catalog(df, "x", "node")
+    assert got.count() == 4000
+    assert rows(got.where("df_id IN ('D6', 'D7', 'D8', 'D9')"), "df_id", "version", "df_description") == [
+        ("D6", "1.6", "title 6"), ("D7", "1.7", "last"), ("D8", "1.8", "Label"), ("D9", "1.9", "Label")]
 
 
 def test_broken_message_fails(spark):
@@ -178,9 +225,18 @@ def test_metadata_report(spark):
         attr("DATA_SOURCE", text="later")]
     payload = {"data": {"metadataSets": [{"reports": [{"attributeSet": {"reportedAttributes": tree}}]}]}}
     df = spark.createDataFrame([(json.dumps(payload),)], "x string")
-    got = df.select(js.reported_text(F.col("x"), "DATA_SOURCE", "it"), js.reported_text(F.col("x"), "DATA_SOURCE", "de"),
-                    js.reported_text(F.col("x"), "NONE", "de")).first()
-    assert tuple(got) == ("english", "deutsch", None)
+    got = [js.flatten_metadata_report(df, "x", {"a": "DATA_SOURCE", "b": "NONE"}, lang).first() for lang in ("it", "de")]
+    assert [tuple(r) for r in got] == [("english", None), ("deutsch", None)]
+
+
+def test_metadata_reports_of_any_depth(spark, rows):
+    node = {"id": "DEEP", "texts": {"fr": "", "en": "found"}}
+    for _ in range(200):
+        node = {"id": "MID", "attributeSet": {"reportedAttributes": [node]}}
+    payload = {"data": {"metadataSets": [{"reports": [{"attributeSet": {"reportedAttributes": [node, {"id": "NUM", "text": 7}]}}]}]}}
+    df = spark.createDataFrame([(1, json.dumps(payload)), (2, "[]"), (3, None)], "k int, x string")
+    assert rows(js.flatten_metadata_report(df, "x", {"deep": "DEEP", "num": "NUM"}, "fr", ["k"])) == [
+        (1, "found", "7"), (2, None, None), (3, None, None)]
 
 
 def test_calendar(spark, rows):

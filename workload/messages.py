@@ -307,6 +307,37 @@ def _(d: Data) -> DataFrame:
     return xml.flatten_category_scheme(xml.parse_elements(messages, "message", "CategoryScheme"), "en")
 
 
+def _deep_paths(levels: int) -> str:
+    names = [f"'L{i}'" for i in range(levels)]
+    paths = ", ".join("'" + ".".join(f"L{i}" for i in range(n + 1)) + "'" for n in range(levels))
+    return f"unnest([{', '.join(names)}]) AS cat_id, unnest([{paths}]) AS cat_path, unnest(range(1, {levels + 1}))::INT AS depth"
+
+
+def _deep_scheme_sql(levels: int) -> str:
+    return f"SELECT 'S' || s_suppkey AS scheme_id, {_deep_paths(levels)}, 'end ' || s_name AS last_name FROM {{supplier}}"
+
+
+def _deep_scheme(d: Data, levels: int) -> DataFrame:
+    inner = "".join(f'<s:Category id="L{i}">' for i in range(levels)) + '<c:Name xml:lang="en">end <<s_name>></c:Name>'
+    template = HEAD + (
+        '<s:CategorySchemes><s:CategoryScheme id="S<<s_suppkey>>"><c:Name xml:lang="en">end <<s_name>></c:Name>'
+        f'{inner}{"</s:Category>" * levels}</s:CategoryScheme></s:CategorySchemes>'
+    ) + TAIL
+    messages = d.spread("supplier").select(_message(template).alias("message"))
+    rows = xml.flatten_category_scheme(xml.parse_elements(messages, "message", "CategoryScheme"), "en")
+    return rows.select("scheme_id", "cat_id", "cat_path", "depth", F.col("scheme_name").alias("last_name"))
+
+
+@query("flatten_category_scheme_12_levels", _deep_scheme_sql(12))
+def _(d: Data) -> DataFrame:
+    return _deep_scheme(d, 12)
+
+
+@query("flatten_category_scheme_40_levels", _deep_scheme_sql(40))
+def _(d: Data) -> DataFrame:
+    return _deep_scheme(d, 40)
+
+
 @query("flatten_categorisation", """
     SELECT 'X,DF_' || p_partkey AS df_id, p_brand AS scheme_id, p_type || '.' || p_size AS cat_path FROM {part}
     WHERE p_type <> 'SMALL' AND p_size <> 5
@@ -388,6 +419,51 @@ def _(d: Data) -> DataFrame:
     return js.flatten_hub_categories(_hub_messages(d), "message")
 
 
+def _deep_hub(d: Data, levels: int) -> DataFrame:
+    opened = "".join(f'{{"id":"L{i}","label":"n{i}","childrenCategories":[' for i in range(levels - 1))
+    leaf = f'{{"id":"L{levels - 1}","label":"leaf","datasetIdentifiers":["X,D<<s_suppkey>>,1.0"]}}'
+    template = (
+        '{"categoryGroups":[{"categories":[{"id":"T<<s_suppkey>>","label":"Top","childrenCategories":['
+        f'{opened}{leaf}{"]}" * (levels - 1)}]}}]}}],"datasetMap":{{}}}}'
+    )
+    return d.spread("supplier").select("s_suppkey", _message(template).alias("message"))
+
+
+def _deep_hub_sql(levels: int) -> str:
+    path = ".".join(f"L{i}" for i in range(levels))
+    return f"SELECT s_suppkey, 'D' || s_suppkey AS df_id, 'T' || s_suppkey AS scheme_id, '{path}' AS cat_path FROM {{supplier}}"
+
+
+@query("flatten_hub_tree_12_levels", _deep_hub_sql(12))
+def _(d: Data) -> DataFrame:
+    return js.flatten_hub_tree(_deep_hub(d, 12), "message", ["s_suppkey"])
+
+
+@query("flatten_hub_tree_40_levels", _deep_hub_sql(40))
+def _(d: Data) -> DataFrame:
+    return js.flatten_hub_tree(_deep_hub(d, 40), "message", ["s_suppkey"])
+
+
+@query("flatten_hub_catalog_wide", """
+    SELECT 'D' || s_suppkey AS df_id, '1.' || (s_suppkey % 9) AS version,
+           CASE WHEN s_suppkey % 5 = 0 THEN 'Nation ' || s_nationkey ELSE 'late ' || s_name END AS df_description,
+           s_nationkey FROM {supplier}
+""")
+def _(d: Data) -> DataFrame:
+    # One catalog per nation; every dataset has two titles, of which the last counts, or none.
+    key = F.concat(F.lit("X,D"), F.col("s_suppkey").cast("string"), F.lit(",1."), (F.col("s_suppkey") % 9).cast("string"))
+    other = F.concat(F.lit("Y,D"), F.col("s_suppkey").cast("string"), F.lit(",0"))
+    title = F.struct(F.concat(F.lit("late "), "s_name").alias("title"))
+    pairs = F.when(F.col("s_suppkey") % 5 != 0, F.array(F.struct(key, F.struct(F.lit("early").alias("title"))), F.struct(other, title)))
+    per_nation = d.supplier.groupBy("s_nationkey").agg(
+        F.collect_list(key).alias("_ids"), F.map_from_entries(F.flatten(F.collect_list(pairs))).alias("datasetMap"))
+    top = F.struct(F.lit("T").alias("id"), F.concat(F.lit("Nation "), F.col("s_nationkey").cast("string")).alias("label"),
+                   F.col("_ids").alias("datasetIdentifiers"))
+    groups = F.array(F.struct(F.array(top).alias("categories")))
+    messages = per_nation.select("s_nationkey", F.to_json(F.struct(groups.alias("categoryGroups"), "datasetMap")).alias("message"))
+    return js.flatten_hub_catalog(messages, "message", "s_nationkey").select("df_id", "version", "df_description", "s_nationkey")
+
+
 @query("flatten_hub_structure", """
     SELECT p_partkey, 'FREQ' AS dimension_id, 1 AS position, 'CL_FREQ' AS codelist_id, NULL::VARCHAR AS label FROM {part}
     UNION ALL SELECT p_partkey, p_type, 2, 'CL_' || p_type, p_name FROM {part}
@@ -431,6 +507,27 @@ def _(d: Data) -> DataFrame:
     return js.flatten_metadata_report(messages, "message", wanted, "it", ["doc_id"])
 
 
+def _deep_report(d: Data, levels: int) -> DataFrame:
+    opened = '{"id":"MID","attributeSet":{"reportedAttributes":[' * levels
+    template = (
+        '{"data":{"metadataSets":[{"reports":[{"attributeSet":{"reportedAttributes":['
+        f'{opened}{{"id":"PROSE","texts":<<texts>>}}{"]}}" * levels}]}}}}]}}]}}}}'
+    )
+    quoted = F.to_json(F.struct(F.col("text").alias("en")))
+    messages = d.documents.select("doc_id", _message(template, texts=quoted).alias("message"))
+    return js.flatten_metadata_report(messages, "message", {"prose": "PROSE", "middle": "MID"}, "it", ["doc_id"])
+
+
+@query("flatten_metadata_report_12_levels", "SELECT doc_id, nullif(text, '') AS prose, NULL::VARCHAR AS middle FROM {documents}")
+def _(d: Data) -> DataFrame:
+    return _deep_report(d, 12)
+
+
+@query("flatten_metadata_report_40_levels", "SELECT doc_id, nullif(text, '') AS prose, NULL::VARCHAR AS middle FROM {documents}")
+def _(d: Data) -> DataFrame:
+    return _deep_report(d, 40)
+
+
 # --- calendar ----------------------------------------------------------------
 
 

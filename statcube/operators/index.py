@@ -5,7 +5,8 @@ how many documents hold the term there, its largest frequency, the shortest of t
 in an id or a head.  Document frequencies are sums over these few rows, and a query bounds the best
 score of every block from them, so blocks that can't reach the k-th best score are never read.
 
-Both tables are stored range-partitioned and sorted by term: a query reads the terms it can reach.
+Both tables are stored sorted by term, so a query reads the terms it can reach: the dictionary in ranges, the postings
+dealt by term and block.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from statcube.session import broadcast_within, cut_lineage
 BLOCK_DOCS = 256
 # Classes of length per doubling.
 LENGTH_CLASSES = 2
-# Reached terms that the driver weighs itself; a query that reaches more has them weighed by tasks.
-LOCAL_TERMS = 20_000
+# Dictionary rows that the driver weighs itself (some 10 MB); a query that reaches more has them weighed by tasks.
+LOCAL_ROWS = 50_000
+# Up to so many reached postings skipping blocks costs more than it saves.
+FEW_POSTINGS = 250_000
 # Blocks scored first, for a lower bound of the k-th score.
 FIRST_BLOCKS = 16
 # Bounds are sums of doubles in another order than scores: room for rounding.
@@ -116,14 +119,16 @@ def dictionary(index_rows: DataFrame) -> DataFrame:
 def write_index(docs: DataFrame, path: str, text: str = "text") -> None:
     """Store the index; the text is read once.
 
-    The document is part of the range, so a term of every document is not one file.
+    The block is part of the key, so a term of every document is not one task.
     """
     check_entity(docs)
     spark, root = docs.sparkSession, path.rstrip("/")
     counts = {r["provider"]: r["n"] for r in docs.groupBy("provider").agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks = max(1, math.ceil(sum(counts.values()) / BLOCK_DOCS / 8))
     order = ["term", "provider", "block", "df_id"]
-    rows = postings(docs, text, blocks).repartitionByRange(*order).sortWithinPartitions(*order)
+    # By a hash, since a range would be sampled first, which reads the text twice.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = postings(docs, text, blocks).repartition(parts, "term", "block").sortWithinPartitions(*order)
     rows.write.mode("overwrite").parquet(f"{root}/terms")
     terms = dictionary(spark.read.schema(POSTINGS).parquet(f"{root}/terms"))
     terms.repartitionByRange(*order[:3]).sortWithinPartitions(*order[:3]).write.mode("overwrite").parquet(f"{root}/dictionary")
@@ -157,36 +162,64 @@ def bm25_stats(index: Index) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Asked:
-    """What a query reaches: its tokens, the weighed terms (small enough to be sent everywhere or not), the corpus."""
+    """What a query reaches: its tokens, the weighed terms, the corpus, and what bounds its blocks."""
 
     tokens: list[str]
     reached: Column
     expansions: DataFrame
     unit: Column
     avg_length: float
+    n_postings: int
+    # Block to bound; None when so many dictionary rows are reached that tasks bound the blocks.
+    bounds: dict[int, float] | None
 
 
 def _ask(index: Index, query: str) -> _Asked:
+    """One look at the dictionary rows that the query reaches: weights and bounds come from them."""
     tokens = query_tokens(query)
     reached = reduce(Column.__or__, [F.col("term").startswith(s) for s in reach_of(tokens)], F.lit(False))
-    spark = index.dictionary.sparkSession
-    corpus = corpus_size(index).first()
-    frequency = index.dictionary.where(reached).groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
-    rows = frequency.limit(LOCAL_TERMS + 1).collect()
-    if len(rows) > LOCAL_TERMS:
-        expansions = cut_lineage(expansions_of(frequency, tokens, F.lit(corpus["n_docs"])))
+    sizes = index.size.collect()
+    n_docs, words = sum(r["n_docs"] for r in sizes), sum(r["n_words"] for r in sizes)
+    average = words / n_docs if words else 1.0
+    mine = index.dictionary.where(reached)
+    listed = F.collect_list(F.struct("term", "block", "df", "max_tf", "min_length", "in_id", "in_head"))
+    rows = mine.limit(LOCAL_ROWS + 1).agg(listed).first()[0]
+    if len(rows) > LOCAL_ROWS:
+        frequency = mine.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+        expansions = cut_lineage(expansions_of(frequency, tokens, F.lit(n_docs)))
         unit = expansions.agg(F.coalesce(F.avg("idf"), F.lit(1.0))).scalar()
-        return _Asked(tokens, reached, broadcast_within(expansions), unit, corpus["avg_length"])
-    whole = {r["term"] for r in rows}
-    weighed = []
+        return _Asked(tokens, reached, broadcast_within(expansions), unit, average, len(rows), None)
+    held: dict[str, int] = {}
     for r in rows:
-        weight = math.log((corpus["n_docs"] - r["df"] + 0.5) / (r["df"] + 0.5) + 1.0)
-        for position, token in enumerate(tokens):
-            if r["term"] == token or (token not in whole and r["term"].startswith(token)):
-                weighed.append((r["term"], weight, position, 1.0 if r["term"] == token else PREFIX_WEIGHT))
+        held[r["term"]] = held.get(r["term"], 0) + r["df"]
+    weighed = []
+    for term, df in held.items():
+        if df:
+            weight = math.log((n_docs - df + 0.5) / (df + 0.5) + 1.0)
+            for position, token in enumerate(tokens):
+                if term == token or (not held.get(token) and term.startswith(token)):
+                    weighed.append((term, weight, position, 1.0 if term == token else PREFIX_WEIGHT))
     unit = sum(w[1] for w in weighed) / len(weighed) if weighed else 1.0
-    local = spark.createDataFrame(weighed, "term string, idf double, position int, weight double")
-    return _Asked(tokens, reached, F.broadcast(local), F.lit(unit), corpus["avg_length"])
+    local = index.dictionary.sparkSession.createDataFrame(weighed, "term string, idf double, position int, weight double")
+    return _Asked(tokens, reached, F.broadcast(local), F.lit(unit), average, sum(held.values()), _bounds(rows, weighed, unit, average, len(tokens)))
+
+
+def _bounds(rows: list, weighed: list[tuple], unit: float, average: float, n_tokens: int) -> dict[int, float]:
+    """As :func:`block_bounds`, from rows at hand."""
+    ways: dict[str, list[tuple[int, float]]] = {}
+    for term, weight, position, share in weighed:
+        ways.setdefault(term, []).append((position, weight * share))
+    best: dict[tuple[int, int, str], float] = {}
+    for r in rows:
+        boost = unit * (ID_BOOST * r["in_id"] + HEAD_BOOST * r["in_head"]) / n_tokens
+        saturated = r["max_tf"] * (K1 + 1) / (r["max_tf"] + K1 * (1 - B + B * r["min_length"] / average))
+        for position, weight in ways.get(r["term"], ()):
+            key = (r["block"], position, r["term"])
+            best[key] = max(best.get(key, 0.0), weight * saturated + boost)
+    bounds: dict[int, float] = {}
+    for (block, _, _), value in best.items():
+        bounds[block] = bounds.get(block, 0.0) + value * SLACK
+    return bounds
 
 
 def _score(rows: DataFrame, asked: _Asked) -> DataFrame:
@@ -217,20 +250,28 @@ def bm25_top(index: Index, query: str, k: int) -> DataFrame:
     """The first ``k`` rows of :func:`bm25_score` by score, provider and id, without scoring every block.
 
     The blocks with the highest bounds are scored first; their k-th score is a floor, and only
-    blocks whose bound reaches it are read after that.  The result is exact.
+    blocks whose bound reaches it are read after that.  The result is exact.  A query that reaches few postings is
+    scored in one pass.
     """
     asked = _ask(index, query)
-    order = [F.desc("score"), *ENTITY]
-    bounds = block_bounds(index, asked)
-    first = bounds.orderBy(F.desc("bound"), "block").limit(FIRST_BLOCKS + 1).collect()
-    chosen = [r["block"] for r in first[:FIRST_BLOCKS]]
+    spark, order = index.dictionary.sparkSession, [F.desc("score"), *ENTITY]
+    if asked.bounds is not None and asked.n_postings <= FEW_POSTINGS:
+        return _score(index.postings, asked).orderBy(*order).limit(k)
+    if asked.bounds is None:
+        bounds = cut_lineage(block_bounds(index, asked))
+        ahead = [(r["block"], r["bound"]) for r in bounds.orderBy(F.desc("bound"), "block").limit(FIRST_BLOCKS + 1).collect()]
+    else:
+        ahead = sorted(asked.bounds.items(), key=lambda b: (-b[1], b[0]))
+        bounds = spark.createDataFrame(ahead[FIRST_BLOCKS:], "block long, bound double")
+    chosen = [block for block, _ in ahead[:FIRST_BLOCKS]]
     best = _score(index.postings.where(F.col("block").isin(chosen)), asked).orderBy(*order).limit(k)
-    if len(first) <= FIRST_BLOCKS:
+    if len(ahead) <= FIRST_BLOCKS:
         return best
     rows = best.collect()
+    found = spark.createDataFrame(rows, best.schema)
     floor = rows[-1]["score"] if len(rows) == k else 0.0
-    if first[-1]["bound"] < floor:
-        return index.dictionary.sparkSession.createDataFrame(rows, best.schema).orderBy(*order)
+    if ahead[FIRST_BLOCKS][1] < floor:
+        return found.orderBy(*order)
     more = bounds.where((F.col("bound") >= floor) & ~F.col("block").isin(chosen)).select("block")
     rest = _score(index.postings.join(more, "block", "left_semi"), asked)
-    return index.dictionary.sparkSession.createDataFrame(rows, best.schema).unionByName(rest).orderBy(*order).limit(k)
+    return found.unionByName(rest).orderBy(*order).limit(k)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -59,18 +60,15 @@ def scored(
         F.col("weight") * F.col("idf") * tf * (K1 + 1)
         / (tf + K1 * (1 - B + B * F.col("doc_length") / avg_length))
     )
-    per_position = (
-        rows.join(expansions, "term")
-        .groupBy(*ENTITY, "position")
-        .agg(
-            F.sum(part).alias("_bm25"), F.max(F.col("in_id").cast("int")).alias("_id"),
-            F.max(F.col("in_head").cast("int")).alias("_head"),
-        )
-    )
-    boost = unit * (ID_BOOST * F.sum("_id") + HEAD_BOOST * F.sum("_head")) / max(len(tokens), 1)
+    # One grouping: a position counts once for a field, however many of its terms are there.
+    def hits(flag: str) -> Column:
+        at = [F.max(F.when(F.col("position") == i, F.col(flag).cast("int")).otherwise(0)) for i in range(len(tokens))]
+        return reduce(Column.__add__, at, F.lit(0))
+
+    boost = unit * (ID_BOOST * hits("in_id") + HEAD_BOOST * hits("in_head")) / max(len(tokens), 1)
     return (
-        per_position.groupBy(*ENTITY)
-        .agg(F.sum("_bm25").alias("bm25"), boost.alias("boost"))
+        rows.join(expansions, "term").groupBy(*ENTITY)
+        .agg(F.sum(part).alias("bm25"), boost.alias("boost"))
         .where(F.col("bm25") > 0)
         .withColumn("score", F.col("bm25") + F.col("boost"))
     )

@@ -177,6 +177,7 @@ def many(spark, tmp_path_factory):
 @pytest.mark.parametrize("provider", [None, "P1"])
 def test_top_rows_are_those_of_the_full_ranking(many, query, provider, monkeypatch):
     monkeypatch.setattr(index, "FIRST_BLOCKS", 2)
+    monkeypatch.setattr(index, "FEW_POSTINGS", 0)
     mine = many.of(provider)
     full = index.bm25_score(mine, query).orderBy(F.desc("score"), "provider", "df_id").limit(10).collect()
     top = index.bm25_top(mine, query, 10).collect()
@@ -187,6 +188,7 @@ def test_top_rows_are_those_of_the_full_ranking(many, query, provider, monkeypat
 def test_bounds_hold_and_skip_blocks(many):
     asked = index._ask(many, "abc r5")
     bounds = {r["block"]: r["bound"] for r in index.block_bounds(many, asked).collect()}
+    assert asked.bounds == pytest.approx(bounds)
     blocks = many.postings.select("provider", "df_id", "block").distinct()
     best = index.bm25_score(many, "abc r5").join(blocks, ["provider", "df_id"]).groupBy("block").agg(F.max("score").alias("s"))
     scores = {r["block"]: r["s"] for r in best.collect()}
@@ -197,9 +199,12 @@ def test_bounds_hold_and_skip_blocks(many):
 
 def test_terms_beyond_the_drivers_limit_are_weighed_by_tasks(many, monkeypatch):
     want = {(r["provider"], r["df_id"]): r["score"] for r in index.bm25_score(many, "r a").collect()}
-    monkeypatch.setattr(index, "LOCAL_TERMS", 3)
+    monkeypatch.setattr(index, "LOCAL_ROWS", 3)
+    monkeypatch.setattr(index, "FIRST_BLOCKS", 2)
     got = {(r["provider"], r["df_id"]): r["score"] for r in index.bm25_score(many, "r a").collect()}
     assert got == pytest.approx(want)
+    best = sorted(want, key=lambda k: (-want[k], k))[:5]
+    assert [(r["provider"], r["df_id"]) for r in index.bm25_top(many, "r a", 5).collect()] == best
 
 
 def test_dictionary_gives_document_frequencies(many, rows):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from statcube.session import cut_lineage
 
@@ -20,8 +20,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     if large:
         moved = joined.where("b > a").select("m", "b")
     else:
-        down = joined.where("b < a")
-        moved = down.select("m", "b").union(down.select("m", "a"))
+        moved = joined.where("b < a").select("m", F.explode(F.array("a", "b")))
     return moved.toDF("a", "b").where("a < b").distinct()
 
 
@@ -32,11 +31,17 @@ def components(links: DataFrame) -> DataFrame:
     logarithm of the longest chain.  Each round is checkpointed to the shared folder; only a count
     and a checksum come to the driver.
     """
-    links = cut_lineage(links.distinct())
-    seen = None
-    while True:
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == now:
-            return links.select(F.col("b").alias("node"), F.col("a").alias("component"))
-        seen = now
-        links = cut_lineage(_star(_star(links, large=True), large=False))
+    links, seen = _observed(links.distinct()), None
+    while seen != links[1]:
+        seen = links[1]
+        links = _observed(_star(cut_lineage(_star(links[0], large=True)), large=False))
+    return links[0].select(F.col("b").alias("node"), F.col("a").alias("component"))
+
+
+def _observed(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """A checkpoint of the links with their number and a checksum, from the same pass."""
+    seen = Observation()
+    checksum = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    cut = cut_lineage(links.observe(seen, F.count("*").alias("n"), checksum.alias("sum")))
+    # Without rows there may be no pass to observe.
+    return cut, () if cut.isEmpty() else (seen.get["n"], seen.get["sum"])

@@ -1,9 +1,10 @@
 """Main text of web pages by the distribution of text over line blocks.
 
-Markup is stripped to lines, one per block element.  A line weighs as much as its text is long; lines in
-menus, adverts, forms and other furniture, and lines that are mostly links, weigh nothing.  Weights are
-summed over sliding windows of lines.  Text begins where a window's sum surges over a threshold, taken
-back over the weighing lines before it, and ends where the sum dives to nothing.
+Markup is stripped to lines, one per block element, and lines in menus, adverts, forms and other furniture are
+taken out.  Where an ``article`` or ``main`` marks the text, all lines left inside it are the text.  Elsewhere a line weighs
+as much as its text is long, or nothing if it is mostly links, and weights are summed over sliding windows of
+lines.  Text begins where a window's sum surges over a threshold, taken back over the weighing lines before
+it, and ends where the sum dives to nothing.
 
 Defined cases: a null or empty page has the empty text; markup that never closes ends with the page; rows
 that repeat are extracted each for itself; no length of text or number of lines is cut.
@@ -23,9 +24,9 @@ WINDOW = 3
 SURGE = 80
 MAX_LINK_SHARE = 0.5
 
-_HIDDEN = "script|style|noscript|template|iframe|svg|canvas|select|textarea|button|head|title|object|math"
+_HIDDEN = "script|style|noscript|template|iframe|svg|canvas|select|textarea|button|head|title"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_HIDDEN})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
+    rf"<!--.*?(?:-->|\Z)|<({_HIDDEN})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>""",
     re.S | re.I,
 )
@@ -45,6 +46,10 @@ _FURNITURE = frozenset(
     " replies discussion share sharing social related recommended recommendations pagination pager toolbar footer form"
     " skip complementary contentinfo masthead topbar copyright".split())
 _OUTSIDE_ONLY = frozenset("header banner".split())
+# Elements of running text: names that also describe what an author says do not make furniture of them.
+_RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dl dt dd figure figcaption em strong b i q cite code".split())
+_AMBIGUOUS = frozenset(
+    "alert notice notices reply replies respond comment comments discussion aside form search related skip social banner".split())
 
 
 def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
@@ -54,13 +59,15 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     for groups in _NAMES.findall(attributes) if attributes else ():
         names = set(re.split(r"[^a-z]+", "".join(groups).lower()))
+        if tag in _RUNNING:
+            names -= _AMBIGUOUS
         if names & _FURNITURE or (not in_article and names & _OUTSIDE_ONLY):
             return True
     return False
 
 
 def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """Lines of a page: decoded text, weight, and whether it stands in an article."""
+    """Lines of a page outside its furniture: decoded text, weight, and whether it stands in an article."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = 0
@@ -71,8 +78,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
     def end_line() -> None:
         nonlocal linked
         text = " ".join(references.unescape("".join(parts)).split())
-        if text:
-            weight = 0 if furniture_at is not None or linked > MAX_LINK_SHARE * len(text) else len(text)
+        if text and furniture_at is None:
+            weight = 0 if linked > MAX_LINK_SHARE * len(text) else len(text)
             lines.append((text, weight, bool(held["article"] or held["main"])))
         parts.clear()
         linked = 0
@@ -139,8 +146,9 @@ def between_surges(weights: list[int], window: int = WINDOW, surge: int = SURGE)
 
 def main_text(page: str | None) -> str:
     lines = page_lines(page or "")
-    if any(weight for _, weight, inside in lines if inside):
-        lines = [(text, weight if inside else 0, inside) for text, weight, inside in lines]
+    marked = [text for text, _, inside in lines if inside]
+    if marked:
+        return "\n".join(marked)
     return "\n".join(lines[i][0] for i in between_surges([weight for _, weight, _ in lines]))
 
 

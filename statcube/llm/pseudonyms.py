@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 10
+# The session setting that names the key; without it the key below is used, which anyone can read.
+KEY_SETTING = "spark.statcube.pseudonyms.key"
 DEFAULT_KEY = "change-me"
 
 KINDS = ("email", "secret", "ip", "date", "phone", "ssn", "card")
@@ -121,22 +123,38 @@ def _phone(m: Column, key: str) -> Column:
 
 def _ssn(m: Column, key: str) -> Column:
     d = _digits(m)
-    # The area keeps its first digit (1 to 8, not 6) and group and serial stay off zero by their own rings.
+    # The area keeps its first digit; areas 000 and 666, group 00 and serial 0000 are left out of the rings.
+    first, rest = F.substring(d, 1, 1), F.substring(d, 2, 2).cast("long")
+    left_out = F.when(first == "0", 0).when(first == "6", 66)
+    areas = F.when(left_out.isNull(), 100).otherwise(99)
+    place = rest - F.when(rest > left_out, 1).otherwise(0)
     group, serial = F.substring(d, 4, 2).cast("long") - 1, F.substring(d, 6, 4).cast("long") - 1
-    state = F.array(feistel(F.substring(d, 2, 2).cast("long") * 99 + group, serial, F.lit(9900), F.lit(9999), key, F.concat(F.lit("ssn"), F.substring(d, 1, 1))))
+    state = F.array(feistel(place * 99 + group, serial, areas * 99, F.lit(9999), key, F.concat(F.lit("ssn"), first)))
+
+    def area(s: Column) -> Column:
+        found = F.floor(s["l"] / 99)
+        return F.lpad((found + F.when(found >= left_out, 1).otherwise(0)).cast("string"), 2, "0")
+
     moved = F.transform(state, lambda s: F.concat(
-        F.substring(d, 1, 1), F.lpad(F.floor(s["l"] / 99).cast("string"), 2, "0"),
+        first, area(s),
         F.lpad((s["l"] % 99 + 1).cast("string"), 2, "0"), F.lpad((s["r"] + 1).cast("string"), 4, "0")))
     return _refilled(m, F.get(moved, F.lit(0)))
 
 
 def _ip(m: Column, key: str) -> Column:
+    """Another address; first parts 0 and 127 are left out of the ring."""
     o = F.split(m, r"\.")
+    first = F.get(o, F.lit(0)).cast("long")
     state = F.array(feistel(
-        F.get(o, F.lit(0)).cast("long") * 256 + F.get(o, F.lit(1)).cast("long"),
-        F.get(o, F.lit(2)).cast("long") * 256 + F.get(o, F.lit(3)).cast("long"), F.lit(65536), F.lit(65536), key, F.lit("ip")))
+        (first - F.when(first > 127, 2).otherwise(1)) * 256 + F.get(o, F.lit(1)).cast("long"),
+        F.get(o, F.lit(2)).cast("long") * 256 + F.get(o, F.lit(3)).cast("long"), F.lit(254 * 256), F.lit(65536), key, F.lit("ip")))
+
+    def begin(s: Column) -> Column:
+        place = F.floor(s["l"] / 256)
+        return place + F.when(place >= 126, 2).otherwise(1)
+
     return F.get(F.transform(state, lambda s: F.concat_ws(
-        ".", F.floor(s["l"] / 256), s["l"] % 256, F.floor(s["r"] / 256), s["r"] % 256)), F.lit(0))
+        ".", begin(s), s["l"] % 256, F.floor(s["r"] / 256), s["r"] % 256)), F.lit(0))
 
 
 def _date_parts(m: Column) -> Column:
@@ -164,7 +182,11 @@ def _date(m: Column, key: str) -> Column:
 
     def written(w: Column) -> Column:
         sign = F.regexp_extract(m, "[-./]", 0)
-        y, month, d = (F.date_format(w["day"], part) for part in ("yyyy", "MM", "dd"))
+        # Days and months below 10 are written without a zero where the value was.
+        parts = F.split(m, "[-./]")
+        bare = (F.length(F.get(parts, F.lit(0))) == 1) | (F.length(F.get(parts, F.lit(1))) == 1)
+        y, month, d = F.date_format(w["day"], "yyyy"), *(
+            F.when(bare, F.date_format(w["day"], short)).otherwise(F.date_format(w["day"], long)) for short, long in (("M", "MM"), ("d", "dd")))
         return F.when(w["order"] == "ymd", F.concat(y, sign, month, sign, d)).when(
             w["order"] == "dmy", F.concat(d, sign, month, sign, y)).otherwise(F.concat(month, sign, d, sign, y))
 
@@ -179,10 +201,12 @@ def _email(m: Column, key: str) -> Column:
 def _secret(m: Column, key: str) -> Column:
     """The value of a named secret, or an access key behind its prefix, in the same length."""
     named = m.rlike("[=:]")
+    before = F.when(named, F.regexp_extract(m, r"""^[^=:]*[=:]\s*["']?""", 0)).otherwise(F.substring(m, 1, 4))
     value = F.when(named, F.regexp_extract(m, r"""^[^=:]*[=:]\s*["']?([A-Za-z0-9+/_-]+)""", 1)).otherwise(F.substring(m, 5, 16))
     digest = F.repeat(_keyed(key, F.lit("secret"), value), 1 + F.floor(F.length(value) / 64).cast("int"))
     new = F.substring(digest, F.lit(1), F.length(value))
-    return F.when(named, F.replace(m, value, new)).otherwise(F.concat(F.substring(m, 1, 4), F.upper(new)))
+    behind = F.substring(m, F.length(before) + F.length(value) + 1, F.length(m))
+    return F.concat(before, F.when(named, new).otherwise(F.upper(new)), behind)
 
 
 def kind_of(m: Column) -> Column:
@@ -210,11 +234,13 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     return value
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str | None = None) -> DataFrame:
     """The documents with pseudonyms in ``text`` and ``found``, an array of (kind, before, after).
 
+    The key is the one given, else that of the session's ``spark.statcube.pseudonyms.key``.
     Texts without a digit, an at sign or an assignment are passed on unread by the long pattern.
     """
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, DEFAULT_KEY)
     candidate = F.col("text").rlike("[0-9@=:]")
     matches = F.when(candidate, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
     rows = docs.select(F.struct(*[c for c in docs.columns if c not in ("text", "found")]).alias("row"), "text", matches.alias("matches"))

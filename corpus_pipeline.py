@@ -17,6 +17,10 @@ from statcube.llm.common import table
 from statcube.session import scratch_path
 
 
+# Similarity, in percent, from which two documents are near-duplicates.
+NEAR_PERCENT = 80
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned list rejects."""
     rules = quality_rules.learn(quality_rules.labelled_sample(docs, table(spark, sf_dir, "labels")))
@@ -24,8 +28,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near_dedup.deduplicate(docs).select(*docs.columns)
+    """One document of each group of near-duplicates, of a similarity of 0.8 or more."""
+    return near_dedup.deduplicate(docs, NEAR_PERCENT).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

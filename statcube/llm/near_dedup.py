@@ -1,6 +1,6 @@
 """Near-duplicates by b-bit MinHash.
 
-A document's set holds its distinct 5-word shingles.  Each set gets ``MINIMA`` minima; bands of them
+A document's set holds its distinct 5-word shingles.  Each set gets minima under many hash functions; bands of them
 find candidates, and only the low ``BITS`` bits of each minimum are kept, packed into integers.  The
 share of equal bit groups, corrected for groups that agree by chance, estimates the similarity of a
 candidate pair; what is not clearly below the threshold is confirmed on the full sets.
@@ -12,7 +12,7 @@ set aside, the others get signatures of more minima, and all their pairs are com
 lost, and a bucket of many copies costs one pair per copy.
 
 The number of bands of 4 minima follows from the threshold: 20 at 85 and 28 at 80 percent, so that a pair at the threshold
-is missed by all bands with probability 4e-7.  The screens by bits lose another 2e-9 of such pairs.
+is missed by all bands with probability 4e-7.  The screens by bits lose another 2e-7 of such pairs.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; fewer words than a
 shingle make one shingle; rows that repeat an id are judged each by its own text; a row without id

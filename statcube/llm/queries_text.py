@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from statcube.llm import bpe, chat_format, html_text, quality_classifier, toxicity
@@ -53,6 +52,9 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the text they decode to, as digests."""
+    # Only this query needs the vocabulary files of the public tokenizers.
+    import public_tokenizers
+
     words = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
     encoded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), words).drop("text")
     counted = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")

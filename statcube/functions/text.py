@@ -16,6 +16,8 @@ TERRITORIAL_FORMS = (
     ("provincia", "^IT[A-Z0-9]{3}$"),
     ("comune", "^[0-9]{6}$"),
 )
+# Fixed value: the parameter of a link that holds its id.
+LINK_ID = r"[?&]id=(\w+)"
 TERRITORIAL_LEVELS = tuple(level for level, _ in TERRITORIAL_FORMS)
 
 WORD = r"([\p{L}\p{N}]+)"
@@ -58,7 +60,7 @@ def territorial_level(code: Column) -> Column:
 
 def link_id(url: Column) -> Column:
     """Value of the ``id`` parameter of a link; null when there is none."""
-    return F.nullif(F.regexp_extract(url, r"[?&]id=(\w+)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(url, LINK_ID, 1), F.lit(""))
 
 
 def unescape_entities(text: Column) -> Column:

@@ -26,9 +26,9 @@ from statcube.operators.scoring import (
 from statcube.session import broadcast_within, cut_lineage
 
 # Documents of similar length are spread over so many blocks that each holds about this number.
-BLOCK_DOCS = 256
+BLOCK_DOCS = 512
 # Classes of length per doubling.
-LENGTH_CLASSES = 2
+LENGTH_CLASSES = 1
 # Dictionary rows that the driver weighs itself (some 10 MB); a query that reaches more has them weighed by tasks.
 LOCAL_ROWS = 50_000
 # Up to so many reached postings skipping blocks costs more than it saves.
@@ -130,7 +130,8 @@ def write_index(docs: DataFrame, path: str, text: str = "text") -> None:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = postings(docs, text, blocks).repartition(parts, "term", "block").sortWithinPartitions(*order)
     rows.write.mode("overwrite").parquet(f"{root}/terms")
-    terms = dictionary(spark.read.schema(POSTINGS).parquet(f"{root}/terms"))
+    # Cut, since the ranges are sampled before they are dealt.
+    terms = cut_lineage(dictionary(spark.read.schema(POSTINGS).parquet(f"{root}/terms")))
     terms.repartitionByRange(*order[:3]).sortWithinPartitions(*order[:3]).write.mode("overwrite").parquet(f"{root}/dictionary")
     words = spark.read.schema(DICTIONARY).parquet(f"{root}/dictionary").groupBy("provider").agg(F.sum("words").alias("n_words"))
     sizes = spark.createDataFrame([(p, n) for p, n in counts.items()], "provider string, n_docs long")

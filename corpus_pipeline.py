@@ -5,7 +5,10 @@ written as Parquet and read again as the next one's docs, so a lost executor cos
 All but the last return the columns of their docs; the last adds size, source_size, target and copy_no
 and has a row for every copy that the mix takes.
 
-Rows without text fail the quality rules and go.  An empty table stays empty through all stages.
+Rows without text fail the quality rules and go.  An empty table stays empty through all stages.  Texts of any
+length are handled whole.  Rows equal in id and text are one document, the smallest by its other columns; an id
+with several texts is several.  Other columns pass through, but the last stage replaces those named as its own.
+Stage tables stay in the shared folder, for whoever owns it to remove.
 """
 
 from __future__ import annotations

@@ -176,9 +176,16 @@ class _Asked:
 
 
 def _ask(index: Index, query: str) -> _Asked:
-    """One look at the dictionary rows that the query reaches: weights and bounds come from them."""
+    """The dictionary rows that the query reaches: weights and bounds come from them.
+
+    Which tokens are terms is asked first, so that the terms behind them are not read.
+    """
     tokens = query_tokens(query)
-    reached = reduce(Column.__or__, [F.col("term").startswith(s) for s in reach_of(tokens)], F.lit(False))
+    exact = index.dictionary.where(F.col("term").isin(tokens) & (F.col("df") > 0)).select("term").distinct()
+    whole = {r["term"] for r in exact.collect()} if tokens else set()
+    ways = [F.col("term") == t for t in sorted(whole)]
+    ways += [F.col("term").startswith(s) for s in reach_of([t for t in tokens if t not in whole])]
+    reached = reduce(Column.__or__, ways, F.lit(False))
     sizes = index.size.collect()
     n_docs, words = sum(r["n_docs"] for r in sizes), sum(r["n_words"] for r in sizes)
     average = words / n_docs if words else 1.0

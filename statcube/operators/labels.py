@@ -86,9 +86,13 @@ def describe_filters(
     )
 
 
-def of_dataflow(avail: DataFrame, provider: str, df_id: str) -> DataFrame:
-    """The rows of one dataflow out of a table of many."""
+def of_dataflow(avail: DataFrame, provider: str | None = None, df_id: str | None = None) -> DataFrame:
+    """The rows of one dataflow out of a table of many; of all its dataflows when none is named."""
     check_entity(avail)
+    if (provider is None) != (df_id is None):
+        raise ValueError("a dataflow is known by provider and id")
+    if provider is None:
+        return avail
     return avail.where((F.col("provider") == provider) & (F.col("df_id") == df_id))
 
 
@@ -101,8 +105,10 @@ def constraint_labels(avail: DataFrame, names: DataFrame, dimension: str, provid
     )
 
 
-def values_in_dataflow(names: DataFrame, avail: DataFrame, dimension: str, provider: str, df_id: str) -> DataFrame:
-    """Whole codelist with ``in_dataflow``.
+def values_in_dataflow(
+    names: DataFrame, avail: DataFrame, dimension: str, provider: str | None = None, df_id: str | None = None
+) -> DataFrame:
+    """Whole codelist with ``in_dataflow``: whether the dataflow, or any when none is named, has the code.
 
     Without any availability row for the dimension membership is unknown, so the
     flag is null, not false.

@@ -197,6 +197,17 @@ def test_availability_of_one_dataflow(spark, rows):
     assert rows(catalog.invalid_codes(spark, {"geo": "IT+US"}, avail, "P", "X")) == [("geo", "US")]
 
 
+def test_membership_over_all_dataflows(spark, rows):
+    names = spark.createDataFrame([("IT", "Italy"), ("US", "States"), ("ZZ", "None")], "id string, name string")
+    avail = spark.createDataFrame([("P", "X", "geo", "IT"), ("P", "Y", "geo", "US"), ("Q", "X", "geo", "US")],
+                                  "provider string, df_id string, dimension_id string, code_id string")
+    values = labels.values_in_dataflow(names, avail, "geo")
+    assert rows(values, "id", "in_dataflow") == [("IT", True), ("US", True), ("ZZ", False)]
+    assert rows(labels.membership_counts(values)) == [(3, 2)]
+    with pytest.raises(ValueError):
+        labels.values_in_dataflow(names, avail, "geo", "P")
+
+
 def test_two_providers_with_one_id_stay_apart(spark, rows):
     flows = spark.createDataFrame([("A", "X1", "apple"), ("B", "X1", "banana")], "provider string, df_id string, df_description string")
     links = spark.createDataFrame([("A", "X1", "S", "1.2")], "provider string, df_id string, scheme_id string, cat_path string")

@@ -36,6 +36,21 @@ def test_no_plan_pairs_all_rows(spark):
             assert bad not in plan, f"{name} has {bad}"
 
 
+@pytest.fixture(scope="module")
+def two_flows(spark, tmp_path_factory):
+    """Line items of two dataflows, of which the second alone has a code each of SUPP, FLAG and STATUS."""
+    folder = str(tmp_path_factory.mktemp("flows"))
+    lines = [(3, 1, "A", "O"), (4, 3, "X", "F")]
+    columns = "l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, columns).write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(5).selectExpr("id AS c_custkey", "concat('C', id) AS c_name").write.parquet(f"{folder}/customer.parquet")
+    return folder
+
+
+def test_membership_counts_takes_every_dataflow(spark, rows, two_flows):
+    assert rows(contract.queries()["membership_counts"](spark, two_flows), "n_total", "n_present") == [(5, 2)]
+
+
 @pytest.mark.parametrize("name", COMPARED)
 def test_results_equal_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")

@@ -204,6 +204,7 @@ def test_membership_over_all_dataflows(spark, rows):
     values = labels.values_in_dataflow(names, avail, "geo")
     assert rows(values, "id", "in_dataflow") == [("IT", True), ("US", True), ("ZZ", False)]
     assert rows(labels.membership_counts(values)) == [(3, 2)]
+    assert rows(catalog.invalid_codes(spark, {"geo": "IT+US+ZZ"}, avail)) == [("geo", "ZZ")]
     with pytest.raises(ValueError):
         labels.values_in_dataflow(names, avail, "geo", "P")
 

@@ -51,6 +51,11 @@ def test_membership_counts_takes_every_dataflow(spark, rows, two_flows):
     assert rows(contract.queries()["membership_counts"](spark, two_flows), "n_total", "n_present") == [(5, 2)]
 
 
+def test_invalid_codes_takes_every_dataflow(spark, rows, two_flows):
+    asked = contract.queries()["invalid_codes"](spark, two_flows)
+    assert rows(asked) == [("STATUS", "Z"), ("SUPP", "-1")]
+
+
 @pytest.mark.parametrize("name", COMPARED)
 def test_results_equal_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")

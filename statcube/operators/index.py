@@ -5,8 +5,7 @@ how many documents hold the term there, its largest frequency, the shortest of t
 in an id or a head.  Document frequencies are sums over these few rows, and a query bounds the best
 score of every block from them, so blocks that can't reach the k-th best score are never read.
 
-Both tables are stored sorted by term, so a query reads the terms it can reach: the dictionary in ranges, the postings
-dealt by term and block.
+Both tables are dealt by term and block, each file sorted by term, so a query reads the pages with the terms it can reach.
 """
 
 from __future__ import annotations
@@ -99,9 +98,12 @@ def postings(docs: DataFrame, text: str = "text", blocks: int = 1) -> DataFrame:
     block = kind * 2**32 + F.pmod(F.xxhash64(*ENTITY), F.lit(blocks))
     others = F.array_except(F.array_union("_id_terms", "_head_terms"), F.col("_terms"))
     unseen = F.transform(others, lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf")))
-    rows = tokens.select(
+    # The words end here: next to the rows of a document they would be copied into each of them.
+    counted = tokens.select(
         *ENTITY, length.alias("doc_length"), block.alias("block"), "_id_terms", "_head_terms",
-        F.inline(F.concat(_counted(F.col("_terms")), unseen)).alias("term", "tf"))
+        _counted(F.col("_terms")).alias("_counted"), unseen.alias("_unseen"))
+    rows = counted.select(
+        *ENTITY, "doc_length", "block", "_id_terms", "_head_terms", F.inline(F.concat("_counted", "_unseen")).alias("term", "tf"))
     return rows.select(
         *ENTITY, "doc_length", "block", "term", "tf", F.array_contains("_id_terms", F.col("term")).alias("in_id"),
         F.array_contains("_head_terms", F.col("term")).alias("in_head"))
@@ -125,14 +127,14 @@ def write_index(docs: DataFrame, path: str, text: str = "text") -> None:
     spark, root = docs.sparkSession, path.rstrip("/")
     counts = {r["provider"]: r["n"] for r in docs.groupBy("provider").agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks = max(1, math.ceil(sum(counts.values()) / BLOCK_DOCS / 8))
-    order = ["term", "provider", "block", "df_id"]
+    order = ["term", "provider", "block"]
     # By a hash, since a range would be sampled first, which reads the text twice.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = postings(docs, text, blocks).repartition(parts, "term", "block").sortWithinPartitions(*order)
     rows.write.mode("overwrite").parquet(f"{root}/terms")
-    # Cut, since the ranges are sampled before they are dealt.
-    terms = cut_lineage(dictionary(spark.read.schema(POSTINGS).parquet(f"{root}/terms")))
-    terms.repartitionByRange(*order[:3]).sortWithinPartitions(*order[:3]).write.mode("overwrite").parquet(f"{root}/dictionary")
+    # Stays where the grouping puts it: a range would be sampled first, which needs a copy of the dictionary.
+    terms = dictionary(spark.read.schema(POSTINGS).parquet(f"{root}/terms"))
+    terms.sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{root}/dictionary")
     words = spark.read.schema(DICTIONARY).parquet(f"{root}/dictionary").groupBy("provider").agg(F.sum("words").alias("n_words"))
     sizes = spark.createDataFrame([(p, n) for p, n in counts.items()], "provider string, n_docs long")
     sized = sizes.join(words, sizes["provider"].eqNullSafe(words["provider"]), "left").select(

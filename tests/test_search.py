@@ -374,3 +374,18 @@ def test_many_queries_stay_on_the_executors(spark, monkeypatch, rows):
     assert got.groupBy("query").count().where("count = 2").count() == 5000
     assert {r["df_id"] for r in got.where("query % 80 = 0 AND query < 4800 AND rank = 1").collect()} <= {f"D{i}" for i in range(60)}
     assert got.where("query = 800 AND rank = 1").first()["df_id"] == "D10"
+
+
+def test_words_of_a_document_are_not_copied_into_its_postings(spark):
+    docs = spark.createDataFrame([("P", "X1", "a b a")], "provider string, df_id string, text string")
+    plan = index.postings(docs)._jdf.queryExecution().executedPlan().toString()
+    exploded = next(line for line in plan.splitlines() if "Generate" in line)
+    assert "_head_terms#" in exploded and not re.search(r"\b_terms#", exploded)
+
+
+def test_dictionary_is_written_without_a_copy(spark, rows, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([("P", "X1", "a b a"), ("Q", "X1", "b c")], "provider string, df_id string, text string")
+    monkeypatch.setattr(index, "cut_lineage", lambda df: pytest.fail("the dictionary is copied"))
+    index.write_index(docs, str(tmp_path / "index"))
+    stored = index.read_index(spark, str(tmp_path / "index"))
+    assert rows(index.bm25_stats(stored), "term", "df") == [("a", 1), ("b", 2), ("c", 1)]

@@ -8,12 +8,14 @@ several files); ``parse_elements`` takes messages in a text column.  Both give a
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from xml.parsers import expat
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from statcube.sources import markup
 from statcube.sources.nested import unfold
 
 _S = T.StringType()
@@ -121,10 +123,29 @@ def parse_elements(df: DataFrame, column: str, tag: str, keep: Sequence[str] = (
     root = T.StructType(
         [T.StructField(parent, group), T.StructField("Structures", T.StructType([T.StructField(parent, group)]))]
     )
-    message = F.from_xml(F.col(column), _ddl(root), _OPTIONS)
-    parsed = df.select(*keep, message.alias("_m"))
+
+    if markup.fits(kind):
+        df = _read_batches(df, column, kind, [("Structures", parent, tag), (parent, tag)], keep)
+    else:
+        df = df.select(*keep, F.col(column).alias("_rest"), F.lit(None).cast(T.ArrayType(kind)).alias("_elements"))
+    parsed = df.select(*keep, "_elements", F.from_xml("_rest", _ddl(root), _OPTIONS).alias("_m"))
     inner, outer = F.col(f"_m.Structures.{parent}.{tag}"), F.col(f"_m.{parent}.{tag}")
-    return parsed.select(*keep, F.explode(F.coalesce(inner, outer)).alias("element"))
+    return parsed.select(*keep, F.explode(F.coalesce("_elements", inner, outer)).alias("element"))
+
+
+def _read_batches(
+    df: DataFrame, column: str, kind: T.StructType, paths: Sequence[Sequence[str]], keep: Sequence[str]
+) -> DataFrame:
+    """Elements per message, read by Arrow batches, or the message where it is left to ``from_xml``."""
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("_elements", T.ArrayType(kind)), T.StructField("_rest", _S)])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            elements, rest = markup.read(batch.column(len(keep)), kind, paths)
+            kept = [batch.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*kept, elements, rest], names=schema.names)
+
+    return df.select(*keep, F.col(column).alias("_message")).mapInArrow(run, schema)
 
 
 def _texts_of(df: DataFrame, column: str, tag: str, keep: Sequence[str]) -> DataFrame:
@@ -234,15 +255,13 @@ def _filled(values: Column) -> Column:
 
 
 def _key_values(e: Column) -> Column:
-    regions = F.filter(e["CubeRegion"], lambda r: r["KeyValue"].isNotNull())
-    return F.flatten(F.transform(regions, lambda r: r["KeyValue"]))
+    return F.flatten(F.array_compact(e["CubeRegion"]["KeyValue"]))
 
 
 def _exploded_codes(rows: DataFrame, keys: Column, columns: Sequence[str]) -> DataFrame:
-    pairs = rows.select(*columns, F.explode(keys).alias("k"))
-    return pairs.select(
-        *columns, F.col("k._id").alias("dimension_id"), F.explode(_filled(F.col("k.Value"))).alias("code_id")
-    ).where("dimension_id <> ''")
+    pairs = rows.select(*columns, F.explode(keys).alias("_k")).where("_k._id <> ''")
+    codes = pairs.select(*columns, F.col("_k._id").alias("dimension_id"), F.explode("_k.Value").alias("_v"))
+    return codes.select(*columns, "dimension_id", F.trim("_v").alias("code_id")).where("code_id <> ''")
 
 
 def flatten_constraints(elements: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -94,6 +95,52 @@ def test_constraints(spark, rows):
         ("22_289", "FREQ", "A"), ("22_289", "FREQ", "M"), ("22_289", "GEO", "IT"), ("7", "FREQ", "Q"), ("7", "GEO", "IT")]
 
 
+def constraint(values, attributes=""):
+    return (f"<m:Structure {NS}><m:Structures><s:Constraints><s:ContentConstraint id=\"CC\"{attributes}><s:CubeRegion><c:KeyValue id=\"K\">"
+            f"{values}</c:KeyValue></s:CubeRegion></s:ContentConstraint></s:Constraints></m:Structures></m:Structure>")
+
+
+PLAIN = [
+    constraint("<c:Value>a</c:Value><c:Value/><c:Value> b c\n</c:Value><c:Value x='1'>d</c:Value>".replace("'", '"')), constraint(""),
+    '<?xml version="1.0"?>\n' + constraint("<Value>dell'anno \"1\" = \"2\"</Value><c:TimeRange><c:Value>t</c:Value></c:TimeRange>"),
+    constraint("<c:Value>v</c:Value>", ' x:other="id="'), "<m:Structure/>",
+    constraint("").replace("<s:CubeRegion>", '<s:ConstraintAttachment><s:Dataflow><Ref id="1"/></s:Dataflow><s:Dataflow><Ref id="2"/>'
+                           '<Ref id=" é "/></s:Dataflow></s:ConstraintAttachment><s:X><s:CubeRegion/></s:X><s:CubeRegion/><s:CubeRegion>'),
+]
+ODD = [
+    constraint("<c:Value>a &amp; b</c:Value>"), constraint("<c:Value><![CDATA[x<y]]></c:Value>"), constraint("<c:Value>a > b</c:Value>"),
+    constraint("<!-- <c:Value>no</c:Value> --><c:Value>a<b>c</b></c:Value>"), constraint("<c:Value>x</c:Value>").replace('id="K"', "id = 'K'"),
+    constraint("<c:VALUE>x\r\ny</c:VALUE>"), constraint("<c:Value>x</c:Value>") + "<x>", None,
+    "<R><Constraints><ContentConstraint x:id='o' id='p'/></Constraints><Structures><Constraints/></Structures></R>",
+]
+
+
+@pytest.mark.parametrize("size", [1, 1 << 20])
+def test_batches_of_messages_read_as_from_xml_does(spark, rows, size, monkeypatch):
+    """Plain messages are read without ``from_xml``, all others are left to it, and both give the same elements."""
+    kind, parent = xml.ELEMENTS["ContentConstraint"]
+    paths = [("Structures", parent, "ContentConstraint"), (parent, "ContentConstraint")]
+    monkeypatch.setattr(xml.markup, "SLICE", size)
+    found, rest = xml.markup.read(pa.array(PLAIN + ODD), kind, paths)
+    assert rest.to_pylist() == [None] * len(PLAIN) + ODD
+    df = spark.createDataFrame(list(enumerate(PLAIN + ODD)), "k int, x string")
+    group = f"{parent} struct<ContentConstraint array<{kind.simpleString()}>>"
+    whole = df.select("k", F.from_xml("x", f"{group}, Structures struct<{group}>", {"ignoreNamespace": "true"}).alias("m"))
+    inner, outer = (F.col(f"m.{p}{parent}.ContentConstraint") for p in ("Structures.", ""))
+    want = whole.select("k", F.explode(F.coalesce(inner, outer)).alias("element"))
+    got = xml.parse_elements(df, "x", "ContentConstraint", ["k"])
+    assert got.count() == 13 and rows(got) == rows(want)
+    assert [e for e in found.to_pylist()[: len(PLAIN)]] == [
+        [r["element"].asDict(True) for r in want.where(F.col("k") == k).collect()] for k in range(len(PLAIN))]
+
+
+def test_broken_constraints_fail(spark):
+    for broken in (constraint("<c:Value>x</c:Valu>"), constraint("")[:-1], constraint('<c:Value a="1" a="2"/>'), ""):
+        df = spark.createDataFrame([(constraint(""),), (broken,)], "x string")
+        with pytest.raises(Exception, match="MALFORMED"):
+            xml.parse_elements(df, "x", "ContentConstraint").collect()
+
+
 def nested_categories(levels):
     text = ""
     for i in reversed(range(levels)):

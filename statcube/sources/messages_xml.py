@@ -250,10 +250,6 @@ def flatten_codelist(elements: DataFrame, lang: str) -> DataFrame:
 # --- availability ------------------------------------------------------------
 
 
-def _filled(values: Column) -> Column:
-    return F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v != "")
-
-
 def _key_values(e: Column) -> Column:
     return F.flatten(F.array_compact(e["CubeRegion"]["KeyValue"]))
 
@@ -266,15 +262,11 @@ def _exploded_codes(rows: DataFrame, keys: Column, columns: Sequence[str]) -> Da
 
 def flatten_constraints(elements: DataFrame) -> DataFrame:
     """(dimension, code) of a constraint; blanks dropped, a repeated dimension's last list counts."""
-    keys = F.filter(_key_values(F.col("element")), lambda k: F.size(_filled(k["Value"])) > 0)
-    rows = elements.withColumn("_keys", keys)
-    last = F.filter(
-        F.col("_keys"),
-        lambda k, i: ~F.exists(
-            F.filter(F.col("_keys"), lambda _, j: j > i), lambda later: later["_id"] == k["_id"]
-        ),
-    )
-    return _exploded_codes(rows, last, _kept(elements)).distinct()
+    filled = F.filter(_key_values(F.col("element")), lambda k: F.trim(F.array_join(k["Value"], "")) != "")
+    rows = elements.select(*_kept(elements), filled.alias("_keys"))
+    ids = rows.select(*_kept(elements), "_keys", F.reverse("_keys._id").alias("_ids"))
+    last = F.filter("_keys", lambda k, i: F.array_position("_ids", k["_id"]) + i == F.size("_ids"))
+    return _exploded_codes(ids, last, _kept(elements)).distinct()
 
 
 def flatten_series_keys(elements: DataFrame) -> DataFrame:

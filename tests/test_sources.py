@@ -141,6 +141,15 @@ def test_broken_constraints_fail(spark):
             xml.parse_elements(df, "x", "ContentConstraint").collect()
 
 
+def test_last_list_of_a_dimension_counts(spark, rows):
+    lists = "<c:KeyValue id='A'><c:Value>1</c:Value></c:KeyValue><c:KeyValue id='A'><c:Value> </c:Value></c:KeyValue>"
+    more = "</c:KeyValue></s:CubeRegion><s:CubeRegion/><s:CubeRegion><c:KeyValue id='A'><c:Value>3</c:Value><c:Value>2</c:Value></c:KeyValue>"
+    both = f"<c:Value>k</c:Value></c:KeyValue>{lists}<c:KeyValue><c:Value>none</c:Value>"
+    df = spark.createDataFrame([(1, constraint(both)), (2, constraint(both + more + "<c:KeyValue id='A'>"))], "k int, x string")
+    got = xml.flatten_constraints(xml.parse_elements(df, "x", "ContentConstraint", ["k"]))
+    assert rows(got) == [(1, "A", "1"), (1, "K", "k"), (2, "A", "2"), (2, "A", "3"), (2, "K", "k")]
+
+
 def nested_categories(levels):
     text = ""
     for i in reversed(range(levels)):

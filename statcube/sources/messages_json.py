@@ -26,13 +26,13 @@ def flatten_sdmx_json(
     Parts of a series key follow the dimensions by descending key position.  A missing
     first array element is written as null before parsing.
     """
-    repaired = F.regexp_replace(F.col(column), r"\[,", "[null,")
+    repaired = F.replace(F.col(column), F.lit("[,"), F.lit("[null,"))
     parsed = df.select(*keep, F.from_json(repaired, _MESSAGE).alias("_m"))
     body = parsed.select(
         *keep, F.coalesce("_m.data.structure", "_m.structure").alias("_structure"),
         F.explode(F.coalesce("_m.data.dataSets", "_m.dataSets")).alias("_set"),
     )
-    by_position = F.array_sort(
+    by_position = F.sort_array(
         F.transform(
             F.col("_structure.dimensions.series"),
             lambda d, i: F.named_struct(
@@ -42,23 +42,28 @@ def flatten_sdmx_json(
     )
     series = body.select(
         *keep, F.col("_structure.dimensions.observation").alias("_obs_dims"),
-        F.transform(by_position, lambda x: x["d"]).alias("_dims"), F.explode("_set.series").alias("_key", "_series"),
+        by_position["d"].alias("_dims"), F.explode("_set.series").alias("_key", "_series"),
+    ).where(F.size("_series.observations") > 0)
+    # Ids and codes are worked out once per series; an observation only looks its codes up.
+    ids = F.concat("_dims.id", "_obs_dims.id")
+    place = F.when(F.size(ids) > 0, F.map_from_arrays(ids, F.sequence(F.lit(0), F.size(ids) - 1)))
+    of_key = F.zip_with("_dims", F.split("_key", ":"), lambda d, part: F.get(d["values"], part.cast("int"))["id"])
+    places = [f"_place{i}" for i in range(len(dims))]
+    coded = series.select(
+        *keep, "_obs_dims", F.size("_dims").alias("_n"), of_key.alias("_codes"),
+        *[place[d].alias(p) for d, p in zip(dims, places)], F.col("_series.observations").alias("_observations"),
     )
-    parts = F.split("_key", ":")
-    codes = F.map_from_arrays(
-        F.transform("_dims", lambda d: d["id"]),
-        F.transform("_dims", lambda d, i: F.get(d["values"], F.get(parts, i).cast("int"))["id"]),
+    observations = coded.select(
+        *keep, "_obs_dims", "_n", "_codes", *places, F.explode("_observations").alias("_index", "_values")
     )
-    observations = series.select(
-        *keep, "_obs_dims", codes.alias("_codes"), F.explode("_series.observations").alias("_index", "_values")
-    )
-    times = F.map_from_arrays(
-        F.transform("_obs_dims", lambda d: d["id"]),
-        F.transform("_obs_dims", lambda d: F.get(d["values"], F.col("_index").cast("int"))["id"]),
-    )
-    merged = observations.withColumn("_codes", F.map_concat("_codes", times))
-    return merged.select(
-        *keep, *[F.col("_codes")[d].alias(d) for d in dims],
+
+    def code(p: str) -> Column:
+        dimension = F.get("_obs_dims", F.col(p) - F.col("_n"))
+        of_index = F.get(dimension["values"], F.col("_index").cast("int"))["id"]
+        return F.when(F.col(p) < F.col("_n"), F.get("_codes", F.col(p))).otherwise(of_index)
+
+    return observations.select(
+        *keep, *[code(p).alias(d) for d, p in zip(dims, places)],
         F.get("_values", F.lit(0)).try_cast("double").alias(VALUE),
     )
 

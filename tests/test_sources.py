@@ -249,6 +249,29 @@ def test_json_observations(spark, rows):
         assert rows(got) == [("a0", "b1", "2020", 5.5), ("a0", "b1", "2021", None)]
 
 
+def test_json_codes_are_worked_out_once_per_series(spark, rows):
+    """Keys are split and codes built above no more rows than there are series; equal positions keep their order."""
+    ids = lambda *names: [{"id": n} for n in names]
+    payload = {"structure": {"dimensions": {
+        "series": [{"id": "A", "values": ids("a0", "a1")}, {"id": "B", "keyPosition": 2, "values": ids("b0", "b1")},
+                   {"id": "C", "keyPosition": 0, "values": ids("c0", "c1")}],
+        "observation": [{"id": "TIME_PERIOD", "values": ids("2020", "2021")}, {"id": "HALF", "values": ids("h1", "h2")}]}},
+        "dataSets": [{"series": {"1:0:1": {"observations": {"0": ["5.5"], "1": [], "7": ["[,x"]}}, "0:9": {"observations": {"1": [2]}},
+                                 "x": {"observations": {}}, "1:1:1": None}}, {}]}
+    df = spark.createDataFrame([(1, json.dumps(payload)), (2, "{"), (3, None)], "k int, x string")
+    got = js.flatten_sdmx_json(df, "x", ["C", "A", "B", "HALF", "TIME_PERIOD", "NONE"], ["k"])
+    assert rows(got) == [
+        (1, None, None, "b0", "h2", "2021", None, 2.0), (1, "c1", "a0", "b1", None, None, None, None),
+        (1, "c1", "a0", "b1", "h1", "2020", None, 5.5), (1, "c1", "a0", "b1", "h2", "2021", None, None)]
+    steps = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    observations = next(i for i, step in enumerate(steps) if "Generate explode(_observations" in step)
+    assert not any("split(" in step or "map_concat" in step for step in steps[:observations])
+    assert sum("from_json" in step for step in steps) == 1
+    twice = json.dumps(payload).replace('"id": "B"', '"id": "A"')
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        js.flatten_sdmx_json(spark.createDataFrame([(twice,)], "x string"), "x", ["A"]).collect()
+
+
 HUB = {
     "categoryGroups": [{"categories": [
         {"id": "OS15", "label": "Jobs", "datasetIdentifiers": ["X,DFB_A,1.0"], "childrenCategories": [
